@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one slice; a slice is one task's unit of memory (about 60 bytes a row).
-SLICE_ROWS = 400_000
+SLICE_ROWS = 50_000
 #: Seconds of a time bucket.
 BUCKET_SECONDS = 86_400
 #: Bits of a filter for each identifier, and probes: about 0.2 % false positives.
@@ -103,8 +103,10 @@ def _map_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _screen_slice(table: pa.Table) -> pa.Table:
     """Deliveries of one slice to drop; see the module's text."""
+    early = table.filter(table["dropped"])["delivery_id"].to_numpy()
+    table = table.filter(pc.invert(table["dropped"]))
     if not table.num_rows:
-        return table.select(["delivery_id"])
+        return pa.table({"delivery_id": pa.array(early, pa.int64())})
     code, at, delivery = _codes(table["message"]), table["at_us"].to_numpy(), table["delivery_id"].to_numpy()
     hashes = table["hash"].to_numpy().astype(np.int64).view(np.uint64)
     bucket = table["bucket"].to_numpy()
@@ -143,7 +145,7 @@ def _screen_slice(table: pa.Table) -> pa.Table:
             del ranges[-2:]
             merged = np.concatenate(kept_hashes[lo:hi])
             ranges.append((lo, hi, BloomFilter(len(merged)).add(merged)))
-    return pa.table({"delivery_id": pa.array(delivery[drop & ~equal], pa.int64())})
+    return pa.table({"delivery_id": pa.array(np.r_[early, delivery[drop & ~equal]], pa.int64())})
 
 
 def repeated_deliveries(
@@ -172,15 +174,15 @@ def repeated_deliveries(
     local = rows.mapInArrow(_map_side, _REDUCED)
     bucket = F.floor(F.col("at_us") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     width = min(slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
-    # dropped rows of the map-side pass travel as bare numbers; survivors go to their slice of the bucketed storage
+    # rows that the map-side pass dropped travel as bare numbers, spread evenly; survivors go to their slice
     sliced = (
-        local.filter(~F.col("dropped"))
-        .select("message", "at_us", "delivery_id", bucket.alias("bucket"), F.xxhash64("message").alias("hash"))
-        .withColumn("slice", F.pmod(F.col("hash"), F.lit(slices)))
+        local.select(
+            F.expr("IF(dropped, NULL, message)").alias("message"), "at_us", "delivery_id", bucket.alias("bucket"), F.xxhash64("message").alias("hash"), "dropped"
+        )
+        .withColumn("slice", F.pmod(F.expr("IF(dropped, xxhash64(delivery_id), hash)"), F.lit(slices)))
         .repartition(max(1, width), "slice")
     )
-    later = sliced.groupBy("slice").applyInArrow(_screen_slice, "delivery_id bigint")
-    return local.filter("dropped").select("delivery_id").unionByName(later).distinct()
+    return sliced.groupBy("slice").applyInArrow(_screen_slice, "delivery_id bigint").distinct()
 
 
 def exactly_once(df: DataFrame, message: str = "message_id", at: str = "delivered_at", delivery: str = "delivery_id", **sizes: int) -> DataFrame:
