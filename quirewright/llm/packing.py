@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirewright.session import settled
+
 #: Items of one shard: large enough that its open containers waste little, small enough for a task's memory.
 SHARD_ITEMS = 10_000
 #: Most capacities packed in one pass; they are read to the driver.
@@ -101,7 +103,8 @@ def pack(
                     names=["capacity_id", "container_id", "key", "piece_no", "piece_count", "start", "tokens"],
                 )
 
-    shards = max(1, -(-sizes.count() // shard_items)) if not sizes.isEmpty() else 1
+    items = settled(items, "sizes")  # counted and dealt: the sizes are worth computing once
+    shards = max(1, -(-items.count() // shard_items))
     dealt = items.repartition(shards)
     out = f"capacity_id int, container_id bigint, key {kind}, piece_no int, piece_count int, start bigint, tokens bigint"
     return dealt.mapInArrow(shard, out).withColumnRenamed("key", key)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewright.llm.canonical import canonical_texts
 from quirewright.llm.encoding import encode_texts
 from quirewright.llm.packing import pack
 
@@ -13,6 +14,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _calibration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both texts of each calibration page, a row each."""
+    pages = _table(spark, sf_dir, "calibration_pages").select("page_key", "reference_text", "tesseract_text")
+    return pages.unpivot("page_key", ["reference_text", "tesseract_text"], "field_name", "text")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_texts(_calibration_texts(spark, sf_dir)).filter("canonical_changed").select("page_key", "field_name")
+
+
+def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical_texts(_calibration_texts(spark, sf_dir)).select("page_key", "field_name", F.col("canonical").alias("text"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(_table(spark, sf_dir, "documents"))
 
@@ -22,5 +37,5 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sizes, _table(spark, sf_dir, "pack_capacities"))
 
 
-QUERIES = {"p6_ids": p6_ids, "p7_containers": p7_containers}
+QUERIES = {"p3_found": p3_found, "p3_texts": p3_texts, "p6_ids": p6_ids, "p7_containers": p7_containers}
 SQL: dict[str, str] = {}
