@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirewright.llm.canonical import canonical_texts
 from quirewright.llm.encoding import encode_texts
 from quirewright.llm.packing import pack
+from quirewright.llm.truncation import truncated_texts, truncation_by_source
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,5 +38,13 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sizes, _table(spark, sf_dir, "pack_capacities"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_texts": p3_texts, "p6_ids": p6_ids, "p7_containers": p7_containers}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated_texts(_table(spark, sf_dir, "documents")).filter("cut").select("doc_id")
+
+
+def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation_by_source(truncated_texts(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"p3_found": p3_found, "p3_texts": p3_texts, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources}
 SQL: dict[str, str] = {}
