@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quirewright.llm.canonical import canonical_texts
 from quirewright.llm.encoding import encode_texts
+from quirewright.llm.markup import labelled_blocks
 from quirewright.llm.packing import pack
 from quirewright.llm.truncation import truncated_texts, truncation_by_source
 
@@ -15,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = labelled_blocks(_table(spark, sf_dir, "surya_results"), clean=False)
+    return blocks.select("result_id", "prediction_no", "block_no", F.explode("families").alias("family"))
+
+
+def p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled_blocks(_table(spark, sf_dir, "surya_results"))
+
+
 def _calibration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both texts of each calibration page, a row each."""
     pages = _table(spark, sf_dir, "calibration_pages").select("page_key", "reference_text", "tesseract_text")
@@ -46,5 +56,5 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation_by_source(truncated_texts(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"p3_found": p3_found, "p3_texts": p3_texts, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources}
+QUERIES = {"p1_found": p1_found, "p1_texts": p1_texts, "p3_found": p3_found, "p3_texts": p3_texts, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources}
 SQL: dict[str, str] = {}
