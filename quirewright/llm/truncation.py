@@ -209,7 +209,10 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
     words = inside.filter(F.col("count") >= KNOWN).select("word", F.lit(True).alias("known")).join(begins, "word", "full_outer")
     ends = rows.withColumns(_ending(F.col("text"))).select("key", "source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "bare", "marked", "body", "line", "previous", "paragraph", "last_word")
-    ends = ends.withColumn("word", F.when(F.length("last_word") > 0, F.col("last_word")))
+    # a text that ends in a stop needs no word looked up; its key is spread, so that no task gets all of them
+    sure = F.col("body").rlike(_STOP) & ~F.col("body").rlike(_INNER_STOP) | (F.length("last_word") == 0)
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("body", "chars"), F.lit(4096)).cast("string"))
+    ends = ends.withColumn("word", F.when(F.coalesce(sure, F.lit(True)), spread).otherwise(F.col("last_word")))
     # only the last words' own rows are wanted of the vocabulary; the documents' side carries a text's last paragraph, not the text
     judged = ending_kinds(
         ends.withColumn("body", F.substring("body", -400, 400)).withColumn("bare", F.substring("bare", -400, 400))
