@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import difflib
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirewright.llm.canonical import canonical_words
+from quirewright.session import settled
 
 #: Pages read for training (by hash of their key, so any part of the table), passes over them.
 TRAINING_PAGES, PASSES = 1_500, 4
@@ -107,6 +109,10 @@ def _join_features(left: str, right: str) -> list[str]:
 
 def _spans(read: str, meant: str) -> list[tuple[int, str, str]]:
     """Edits that turn one word into the other: where, span read, span meant."""
+    a = next((i for i, (x, y) in enumerate(zip(read, meant)) if x != y), min(len(read), len(meant)))
+    z = next((i for i, (x, y) in enumerate(zip(reversed(read[a:]), reversed(meant[a:]))) if x != y), min(len(read), len(meant)) - a)
+    if len(read) - z - a <= 2 and len(meant) - z - a <= 2:
+        return [(a, read[a : len(read) - z], meant[a : len(meant) - z])]
     return [(i1, read[i1:i2], meant[j1:j2]) for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, read, meant, autojunk=False).get_opcodes() if tag != "equal"]
 
 
@@ -115,6 +121,12 @@ def _widened(word: str, at: int, read: str, meant: str) -> tuple[int, str, str]:
     return (at - 1, word[at - 1] + read, word[at - 1] + meant) if read and not meant and at else (at, read, meant)
 
 
+def _visible(read: str, meant: str) -> bool:
+    """Whether a reader sees the difference; other differences are for the canonical form to mend."""
+    bare = [unicodedata.normalize("NFKC", "".join(c for c in x if unicodedata.category(c) != "Cf")) for x in (read, meant)]
+    return bare[0] != bare[1] and not any(unicodedata.combining(c) == 230 for c in read + meant)
+
+
 def train_editor(pairs: list[tuple[str, str]], joins: list[tuple[str, str, str]], passes: int = PASSES) -> Editor:
     """Averaged perceptron from (word read, word meant) pairs, equal ones included, and (left, right, drop/keep/apart) line ends."""
     counted = Counter()
@@ -123,7 +135,7 @@ def train_editor(pairs: list[tuple[str, str]], joins: list[tuple[str, str, str]]
         edits = {}
         for e in _spans(read, meant) if read != meant else []:
             at, a, b = _widened(read, *e)
-            if len(a) <= 2 and len(b) <= 2:
+            if len(a) <= 2 and len(b) <= 2 and _visible(a, b):
                 edits[at] = (a, b)
                 counted[a, b] += n
         examples.append((read, edits))
@@ -186,7 +198,7 @@ def aligned_pairs(pages: list[tuple[str, str]]) -> tuple[list[tuple[str, str]],
             if label:
                 joins.append((left, right, label))
         for left, right in regex.findall(r"([\p{L}\p{M}]+) ?\n(\p{L}[\p{L}\p{M}]*)", scanned)[:2]:
-            joins.append((left, right, "apart") if False else (left, right, "apart"))
+            joins.append((left, right, "apart"))
     return pairs, joins
 
 
@@ -226,6 +238,7 @@ def word_corrections(texts: DataFrame, clean: DataFrame, editor: Editor, least:
         .filter(~F.col("word").rlike(r"[\p{Cf}|]"))
     )
     words = texts.select(F.explode(_tokens(F.col("text"))).alias("raw")).select("raw", _bare(F.col("raw")).alias("word")).filter(F.col("word").rlike(r"\p{L}") & (F.length("word").between(2, LONGEST_WORD))).distinct()
+    words = settled(words, "words")  # the distinct words are asked for several times, the texts' tokens only once
     odd = F.col("word").rlike(r"[^\x00-\x7F]")
     plain = canonical_words(words.filter(odd).select("word"))
     words = words.filter(~odd).unionByName(words.filter(odd).join(plain, "word").select("raw", F.col("plain").alias("word")))
@@ -254,7 +267,17 @@ def word_corrections(texts: DataFrame, clean: DataFrame, editor: Editor, least:
 # furniture
 
 
-_DIGITS = str.maketrans("०१२३४५६७८९", "0123456789")
+def _roman(n: int) -> str:
+    out = ""
+    for value, sign in ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+        out += sign * (n // value)
+        n %= value
+    return out
+
+
+#: Roman page numbers that are read, from 1.
+MOST_ROMAN = 199
+_ROMAN = r"(?i)^[\[(~–—-]*\s*(?:(?:p|page)\b\.?\s*)?([ivxlc]{1,9})\s*[\])~–—.-]*$"
 _ALONE = r"(?i)^[\[(~–—-]*\s*(?:(?:p|page|pg|s|seite|f|folio|पृष्ठ)\b\.?\s*)?(\d{1,5})(?:\s*(?:of|von|de|sur|/|में से)\s*\d{1,5})?\s*[\])~–—.-]*$"
 _BEFORE = r"^[\[(~–—-]*\s*(\d{1,5})\s*[\])~–—-]*(?:\s*[|·•]\s*|\s{2,}|\t)(\D.*)$"
 _BEHIND = r"^(.*\D)(?:\s*[|·•]\s*|\s{2,}|\t)[\[(~–—-]*\s*(\d{1,5})\s*[\])~–—-]*$"
@@ -275,7 +298,7 @@ def edge_lines(texts: DataFrame) -> DataFrame:
     placed = placed.withColumn("lines", lines).withColumn("n", F.size("lines")).filter("n > 0").withColumn("is_top", top).withColumn("is_bottom", bottom)
 
     def entry(at: Column, edge: str, depth: int) -> Column:
-        return F.struct(F.get("lines", at).alias("line"), F.lit(edge).alias("edge"), F.lit(depth).alias("depth"))
+        return F.struct(F.get("lines", at).alias("line"), F.lit(edge).alias("edge"), F.lit(depth).alias("depth"), (F.get("lines", at + 1) if edge == "top" else F.lit(None).cast("string")).alias("next"))
 
     spots = F.array_compact(
         F.array(
@@ -288,23 +311,26 @@ def edge_lines(texts: DataFrame) -> DataFrame:
     out = placed.select("table_name", "row_key", "document_id", "page", "n", F.explode(spots).alias("x")).select("*", "x.*").drop("x")
     latin = F.translate(F.col("line"), "०१२३४५६७८९", "0123456789")
     number = F.coalesce(*[F.when(F.regexp_extract(latin, p, g) != "", F.regexp_extract(latin, p, g)) for p, g in ((_ALONE, 1), (_BEFORE, 1), (_BEHIND, 2))])
-    alone = latin.rlike(_ALONE)
+    roman = F.element_at(F.create_map(*[x for k in range(1, MOST_ROMAN + 1) for x in (F.lit(_roman(k)), F.lit(k))]), F.lower(F.regexp_extract("line", _ROMAN, 1)))
+    alone = latin.rlike(_ALONE) | roman.isNotNull()
     header = F.when(alone, None).when(latin.rlike(_BEFORE), F.regexp_extract(F.col("line"), _BEFORE.replace(r"\d", r"[\d०-९]").replace(r"\D", r"[^\d०-९]"), 2)).when(
         latin.rlike(_BEHIND), F.regexp_extract(F.col("line"), _BEHIND.replace(r"\d", r"[\d०-९]").replace(r"\D", r"[^\d०-९]"), 1)
     ).otherwise(F.col("line"))
     key = F.regexp_replace(F.lower("header"), r"(?U)[^\p{L}\p{M}\p{N}|]+", "")
     key = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(key, "rn", "m"), "ii", "u"), "cl", "d"), "0115|lcq", "oiisiieg")
-    return out.withColumns({"number": number.cast("int"), "alone": alone}).withColumn("header", header).withColumn("key", F.when(F.length(key) > 2, key))
+    return out.withColumns({"number": F.coalesce(number.cast("int"), roman), "alone": alone}).withColumn("header", header).withColumn("key", F.when(F.length(key) > 2, key))
 
 
 def furniture(texts: DataFrame) -> DataFrame:
     """table_name, row_key, noise (running_header, page_number), line: the lines at page edges that are furniture."""
     edges = edge_lines(texts)
     # a sentence, a list item or a caption isn't a header, however often it stands at an edge
-    sentence = F.col("header").rlike(r"[.!?।;,]$|[.!?।]\s+\p{Lu}|^\p{Ll}") | (F.length("header") > 90)
+    sentence = F.col("header").rlike(r"[.!?।;,]$|[.!?।]\s+\p{Lu}") | (F.length("header") > 90)
+    # a wrapped line of a sentence: the next line goes on in small letters, or a clause has just begun
+    sentence |= F.coalesce(F.col("next").rlike(r"^\p{Ll}") & ~F.col("header").rlike(r"^\p{Ll}"), F.lit(False)) | F.col("header").rlike(r",\s.*\s\p{Ll}+$")
     part_of_text = (F.col("n") > 2) & F.col("header").rlike(r"^(?:\p{N}+[.)]|[-*•])\s")
     named = edges.filter(F.col("key").isNotNull() & ~sentence & ~part_of_text)
-    repeats = named.groupBy("table_name", "document_id", "key").agg(F.count_distinct("page").alias("pages")).filter("pages > 1")
+    repeats = named.groupBy("table_name", "document_id", "key").agg(F.count_distinct("page").alias("pages"), F.max(~F.col("header").rlike(r"^\p{Ll}")).alias("titled")).filter("pages > 1 AND titled")
     offsets = (
         edges.filter("number IS NOT NULL AND page IS NOT NULL")
         .groupBy("table_name", "document_id", (F.col("number") - F.col("page")).alias("shift"))
@@ -349,7 +375,7 @@ def scan_noise(calibration: DataFrame, pending: DataFrame, blocks: DataFrame, ed
     editor = editor or learn_editor(calibration)
     texts = _texts(calibration, pending, blocks).filter("length(text) > 0")
     clean = calibration.select(F.col("reference_text").alias("text")).filter("length(text) > 0")
-    meant = word_corrections(texts, clean, editor)
+    meant = settled(word_corrections(texts, clean, editor), "corrections")
     words = texts.select("table_name", "row_key", F.explode(F.array_distinct(_tokens(F.col("text")))).alias("word"))
     misread = words.join(meant, "word").select("table_name", "row_key", F.lit("misread").alias("noise"), F.concat_ws("\t", "word", "meant").alias("detail"))
 
