@@ -37,7 +37,7 @@ HYPHENS = "-‐‑¬­"
 #: Share of a page's height at either edge that is margin.
 MARGIN = 0.06
 
-_TOKEN = r"(?<![\p{L}\p{M}\p{N}\p{Cf}|])[\p{L}\p{M}\p{N}\p{Cf}|]++"
+_TOKEN = r"[\p{L}\p{M}\p{N}\p{Cf}|]++"
 _PY_TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}\p{Cf}|]+")
 _BREAK = rf"(?U)[\p{{L}}\p{{M}}][{HYPHENS}][ \t]*\r?\n[ \t]*\p{{L}}"
 _PY_BREAK = regex.compile(rf"([\p{{L}}\p{{M}}]+)([{HYPHENS}])[ \t]*\r?\n[ \t]*(\p{{L}}[\p{{L}}\p{{M}}]*)")
@@ -220,7 +220,7 @@ def _texts(calibration: DataFrame, pending: DataFrame, blocks: DataFrame) -> Dat
 
 
 def _tokens(text: Column) -> Column:
-    joined = F.regexp_replace(text, rf"(?U)(?<=[\p{{L}}\p{{M}}])[{HYPHENS}][ \t]*\r?\n[ \t]*(?=\p{{L}})", "")
+    joined = F.when(text.rlike(rf"[{HYPHENS}][ \t]*\r?\n"), F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{M}}])[{HYPHENS}][ \t]*\r?\n[ \t]*(?=\p{{L}})", "")).otherwise(text)
     return F.regexp_extract_all(joined, F.lit(f"({_TOKEN})"), 1)
 
 
@@ -237,15 +237,16 @@ def word_corrections(texts: DataFrame, clean: DataFrame, editor: Editor, least:
         .filter(F.col("count") >= least)
         .filter(~F.col("word").rlike(r"[\p{Cf}|]"))
     )
+    lexicon = settled(lexicon, "lexicon")
     words = texts.select(F.explode(_tokens(F.col("text"))).alias("raw")).select("raw", _bare(F.col("raw")).alias("word")).filter(F.col("word").rlike(r"\p{L}") & (F.length("word").between(2, LONGEST_WORD))).distinct()
     words = settled(words, "words")  # the distinct words are asked for several times, the texts' tokens only once
     odd = F.col("word").rlike(r"[^\x00-\x7F]")
-    plain = canonical_words(words.filter(odd).select("word"))
+    plain = settled(canonical_words(words.filter(odd).select("word")), "plain")
     words = words.filter(~odd).unionByName(words.filter(odd).join(plain, "word").select("raw", F.col("plain").alias("word")))
     unknown = words.join(lexicon.select("word"), "word", "left_anti")
     lower = lexicon.select(F.lower("word").alias("word")).distinct()
     # a word that only its capitals hide isn't misread
-    unknown = unknown.withColumn("low", F.lower("word")).join(lower.withColumnRenamed("word", "low"), "low", "left_anti")
+    unknown = settled(unknown.withColumn("low", F.lower("word")).join(lower.withColumnRenamed("word", "low"), "low", "left_anti").select("raw", "word"), "unknown")
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -323,7 +324,7 @@ def edge_lines(texts: DataFrame) -> DataFrame:
 
 def furniture(texts: DataFrame) -> DataFrame:
     """table_name, row_key, noise (running_header, page_number), line: the lines at page edges that are furniture."""
-    edges = edge_lines(texts)
+    edges = settled(edge_lines(texts), "edges")  # a few lines a page, asked for four times
     # a sentence, a list item or a caption isn't a header, however often it stands at an edge
     sentence = F.col("header").rlike(r"[.!?।;,]$|[.!?।]\s+\p{Lu}") | (F.length("header") > 90)
     # a wrapped line of a sentence: the next line goes on in small letters, or a clause has just begun
