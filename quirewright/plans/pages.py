@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirewright.functions import geometry as G
 from quirewright.functions import measures as M
 from quirewright.functions import text as T
+from quirewright.operators import assembly as Y
 from quirewright.operators import evidence as E
 from quirewright.operators import hybrid as H
 from quirewright.operators import layout as L
@@ -435,3 +436,50 @@ def visual_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     return p.groupBy(F.date_trunc("hour", F.col("delivered_at").cast("timestamp_ntz")).alias("hour"), F.lower("status").alias("status")).agg(F.count("*").alias("deliveries"))
+
+
+@query(f"""SELECT result_id, prediction_no, CAST(row_number() OVER (PARTITION BY result_id, prediction_no ORDER BY o NULLS LAST, pos) AS INT) AS rank, block_type, text, failed FROM (
+    SELECT result_id, prediction_no, pos, o, CASE k {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.LABELS.items())} WHEN '' THEN NULL ELSE k END AS block_type, text, failed FROM (
+    SELECT result_id, prediction_no, pos, b.reading_order AS o, regexp_replace(lower(trim(coalesce(CASE WHEN trim(b.label) <> '' THEN b.label END, b.raw_label))), '[^\\p{{L}}\\p{{N}}]+', '', 'g') AS k,
+    {_strip_sql('b.html')} AS text, coalesce(b.error, false) AS failed, coalesce(b.skipped, false) AS skipped FROM (SELECT result_id, prediction_no, unnest(blocks) AS b, generate_subscripts(blocks, 1) AS pos FROM (
+    SELECT result_id, CAST(generate_subscripts(predictions, 1) AS INT) AS prediction_no, unnest(predictions).blocks AS blocks FROM surya_results)) WHERE b IS NOT NULL) WHERE NOT skipped)
+    WHERE text <> '' OR failed OR coalesce(block_type IN ('chart', 'diagram', 'figure', 'image', 'picture'), false)""")
+def layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Y.layout_blocks(table(spark, sf_dir, "surya_results"), ["result_id"]).select("result_id", "prediction_no", "rank", "block_type", "text", "failed")
+
+
+@query()
+def configuration_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Y.configuration_drift(table(spark, sf_dir, "jobs"), "job_id", "config")
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised words of pending pages, one a row, with their page's size."""
+    p = table(spark, sf_dir, "pending_surya_pages").filter("document_id IS NOT NULL AND page IS NOT NULL")
+    w = p.select("document_id", "page", F.col("raster.raster_height").cast("double").alias("page_height"), F.explode("tesseract_words").alias("w"))
+    return w.select("document_id", "page", "page_height", "w.text", "w.bbox")
+
+
+@query()
+def structured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Y.structured_pages(_words(spark, sf_dir), ["document_id", "page"], "document_id")
+
+
+@query()
+def structure_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned columns of each pending page; words that lie at one height are one line."""
+    p = table(spark, sf_dir, "pending_surya_pages")
+    line = lambda w: F.struct(F.lit(1).alias("block"), F.lit(1).alias("paragraph"), (F.floor(F.get(w["bbox"], F.lit(1)) / 10) + 1).cast("int").alias("line"), w["bbox"].alias("bbox"))
+    columns = Y.aligned_column_evidence(F.transform("tesseract_words", line), F.col("raster.raster_width"), F.col("raster.raster_height"))
+    return p.select("pending_id", columns.alias("c")).select("pending_id", Y.structure_gate(F.col("c"), F.array()).alias("g")).select("pending_id", F.array_join("g.reasons", ",").alias("reasons"), "g.escalate")
+
+
+@query("SELECT artifact_id, sha256(artifact_json) AS digest, length(artifact_json) AS chars, json_valid(artifact_json) AS valid FROM rich_artifacts WHERE artifact_json IS NOT NULL")
+def artifact_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "rich_artifacts").filter("artifact_json IS NOT NULL")
+    return a.select("artifact_id", F.sha2("artifact_json", 256).alias("digest"), F.length("artifact_json").alias("chars"), F.try_parse_json("artifact_json").isNotNull().alias("valid"))
+
+
+@query()
+def exported_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Y.exported_pages(_latest(spark, sf_dir).filter("page IS NOT NULL"), ["job_id"], ["page", "engine", "outcome", "route", "text"])
