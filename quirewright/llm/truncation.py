@@ -40,17 +40,21 @@ _PLACE_DATE = r"^\P{Ll}[^\n]{1,60},\s+([^\n]{2,24}\s)?\d{4}$"
 _REFERENCE = r"^\p{Lu}[\p{L}.]{1,10}\s[\p{Lu}\p{N}]+-\p{N}+/\p{Lu}$"
 _REFERENCE_CUT = r"^Ref\.?(\s[\p{Lu}\p{N}]*(-(\p{N}+/?)?)?)?$"
 _WORD = r"(?<![\p{L}\p{M}])[\p{L}\p{M}]++"  # tried once at each word's beginning: linear in runs of any length
-_BLANK = r"(?U)(?<![\s\x{200B}-\x{200D}\x{FEFF}])[\s\x{200B}-\x{200D}\x{FEFF}]++$"
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u200c\u200d\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: Code points of a text's end in which its last paragraph is looked at.
+TEXT_END = 1_500
 #: A line's end that is looked at; the kinds of line but prose are shorter.
 LINE_END = 400
 
 
 def _ending(text: Column) -> dict[str, Column]:
     """Columns of a text's end: the kinds of its last line and paragraph, and its last word."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), _BLANK, "")
+    # blanks go from the whole text by a plain trim; what follows only concerns its end
+    bare = F.rtrim(text, F.lit(_BLANKS))
+    bare = F.regexp_replace(F.substring(bare, -TEXT_END, TEXT_END), r"\r\n?", "\n")
     unmarked = F.regexp_replace(bare, _MARK, "")
     marked = F.length(unmarked) < F.length(bare)
-    body = F.when(marked, F.regexp_replace(unmarked, _BLANK, "")).otherwise(bare)
+    body = F.when(marked, F.rtrim(unmarked, F.lit(_BLANKS))).otherwise(bare)
     lines = F.split(body, "\n")
     return {
         "bare": bare,
@@ -215,7 +219,7 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     ends = ends.withColumn("word", F.when(F.coalesce(sure, F.lit(True)), spread).otherwise(F.col("last_word")))
     # only the last words' own rows are wanted of the vocabulary; the documents' side carries a text's last paragraph, not the text
     judged = ending_kinds(
-        ends.withColumn("body", F.substring("body", -400, 400)).withColumn("bare", F.substring("bare", -400, 400))
+        ends.withColumn("body", F.substring("body", -LINE_END, LINE_END)).withColumn("bare", F.substring("bare", -LINE_END, LINE_END))
         .join(words, "word", "left")
         .withColumns({"known": F.coalesce("known", F.lit(False)), "begins": F.coalesce("begins", F.lit(False))})
     ).select("key", "source", "chars", "bytes", "ending")
