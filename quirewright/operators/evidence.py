@@ -74,7 +74,8 @@ def confusion(replayed: DataFrame, expected: str) -> DataFrame:
 def pareto_frontier(candidates: DataFrame) -> DataFrame:
     """``candidates`` that none beats: fewer or as many false accepts, as many or more accepted, one of them strictly.
 
-    One row beats another exactly if it is better on the running best over the order by false accepts; a window, no pairs.
+    A row is beaten exactly if fewer false accepts have as many accepted, or as many false accepts more. The window has no
+    partitions: candidates are the short list that a replay was given, not data.
     """
     best = F.max("accepted").over(Window.orderBy("false_accepts").rangeBetween(Window.unboundedPreceding, -1))
     same = F.max("accepted").over(Window.partitionBy("false_accepts"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -96,7 +96,3 @@ def page_texts(pages: DataFrame, document: list[str], page: str = "page", text:
 def published(df: DataFrame, path: str, kind: str = "json") -> None:
     """Written whole or not at all, by Spark's commit protocol."""
     {"json": df.write.mode("overwrite").json, "csv": df.write.mode("overwrite").option("header", True).csv, "text": df.write.mode("overwrite").text, "parquet": df.write.mode("overwrite").parquet}[kind](path)
-
-
-def with_line_numbers(df: DataFrame, order: str) -> DataFrame:
-    return df.withColumn("line_no", F.row_number().over(Window.orderBy(order)))
