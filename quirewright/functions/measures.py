@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quirewright.functions.text import once
+
 #: First code point that stands for a token when token sequences are compared as strings, and how many there are below the surrogates.
 _FIRST, MOST_TOKENS = 0x4E00, 0xD7FF - 0x4E00
 
@@ -18,14 +20,13 @@ def token_distance(a: Column, b: Column) -> Column:
 
     For pairs of at most ``MOST_TOKENS`` distinct tokens; more raise an error.
     """
-    known = F.array_distinct(F.concat(a, b))
-    known = F.when(F.size(known) <= MOST_TOKENS, known).otherwise(F.raise_error(F.lit("too many distinct tokens in a pair")))
 
-    def coded(xs: Column) -> Column:
+    def compared(known: Column) -> Column:
         sign = lambda t: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, t) + (_FIRST - 1)), 4, "0")), "UTF-16BE")
-        return F.array_join(F.transform(xs, sign), "")
+        coded = lambda xs: F.array_join(F.transform(xs, sign), "")
+        return F.when(F.size(known) <= MOST_TOKENS, F.levenshtein(coded(a), coded(b))).otherwise(F.raise_error(F.lit("too many distinct tokens in a pair")).cast("int"))
 
-    return F.levenshtein(coded(a), coded(b))
+    return once(F.array_distinct(F.concat(a, b)), compared)
 
 
 def error_rate(distance: Column, reference: Column, hypothesis: Column) -> Column:
@@ -38,17 +39,20 @@ def rate(part: Column, whole: Column) -> Column:
     return F.bround(F.try_divide(part, whole), 6)
 
 
-def token_overlap(a: Column, b: Column) -> Column:
-    """Multiset sizes of two token arrays: struct of shared (smaller counts) and either (larger counts)."""
-    distinct = F.array_distinct(F.concat(a, b))
-    count = lambda xs, t: F.size(F.filter(xs, lambda x: x == t))
-    add = lambda pick: F.aggregate(distinct, F.lit(0), lambda s, t: s + pick(count(a, t), count(b, t)))
-    return F.struct(add(F.least).alias("shared"), add(F.greatest).alias("either"))
+def numbered(tokens: Column) -> Column:
+    """Tokens told apart by their occurrence, so that sets of them are multisets of tokens."""
+    mark = lambda s: F.transform(s, lambda t, i: F.concat(t, F.lit("\u0001"), (i - F.array_position(s, t)).cast("string")))
+    return once(F.array_sort(tokens), mark)
+
+
+def numbered_jaccard(a: Column, b: Column) -> Column:
+    """Multiset Jaccard of two arrays of ``numbered`` tokens; 0 if either is empty."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
-    o = token_overlap(a, b)
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(o["shared"] / o["either"])
+    return numbered_jaccard(numbered(a), numbered(b))
 
 
 def winner(left: Column, right: Column, left_name: str, right_name: str, lower_wins: bool) -> Column:

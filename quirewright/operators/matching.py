@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +19,14 @@ def candidates(reference: DataFrame, found: DataFrame, page: list[str], same_typ
 
     Both sides need block (number), tokens, bbox, block_type. An equi-join on the page; the overlap is a residual condition.
     """
-    a = reference.select(*page, F.col("block").alias("ref"), F.col("tokens").alias("rt"), F.col("bbox").alias("rb"), F.col("block_type").alias("rk"))
-    b = found.select(*page, F.col("block").alias("hyp"), F.col("tokens").alias("ht"), F.col("bbox").alias("hb"), F.col("block_type").alias("hk"))
-    pairs = a.join(b, page)
+    a = reference.select(*page, F.col("block").alias("ref"), M.numbered(F.col("tokens")).alias("rt"), F.col("bbox").alias("rb"), F.col("block_type").alias("rk"))
+    b = found.select(*page, F.col("block").alias("hyp"), M.numbered(F.col("tokens")).alias("ht"), F.col("bbox").alias("hb"), F.col("block_type").alias("hk"))
+    # the pairs cost far more than their bytes say: a fixed number of tasks, which the assignment's grouping then reuses
+    tasks = max(2, int(reference.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = a.repartition(tasks, *page).join(b.repartition(tasks, *page), page)
     if same_type:
         pairs = pairs.filter("rk <=> hk")
-    pairs = pairs.withColumn("jaccard", M.token_jaccard(F.col("rt"), F.col("ht")))
+    pairs = pairs.withColumn("jaccard", M.numbered_jaccard(F.col("rt"), F.col("ht")))
     pairs = pairs.withColumn("iou", G.iou(F.col("rb"), F.col("hb")) if boxes else F.lit(None).cast("double"))
     return pairs.filter((F.col("jaccard") >= LEAST_JACCARD) | (F.coalesce("iou", F.lit(0.0)) >= LEAST_IOU)).select(*page, "ref", "hyp", "rk", "hk", "jaccard", "iou")
 
@@ -80,13 +82,15 @@ def best_assignment(edges: list[tuple[int, int, float]]) -> list[int]:
 def assigned(pairs: DataFrame, page: list[str]) -> DataFrame:
     """The candidates that the best one-to-one assignment of each page takes; a page's blocks are one small group."""
 
-    def solve(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(["ref", "hyp"], kind="stable")
-        iou = t["iou"].fillna(0.0)
-        weight = np.maximum(t["jaccard"], iou) + 1e-6 * t["jaccard"] + 1e-9 * iou
-        return t.iloc[best_assignment(list(zip(t["ref"], t["hyp"], weight)))]
+    def solve(t: pa.Table) -> pa.Table:
+        ref, hyp, jaccard, iou = (t[c].to_pylist() for c in ("ref", "hyp", "jaccard", "iou"))
+        if len(set(ref)) == len(ref) and len(set(hyp)) == len(hyp):
+            return t  # one to one already
+        rows = sorted(range(len(ref)), key=lambda k: (ref[k], hyp[k]))
+        edges = [(ref[k], hyp[k], max(jaccard[k], iou[k] or 0.0) + 1e-6 * jaccard[k] + 1e-9 * (iou[k] or 0.0)) for k in rows]
+        return t.take([rows[k] for k in best_assignment(edges)])
 
-    return pairs.groupBy(*page).applyInPandas(solve, pairs.schema)
+    return pairs.groupBy(*page).applyInArrow(solve, pairs.schema)
 
 
 def order_scores(matches: DataFrame, page: list[str], counts: DataFrame) -> DataFrame:

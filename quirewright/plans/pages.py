@@ -15,6 +15,7 @@ from quirewright.operators import layout as L
 from quirewright.operators import matching as X
 from quirewright.operators import routing as R
 from quirewright.plans.tables import table
+from quirewright.session import spread
 from quirewright.sources import artifacts as A
 
 WS = T.SPACES
@@ -52,7 +53,7 @@ def _signals(c: str) -> str:
 
 @query(f"SELECT doc_id, {_signals('text')} FROM documents")
 def page_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", R.text_signals("text").alias("s")).select("doc_id", "s.*")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", R.text_signals("text").alias("s")).select("doc_id", "s.*")
 
 
 _CLASS = """CASE WHEN u AND NOT d THEN 'DIGITAL' WHEN u THEN 'MIXED' WHEN coalesce(n > 0, false) OR d THEN 'SCANNED' ELSE 'OCR_NEEDED' END"""
@@ -62,7 +63,7 @@ _CLASSIFIED = f"""SELECT delivery_id, job_id, {_CLASS} AS classification FROM (
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = spread(table(spark, sf_dir, "pages").select("delivery_id", "job_id", "native_text", "signals"))
     return p.select("delivery_id", "job_id", R.classify(R.text_signals("native_text"), F.col("signals.image_count"), F.col("signals.image_area_ratio")).alias("classification"))
 
 
@@ -77,7 +78,7 @@ def classification_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "calibration_pages").withColumn("signals", R.text_signals("tesseract_text"))
+    c = spread(table(spark, sf_dir, "calibration_pages")).withColumn("signals", R.text_signals("tesseract_text"))
     return c.select("page_key", "expected_auto_accept", "signals", "confidences", "lang")
 
 
@@ -192,7 +193,7 @@ def _sql_text(s: str) -> str:
 
 @query(f"SELECT doc_id, array_to_string(list_transform(regexp_extract_all(coalesce(text, ''), '{T.CRITICAL_VALUE}'), lambda v: lower(replace(regexp_replace(v, '[{WS}]+', '', 'g'), '−', '-'))), '|') AS critical FROM documents")
 def critical_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.critical_values("text"), "|").alias("critical"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.array_join(T.critical_values("text"), "|").alias("critical"))
 
 
 _BLOCKS = """SELECT result_id, prediction_no, CAST(block_no AS INT) AS block_no, b.label AS label, b.reading_order AS reading_order, b.html AS html FROM (
@@ -365,8 +366,7 @@ def confidence_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character and word distances of every calibration page that has both texts; each page is one bounded unit."""
     c = table(spark, sf_dir, "calibration_pages").filter("reference_text IS NOT NULL AND tesseract_text IS NOT NULL")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    c = c.select("page_key", "split", "lang", "reference_text", "tesseract_text").repartition(tasks, "page_key")
+    c = spread(c.select("page_key", "split", "lang", "reference_text", "tesseract_text"))
     c = c.withColumn("r", T.evaluation_text("reference_text")).withColumn("h", T.evaluation_text("tesseract_text"))
     c = c.withColumn("rt", T.tokens(F.col("r"))).withColumn("ht", T.tokens(F.col("h")))
     return c.select(

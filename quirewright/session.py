@@ -60,3 +60,9 @@ def reachable(spark: SparkSession) -> None:
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if home not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if its scan has fewer tasks than cores; a large scan stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
