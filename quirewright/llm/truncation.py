@@ -4,7 +4,8 @@ Two kinds of evidence are combined for every document. Its length: for every sou
 fitted by maximum likelihood to the histogram of lengths, in code points and in bytes; where lengths pile up at a value
 that the fitted density can't explain, that value is a candidate limit, and a document there has a censoring posterior,
 the share of the pile that the density leaves unexplained. Its ending: what the text's last line is, and whether its last
-word stands inside other texts as a whole word, counted over all documents.
+word stands inside other texts as a whole word, counted over all documents. How much each ending says at a limit is
+counted too: how often it stands in the piles beyond what the density explains, and how often outside of them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirewright.session import settled
+
 #: A pile is looked for in windows of so many lengths that end at the limit: a mark or a word's rest may shorten or lengthen a value.
 WINDOWS = (1, 4, 16)
 #: Log likelihood that a limit must win, and the least documents of its pile.
@@ -22,9 +25,15 @@ LEAST_GAIN, LEAST_PILE = 9.0, 4
 #: Lengths up to this have a histogram bin each, longer ones bins of 0.1 %; so a source's histogram is bounded.
 EXACT_LENGTHS = 65_536
 #: Log odds of being cut that each ending gives before the length is looked at.
-ENDING_LOG_ODDS = {"broken": 9.0, "mark": 6.0, "fragment": 5.0, "part_word": 4.0, "open": -8.0, "whole_line": -4.0, "sentence": -12.0, "none": -20.0}
+ENDING_LOG_ODDS = {"broken": 9.0, "mark": 6.0, "fragment": 5.0, "part_word": 4.0, "open": -8.0, "whole_line": -4.0, "inner_stop": -12.0, "sentence": -12.0, "none": -20.0}
+#: Endings that stop inside no word or sentence: no case, whatever the length.
+FINISHED = ("sentence", "none")
+#: Share of cut texts at no limit, and documents that all sources' counts of endings weigh against a source's own.
+PRIOR, POOLED_WEIGHT = 0.35, 10.0
 #: Occurrences inside texts that make a word a known one, and those that make its beginnings telling.
 KNOWN, FREQUENT = 1, 12
+#: Times that a sentence goes on behind a word's full stop, and their share of the word's occurrences, that make it an abbreviation.
+ABBREVIATED, ABBREVIATED_SHARE = 3, 0.5
 
 _MARK = r"(?<!\s)\s*+(…|\.\.\.|\[\s*(\.\.\.|…|more|truncated|cut)\s*\]|\(\s*(\.\.\.|…|more|truncated|cut|continued|cont\.)\s*\)|<truncated>|--more--)$"
 _STOP = r"([.!?।॥|]|\.\.\.)[\"'”’»)\]]*$"
@@ -64,6 +73,7 @@ def _ending(text: Column) -> dict[str, Column]:
         "previous": F.when(F.size(lines) > 1, _end(F.trim(F.element_at(lines, -2)))),
         "paragraph": F.trim(F.element_at(F.split(body, r"\n[ \t]*\n\s*"), -1)),
         "last_word": F.regexp_extract(body, rf"({_WORD})$", 1),
+        "stop_word": F.regexp_extract(body, rf"({_WORD})\.$", 1),
     }
 
 
@@ -76,7 +86,7 @@ def _columns(line: Column) -> Column:
 
 
 def ending_kinds(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``ending``, one of the names in ``ENDING_LOG_ODDS``; needs a column ``known`` and one ``begins`` of the last word."""
+    """``df`` with ``ending``, one of the names in ``ENDING_LOG_ODDS``; needs columns ``known`` and ``begins`` of the last word, ``abbreviation`` of the one before the stop."""
     line, previous, paragraph, body = (F.col(c) for c in ("line", "previous", "paragraph", "body"))
     word = F.col("last_word")
     stopped = body.rlike(_STOP) & ~body.rlike(_INNER_STOP)
@@ -93,6 +103,7 @@ def ending_kinds(df: DataFrame, text: str = "text") -> DataFrame:
     kind = (
         F.when(F.coalesce(F.length("bare") == 0, F.lit(True)), "none")
         .when(F.col("bare").rlike(r"[�\x{D800}-\x{DFFF}]$"), "broken")
+        .when(stopped & F.col("abbreviation") & (F.col("stop_word") != ""), "inner_stop")
         .when(stopped, "sentence")
         .when(F.col("marked"), "mark")
         .when(table_cut | line.rlike(_REFERENCE_CUT) | line.rlike(r"^\P{Ll}[^\n]{1,60},\s+[\p{L}]+\s\d{1,3}$"), "part_word")
@@ -194,6 +205,37 @@ def source_limits(lengths: DataFrame) -> DataFrame:
     return histogram.groupBy("source", "unit").applyInPandas(fit, "source string, unit string, from_length bigint, to_length bigint, posterior double")
 
 
+def ending_odds(judged: DataFrame) -> DataFrame:
+    """source, odds: log odds that each ending gives at the source's limits, counted inside and outside the piles.
+
+    Of the documents at a limit as many as the density explains end as those at no limit do; the rest are cut. Both
+    shares lean on those of all sources where a source has few documents. Needs columns source, ending, posterior.
+    """
+    counts = judged.groupBy("source", "ending").agg(
+        F.count_if(F.col("posterior").isNull()).alias("outside"), F.count("posterior").alias("piled"), F.coalesce(F.sum(1 - F.col("posterior")), F.lit(0.0)).alias("whole")
+    )
+    # a row for each ending, whatever the size of the table
+    rows = {r["ending"]: r for r in counts.groupBy("ending").agg(F.sum("outside").alias("outside"), F.sum("piled").alias("piled"), F.sum("whole").alias("whole")).collect()}
+    of = lambda c, e: float(rows[e][c]) if e in rows else 0.0
+    n = len(ENDING_LOG_ODDS)
+    outside, whole = (sum(of(c, e) for e in ENDING_LOG_ODDS) for c in ("outside", "whole"))
+    usual = {e: (of("outside", e) + 0.5) / (outside + 0.5 * n) for e in ENDING_LOG_ODDS}
+    excess = {e: max(0.0, of("piled", e) - whole * usual[e]) for e in ENDING_LOG_ODDS}
+    cut = {e: (x + 0.5) / (sum(excess.values()) + 0.5 * n) for e, x in excess.items()}
+    own = counts.groupBy("source").agg(
+        F.sum("outside").alias("outside"), F.sum("whole").alias("whole"), F.map_from_entries(F.collect_list(F.struct("ending", F.struct("outside", "piled").alias("n")))).alias("by")
+    )
+
+    def count(c: str, e: str) -> Column:
+        return F.coalesce(F.try_element_at("by", F.lit(e))[c], F.lit(0))
+
+    own = own.withColumns({f"q_{e}": (count("outside", e) + POOLED_WEIGHT * usual[e]) / (F.col("outside") + POOLED_WEIGHT) for e in ENDING_LOG_ODDS})
+    own = own.withColumns({f"x_{e}": F.greatest(F.lit(0.0), count("piled", e) - F.col("whole") * F.col(f"q_{e}")) for e in ENDING_LOG_ODDS})
+    own = own.withColumn("cut", sum((F.col(f"x_{e}") for e in ENDING_LOG_ODDS), F.lit(0.0)))
+    odds = {e: F.log((F.col(f"x_{e}") + POOLED_WEIGHT * cut[e]) / (F.col("cut") + POOLED_WEIGHT) / F.col(f"q_{e}")) for e in ENDING_LOG_ODDS}
+    return own.select("source", F.create_map(*[x for e, v in odds.items() for x in (F.lit(e), v)]).alias("odds"))
+
+
 def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``key``, source, ending, posterior (of the length, null where it is at no limit) and ``cut`` for every row.
 
@@ -203,7 +245,8 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     rows = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), F.col(f"`{text}`").cast("string").alias("text"))
     lengths = rows.select("source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"))
     # words inside texts, with what stands behind them seen, so whole; a map-side sum leaves one row a word and task
-    inside = rows.select(F.explode(F.regexp_extract_all("text", F.lit(rf"({_WORD})(?=[^�])"), 1)).alias("word")).groupBy("word").count()
+    inside = rows.select(F.explode(F.regexp_extract_all("text", F.lit(rf"({_WORD}(?:\.(?=[,;]|\s+\p{{Ll}}))?)(?=[^�])"), 1)).alias("word"))
+    inside = inside.select(F.rtrim("word", F.lit(".")).alias("word"), F.endswith("word", F.lit(".")).alias("goes_on")).groupBy("word").agg(F.count("*").alias("count"), F.count_if("goes_on").alias("goes_on"))
     begins = (
         inside.filter(F.col("count") >= FREQUENT)
         .filter(F.length("word") > 1)
@@ -211,27 +254,31 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
         .distinct()
         .select("word", F.lit(True).alias("begins"))
     )
-    words = inside.filter(F.col("count") >= KNOWN).select("word", F.lit(True).alias("known")).join(begins, "word", "full_outer")
-    ends = rows.withColumns(_ending(F.col("text"))).select("key", "source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "bare", "marked", "body", "line", "previous", "paragraph", "last_word")
-    # a text that ends in a stop needs no word looked up; its key is spread, so that no task gets all of them
-    sure = F.col("body").rlike(_STOP) & ~F.col("body").rlike(_INNER_STOP) | (F.length("last_word") == 0)
+    abbreviation = (F.col("goes_on") >= ABBREVIATED) & (F.col("goes_on") >= ABBREVIATED_SHARE * F.col("count"))
+    words = inside.filter(F.col("count") >= KNOWN).select("word", F.lit(True).alias("known"), abbreviation.alias("abbreviation")).join(begins, "word", "full_outer")
+    ends = rows.withColumns(_ending(F.col("text"))).select("key", "source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "bare", "marked", "body", "line", "previous", "paragraph", "last_word", "stop_word")
+    # a text that ends in neither a word nor a word's full stop needs none looked up; its key is spread, so that no task gets all of them
+    looked_up = F.when(F.length("last_word") > 0, F.col("last_word")).otherwise(F.col("stop_word"))
     spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("body", "chars"), F.lit(4096)).cast("string"))
-    ends = ends.withColumn("word", F.when(F.coalesce(sure, F.lit(True)), spread).otherwise(F.col("last_word")))
+    ends = ends.withColumn("word", F.when(F.coalesce(F.length(looked_up) == 0, F.lit(True)), spread).otherwise(looked_up))
     # only the last words' own rows are wanted of the vocabulary; the documents' side carries a text's last paragraph, not the text
     judged = ending_kinds(
         ends.withColumn("body", F.substring("body", -LINE_END, LINE_END)).withColumn("bare", F.substring("bare", -LINE_END, LINE_END))
         .join(words, "word", "left")
-        .withColumns({"known": F.coalesce("known", F.lit(False)), "begins": F.coalesce("begins", F.lit(False))})
+        .withColumns({"known": F.coalesce("known", F.lit(False)), "begins": F.coalesce("begins", F.lit(False)), "abbreviation": F.coalesce("abbreviation", F.lit(False))})
     ).select("key", "source", "chars", "bytes", "ending")
     limits = source_limits(lengths).groupBy("source").agg(F.collect_list(F.struct("unit", "from_length", "to_length", "posterior")).alias("limits"))
     near = F.filter("limits", lambda p: F.when(p["unit"] == "chars", F.col("chars")).otherwise(F.col("bytes")).between(p["from_length"], p["to_length"]))
     posterior = F.array_max(F.transform(near, lambda p: p["posterior"]))
-    odds = F.element_at(F.create_map(*[x for k, v in ENDING_LOG_ODDS.items() for x in (F.lit(k), F.lit(v))]), F.col("ending"))
-    p = F.least(F.greatest(F.coalesce("posterior", F.lit(0.35)), F.lit(0.02)), F.lit(0.999))
+    judged = judged.join(limits, "source", "left").select("key", "source", "ending", posterior.alias("posterior"))
+    judged = settled(judged, "endings")  # a few bytes a document; counted, and then judged by the counts
+    log_odds = lambda share: F.log(share / (1 - share))
+    # a text may be cut at any length, so the length never speaks against an ending that tells by itself
+    alone = F.element_at(F.create_map(*[x for k, v in ENDING_LOG_ODDS.items() for x in (F.lit(k), F.lit(v))]), F.col("ending")) + log_odds(F.lit(PRIOR))
+    at_limit = F.element_at("odds", F.col("ending")) + log_odds(F.least(F.greatest("posterior", F.lit(1e-6)), F.lit(1 - 1e-6)))
     return (
-        judged.join(limits, "source", "left")
-        .withColumn("posterior", posterior)
-        .withColumn("log_odds", odds + F.log(p / (1 - p)))
+        judged.join(ending_odds(judged), "source", "left")
+        .withColumn("log_odds", F.when(F.col("ending").isin(*FINISHED), alone).otherwise(F.greatest(alone, at_limit)))
         .select(F.col("key").alias(key), F.when(F.col("source") != "", F.col("source")).alias("source"), "ending", "posterior", "log_odds", (F.col("log_odds") > 0).alias("cut"))
     )
 

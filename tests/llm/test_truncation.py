@@ -54,3 +54,27 @@ def test_endings_and_limits(spark):
     shares = truncation_by_source(judged).toPandas()
     assert shares.texts.sum() == len(rows) and set(shares.source.fillna("")) == {"a", "b", ""}
     assert truncated_texts(df.limit(0)).count() == 0
+
+
+def test_a_certain_pile_overrules_endings_of_whole_words(spark):
+    r = random.Random(5)
+    rows, cut = [], set()
+    for k in range(1200):
+        if k % 4 == 0:  # one line, cut at 40 behind whole words
+            t = ("found in the " + " ".join(r.choice(NOUNS) for _ in range(9)))[:40]
+            if not t.endswith(" ") and any(t.endswith(" " + w) for w in NOUNS):
+                cut.add(k)
+            rows.append((k, t, "cards"))
+        elif k % 4 == 1:
+            rows.append((k, "in the " + r.choice(NOUNS) + " " + "x" * r.randrange(1, 9) + " " + r.choice(NOUNS), "cards"))
+        elif k % 4 == 2:  # cut behind an abbreviation that no list holds, in a pile of texts cut at 500
+            t = " ".join(sentence(r) for _ in range(12))
+            rows.append((k, t[:490] + " " * 2 + "xabbrvt." if k % 40 == 2 else t[:500], "letters"))
+            if k % 40 == 2:
+                cut.add(k)
+        else:
+            rows.append((k, " ".join(sentence(r) for _ in range(r.randrange(2, 6))) + f" It took xabbrvt. {r.choice(NOUNS)} and ended.", "letters"))
+    judged = {x.doc_id: x for x in truncated_texts(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert len(cut) > 60 and sum(judged[k].cut for k in cut) > 0.95 * len(cut)
+    assert {judged[k].ending for k in cut} >= {"open", "inner_stop"}
+    assert not any(judged[k].cut for k, _, _ in rows if k % 4 in (1, 3))
