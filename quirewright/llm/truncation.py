@@ -22,8 +22,6 @@ from quirewright.session import settled
 WINDOWS = (1, 4, 16)
 #: Log likelihood that a limit must win, and the least documents of its pile.
 LEAST_GAIN, LEAST_PILE = 9.0, 4
-#: Lengths up to this have a histogram bin each, longer ones bins of 0.1 %; so a source's histogram is bounded.
-EXACT_LENGTHS = 65_536
 #: Log odds of being cut that each ending gives before the length is looked at.
 ENDING_LOG_ODDS = {"broken": 9.0, "mark": 6.0, "fragment": 5.0, "part_word": 4.0, "open": -8.0, "whole_line": -4.0, "inner_stop": -12.0, "sentence": -12.0, "none": -20.0}
 #: Endings that stop inside no word or sentence: no case, whatever the length.
@@ -154,22 +152,23 @@ def censoring_limits(length: np.ndarray, count: np.ndarray) -> list[tuple[int, i
     at_limit = np.zeros(len(length), bool)
     # share of the values that any smooth density would put near a length: counted around it, the window itself left out
     heap = np.cumsum(np.r_[0, count])
-    for _ in range(8):
+    x = np.log(length)
+    hi = np.arange(1, len(length) + 1)
+    windows = []
+    for width in WINDOWS:
+        lo = np.searchsorted(length, length - width + 1)
+        # the denser of both sides, so that neither the slope nor the top of a mode of its own looks like a pile
+        reach = np.maximum(0.1 * length, 2 * width + 4)
+        left = heap[lo] - heap[np.searchsorted(length, length - width + 1 - reach)]
+        right = heap[np.searchsorted(length, length + reach, "right")] - heap[hi]
+        windows.append((width, lo, heap[hi] - heap[lo], np.maximum(left, right) * width / reach))
+    while not at_limit.all():  # each pile takes lengths away, so the search ends
         spare = ~at_limit
         limit = float(length[at_limit].min()) if at_limit.any() else np.inf
         _, mu, sd = _fit(length, count, limit) if np.isfinite(limit) and count[length < limit].sum() >= 8 else _fit(length[spare], count[spare], np.inf)
         best: tuple[float, int, int, float] | None = None
-        for width in WINDOWS:
-            lo = np.searchsorted(length, length - width + 1)
-            hi = np.arange(1, len(length) + 1)
-            pile = heap[hi] - heap[lo]
-            x = np.log(length)
+        for width, lo, pile, around in windows:
             fitted = total * width * np.exp(-0.5 * ((x - mu) / sd) ** 2) / (sd * math.sqrt(2 * math.pi)) / length
-            # the denser of both sides, so that neither the slope nor the top of a mode of its own looks like a pile
-            reach = np.maximum(0.1 * length, 2 * width + 4)
-            left = heap[lo] - heap[np.searchsorted(length, length - width + 1 - reach)]
-            right = heap[np.searchsorted(length, length + reach, "right")] - heap[hi]
-            around = np.maximum(left, right) * width / reach
             expected = np.maximum(np.maximum(fitted, around), 1e-3 * width)
             gain = np.where(pile > expected, pile * np.log(np.maximum(pile, 1e-9) / expected) - (pile - expected), 0.0) - math.log(len(length) * len(WINDOWS))
             gain[(pile < LEAST_PILE) | at_limit | (length < 4 * width)] = 0.0
@@ -186,13 +185,10 @@ def censoring_limits(length: np.ndarray, count: np.ndarray) -> list[tuple[int, i
 
 def source_limits(lengths: DataFrame) -> DataFrame:
     """Piles of each source: source, unit, from_length, to_length, posterior. Needs columns source, chars, bytes."""
-
-    def binned(c: str) -> Column:
-        return F.when(F.col(c) <= EXACT_LENGTHS, F.col(c)).otherwise(F.exp(F.round(F.log(F.col(c).cast("double")), 3)).cast("bigint"))
-
+    # every length has its own count: a source of b bytes has at most sqrt(2 b) different ones
     histogram = (
         lengths.filter("chars > 0")
-        .select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), binned("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), binned("bytes").alias("n")))).alias("x"))
+        .select("source", F.explode(F.array(*[F.struct(F.lit(c).alias("unit"), F.col(c).cast("bigint").alias("n")) for c in ("chars", "bytes")])).alias("x"))
         .groupBy("source", "x.unit", "x.n")
         .count()
     )

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from quirewright.llm.truncation import _fit, censoring_limits, truncated_texts, truncation_by_source
+from quirewright.llm.truncation import _fit, censoring_limits, source_limits, truncated_texts, truncation_by_source
 
 NOUNS = ["ledger", "harbour", "archive", "station", "drawing", "committee", "estimate", "signature"]
 
@@ -78,3 +78,17 @@ def test_a_certain_pile_overrules_endings_of_whole_words(spark):
     assert len(cut) > 60 and sum(judged[k].cut for k in cut) > 0.95 * len(cut)
     assert {judged[k].ending for k in cut} >= {"open", "inner_stop"}
     assert not any(judged[k].cut for k, _, _ in rows if k % 4 in (1, 3))
+
+
+def test_limits_of_long_texts_and_more_than_eight(spark):
+    r = np.random.default_rng(6)
+    n = np.minimum(np.round(np.exp(r.normal(11.4, 0.3, 600))), 100_000)
+    rows = [("a", int(k), 3 * int(k)) for k in n]
+    found = source_limits(spark.createDataFrame(rows, "source string, chars int, bytes int")).collect()
+    for unit, limit in (("chars", 100_000), ("bytes", 300_000)):
+        assert any(x.unit == unit and x.from_length <= limit <= x.to_length for x in found)
+    smooth = np.round(np.exp(r.normal(7, 0.6, 4000)))
+    limits = [300 + 170 * k for k in range(14)]
+    n, c = np.unique(np.r_[smooth, np.repeat(limits, 60)], return_counts=True)
+    found = censoring_limits(n, c.astype(float))
+    assert all(any(a <= k <= z for a, z, _ in found) for k in limits)
