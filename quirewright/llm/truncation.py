@@ -11,6 +11,9 @@ counted too: how often it stands in the piles beyond what the density explains,
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,67 +51,85 @@ _REFERENCE = r"^\p{Lu}[\p{L}.]{1,10}\s[\p{Lu}\p{N}]+-\p{N}+/\p{Lu}$"
 _REFERENCE_CUT = r"^Ref\.?(\s[\p{Lu}\p{N}]*(-(\p{N}+/?)?)?)?$"
 _WORD = r"(?<![\p{L}\p{M}])[\p{L}\p{M}]++"  # tried once at each word's beginning: linear in runs of any length
 _BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u200c\u200d\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: Code points of a text's end in which its last paragraph is looked at.
-TEXT_END = 1_500
-#: A line's end that is looked at; the kinds of line but prose are shorter.
-LINE_END = 400
+#: What every mark ends in, so that other texts needn't be searched for one.
+_MARK_ENDS = ("…", "...", "]", ")", ">", "--")
 
 
 def _ending(text: Column) -> dict[str, Column]:
-    """Columns of a text's end: the kinds of its last line and paragraph, and its last word."""
-    # blanks go from the whole text by a plain trim; what follows only concerns its end
+    """Columns of a text's end: its last two lines and its last paragraph, whole, and its last word."""
     bare = F.rtrim(text, F.lit(_BLANKS))
-    bare = F.regexp_replace(F.substring(bare, -TEXT_END, TEXT_END), r"\r\n?", "\n")
-    unmarked = F.regexp_replace(bare, _MARK, "")
-    marked = F.length(unmarked) < F.length(bare)
-    body = F.when(marked, F.rtrim(unmarked, F.lit(_BLANKS))).otherwise(bare)
-    lines = F.split(body, "\n")
-    return {
-        "bare": bare,
-        "marked": marked,
-        "body": body,
-        "line": _end(F.trim(F.element_at(lines, -1))),
-        "previous": F.when(F.size(lines) > 1, _end(F.trim(F.element_at(lines, -2)))),
-        "paragraph": F.trim(F.element_at(F.split(body, r"\n[ \t]*\n\s*"), -1)),
-        "last_word": F.regexp_extract(body, rf"({_WORD})$", 1),
-        "stop_word": F.regexp_extract(body, rf"({_WORD})\.$", 1),
-    }
+    # only texts with the sign are rewritten, and only those that may hold a mark are searched for one
+    bare = F.when(F.instr(bare, "\r") > 0, F.replace(F.replace(bare, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))).otherwise(bare)
+    ends = F.lower(F.right(bare, F.lit(3)))
+    unmarked = F.when(reduce(or_, [F.endswith(ends, F.lit(e)) for e in _MARK_ENDS]), F.regexp_replace(bare, _MARK, "")).otherwise(bare)
+    return {"bare": bare, "unmarked": unmarked}
+
 
+def _end_parts() -> dict[str, Column]:
+    """The columns that follow from ``bare`` and ``unmarked``."""
+    marked = F.length("unmarked") < F.length("bare")
+    return {"marked": marked, "body": F.when(marked, F.rtrim("unmarked", F.lit(_BLANKS))).otherwise(F.col("bare"))}
 
-def _end(line: Column) -> Column:
-    return F.when(F.length(line) <= LINE_END, line).otherwise(F.concat(F.lit("… "), F.substring(line, -LINE_END, LINE_END)))
+
+def _end_lines() -> dict[str, Column]:
+    """The columns that follow from ``body``."""
+    body = F.col("body")
+    last = F.substring_index(body, "\n", -1)
+    two = F.substring_index(body, "\n", -2)
+    return {
+        "last_lines": two,
+        "line": F.trim(last),
+        "previous": F.when(F.instr(body, "\n") > 0, F.trim(F.substring_index(two, "\n", 1))),
+        # from the text's end backwards to the last blank line
+        "paragraph": F.trim(F.when(F.instr(body, "\n") > 0, F.regexp_replace(body, r"\A(?s:.*)\n[ \t]*\n\s*+", "")).otherwise(body)),
+        "last_word": F.regexp_extract(last, rf"({_WORD})$", 1),
+        "stop_word": F.regexp_extract(last, rf"({_WORD})\.$", 1),
+    }
 
 
 def _columns(line: Column) -> Column:
     return F.regexp_count(line, F.lit(_TABLE))
 
 
-def ending_kinds(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``ending``, one of the names in ``ENDING_LOG_ODDS``; needs columns ``known`` and ``begins`` of the last word, ``abbreviation`` of the one before the stop."""
-    line, previous, paragraph, body = (F.col(c) for c in ("line", "previous", "paragraph", "body"))
+def ending_signs() -> dict[str, Column]:
+    """What the whole last lines and the whole last paragraph show, as a few truth values that travel in place of the text."""
+    line, previous, paragraph, body, lines = (F.col(c) for c in ("line", "previous", "paragraph", "body", "last_lines"))
+    title = line.rlike(_CAPITALISED) & (F.length(line) <= 90) & ~F.lower(line).rlike(rf"(^|\s){_SMALL}$")
+    table = line.rlike(_TABLE) | (F.coalesce(previous.rlike(_TABLE), F.lit(False)) & paragraph.contains(" | "))
+    return {
+        "blank": F.coalesce(F.length("bare") == 0, F.lit(True)),
+        "broken": F.right("bare", F.lit(1)).rlike(r"[�\x{D800}-\x{DFFF}]$"),
+        "stopped": lines.rlike(_STOP) & ~lines.rlike(_INNER_STOP),
+        "table": table,
+        "table_cut": F.coalesce(previous.rlike(_TABLE) & (_columns(previous) > _columns(line)), F.lit(False)) & (paragraph != line),
+        "reference_cut": line.rlike(_REFERENCE_CUT) | line.rlike(r"^\P{Ll}[^\n]{1,60},\s+[\p{L}]+\s\d{1,3}$"),
+        "line_kind": line.rlike(_LIST) | line.rlike(_COMMAND) | line.rlike(_FIELD) | line.rlike(_PLACE_DATE) | line.rlike(_REFERENCE) | line.rlike(r"_{3,}$"),
+        "single": (F.instr(body, "\n") == 0) & (F.length(body) <= 60) & ~body.rlike(r"[.!?।|,;]\s"),
+        "title": title,
+        # inside a paragraph of prose: it has a finished sentence, or a line that isn't of the kinds above
+        "prose_before": title & paragraph.rlike(r"(?U)[\p{L}\p{N}%)][.!?।|]\s") & ~table,
+        "title_last": title & paragraph.contains("\n") & ~paragraph.rlike(r"(?U)[\p{Ll}\p{Lo}][.!?।|]\s"),
+    }
+
+
+def ending_kinds(df: DataFrame) -> DataFrame:
+    """``df`` with ``ending``, one of the names in ``ENDING_LOG_ODDS``; needs the columns of ``ending_signs``, ``known`` and ``begins`` of the last word, ``abbreviation`` of the one before the stop."""
     word = F.col("last_word")
-    stopped = body.rlike(_STOP) & ~body.rlike(_INNER_STOP)
     # a word never seen whole that frequent words begin with, or a lower-case one never seen at all
     part = (F.length(word) >= 1) & ~F.col("known") & F.col("begins")
     strange = (F.length(word) >= 1) & ~F.col("known") & word.rlike(r"^\p{Ll}")
-    title = line.rlike(_CAPITALISED) & (F.length(line) <= 90) & ~F.lower(line).rlike(rf"(^|\s){_SMALL}$")
-    table = line.rlike(_TABLE) | (F.coalesce(previous.rlike(_TABLE), F.lit(False)) & paragraph.contains(" | "))
-    table_cut = F.coalesce(previous.rlike(_TABLE) & (_columns(previous) > _columns(line)), F.lit(False)) & (paragraph != line)
-    line_kind = line.rlike(_LIST) | line.rlike(_COMMAND) | line.rlike(_FIELD) | line.rlike(_PLACE_DATE) | line.rlike(_REFERENCE) | line.rlike(r"_{3,}$")
-    single = (F.instr(body, "\n") == 0) & (F.length(body) <= 60) & ~body.rlike(r"[.!?।|,;]\s")
-    # inside a paragraph of prose: it has a finished sentence, or a line that isn't of the kinds above
-    prose_before = paragraph.rlike(r"(?U)[\p{L}\p{N}%)][.!?।|]\s") & ~table
+    table, stopped, title = F.col("table"), F.col("stopped"), F.col("title")
     kind = (
-        F.when(F.coalesce(F.length("bare") == 0, F.lit(True)), "none")
-        .when(F.col("bare").rlike(r"[�\x{D800}-\x{DFFF}]$"), "broken")
+        F.when(F.col("blank"), "none")
+        .when(F.col("broken"), "broken")
         .when(stopped & F.col("abbreviation") & (F.col("stop_word") != ""), "inner_stop")
         .when(stopped, "sentence")
         .when(F.col("marked"), "mark")
-        .when(table_cut | line.rlike(_REFERENCE_CUT) | line.rlike(r"^\P{Ll}[^\n]{1,60},\s+[\p{L}]+\s\d{1,3}$"), "part_word")
-        .when(table | line_kind, F.when(part | (strange & ~table), "part_word").otherwise("whole_line"))
-        .when(title & ~prose_before, F.when(part, "part_word").otherwise("whole_line"))
-        .when(title & paragraph.contains("\n") & ~paragraph.rlike(r"(?U)[\p{Ll}\p{Lo}][.!?।|]\s"), F.when(part, "part_word").otherwise("whole_line"))
-        .when(single, F.when(part | strange, "part_word").otherwise("open"))
+        .when(F.col("table_cut") | F.col("reference_cut"), "part_word")
+        .when(table | F.col("line_kind"), F.when(part | (strange & ~table), "part_word").otherwise("whole_line"))
+        .when(title & ~F.col("prose_before"), F.when(part, "part_word").otherwise("whole_line"))
+        .when(F.col("title_last"), F.when(part, "part_word").otherwise("whole_line"))
+        .when(F.col("single"), F.when(part | strange, "part_word").otherwise("open"))
         .otherwise("fragment")
     )
     return df.withColumn("ending", kind)
@@ -252,14 +273,16 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
     abbreviation = (F.col("goes_on") >= ABBREVIATED) & (F.col("goes_on") >= ABBREVIATED_SHARE * F.col("count"))
     words = inside.filter(F.col("count") >= KNOWN).select("word", F.lit(True).alias("known"), abbreviation.alias("abbreviation")).join(begins, "word", "full_outer")
-    ends = rows.withColumns(_ending(F.col("text"))).select("key", "source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "bare", "marked", "body", "line", "previous", "paragraph", "last_word", "stop_word")
+    signs = ending_signs()
+    ends = rows.withColumns(_ending(F.col("text"))).withColumns(_end_parts()).withColumns(_end_lines()).withColumns(signs)
+    ends = ends.select("key", "source", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "marked", *signs, "last_word", "stop_word")
     # a text that ends in neither a word nor a word's full stop needs none looked up; its key is spread, so that no task gets all of them
     looked_up = F.when(F.length("last_word") > 0, F.col("last_word")).otherwise(F.col("stop_word"))
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("body", "chars"), F.lit(4096)).cast("string"))
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("key", "chars", "bytes"), F.lit(4096)).cast("string"))
     ends = ends.withColumn("word", F.when(F.coalesce(F.length(looked_up) == 0, F.lit(True)), spread).otherwise(looked_up))
-    # only the last words' own rows are wanted of the vocabulary; the documents' side carries a text's last paragraph, not the text
+    # only the last words' own rows are wanted of the vocabulary; the documents' side carries what its end shows, not the text
     judged = ending_kinds(
-        ends.withColumn("body", F.substring("body", -LINE_END, LINE_END)).withColumn("bare", F.substring("bare", -LINE_END, LINE_END))
+        ends
         .join(words, "word", "left")
         .withColumns({"known": F.coalesce("known", F.lit(False)), "begins": F.coalesce("begins", F.lit(False)), "abbreviation": F.coalesce("abbreviation", F.lit(False))})
     ).select("key", "source", "chars", "bytes", "ending")

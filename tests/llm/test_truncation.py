@@ -92,3 +92,15 @@ def test_limits_of_long_texts_and_more_than_eight(spark):
     n, c = np.unique(np.r_[smooth, np.repeat(limits, 60)], return_counts=True)
     found = censoring_limits(n, c.astype(float))
     assert all(any(a <= k <= z for a, z, _ in found) for k in limits)
+
+
+def test_long_last_lines_and_paragraphs_are_read_whole(spark):
+    r = random.Random(7)
+    long = " ".join(r.choice(NOUNS) for _ in range(80))
+    row = " | ".join(f"{r.choice(NOUNS)} {r.choice(NOUNS)}" for _ in range(40))
+    assert len(long) > 500 and len(row) > 600
+    whole = {1: f"A list of the archive:\n- {long}", 2: f"Remark: {long}", 3: f"scan --dpi 300 --names {long}", 4: f"{row}\n{row}"}
+    cut = {11: f"{row}\n{row[: row.rindex(' | ', 0, 560)]}", 12: f"{long}\n\nIt was found. {' '.join([long] * 4)}\nHarbour Archive"}
+    rows = [(k, t, "s") for k, t in (whole | cut).items()] + [(100 + k, sentence(r), "s") for k in range(60)]
+    judged = {x.doc_id: x for x in truncated_texts(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert {k for k in whole if judged[k].cut} == set() and {k for k in cut if not judged[k].cut} == set()
