@@ -5,7 +5,7 @@ fitted by maximum likelihood to the histogram of lengths, in code points and in
 that the fitted density can't explain, that value is a candidate limit, and a document there has a censoring posterior,
 the share of the pile that the density leaves unexplained. Its ending: what the text's last line is, and whether its last
 word stands inside other texts as a whole word, counted over all documents. How much each ending says at a limit is
-counted too: how often it stands in the piles beyond what the density explains, and how often outside of them.
+counted too: how often it stands in a pile beyond what the density explains and its share outside of the piles.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ LEAST_GAIN, LEAST_PILE = 9.0, 4
 ENDING_LOG_ODDS = {"broken": 9.0, "mark": 6.0, "fragment": 5.0, "part_word": 4.0, "open": -8.0, "whole_line": -4.0, "inner_stop": -12.0, "sentence": -12.0, "none": -20.0}
 #: Endings that stop inside no word or sentence: no case, whatever the length.
 FINISHED = ("sentence", "none")
-#: Share of cut texts at no limit, and documents that all sources' counts of endings weigh against a source's own.
+#: Share of cut texts at no limit, and documents that all sources' shares of endings weigh against a source's own.
 PRIOR, POOLED_WEIGHT = 0.35, 10.0
 #: Occurrences inside texts that make a word a known one, and those that make its beginnings telling.
 KNOWN, FREQUENT = 1, 12
@@ -222,35 +222,29 @@ def source_limits(lengths: DataFrame) -> DataFrame:
     return histogram.groupBy("source", "unit").applyInPandas(fit, "source string, unit string, from_length bigint, to_length bigint, posterior double")
 
 
-def ending_odds(judged: DataFrame) -> DataFrame:
-    """source, odds: log odds that each ending gives at the source's limits, counted inside and outside the piles.
+def ending_gains(judged: DataFrame) -> DataFrame:
+    """source, gains: for each pile and ending (as ``unit|from_length|ending``) the log likelihood by which a cut must be there.
 
-    Of the documents at a limit as many as the density explains end as those at no limit do; the rest are cut. Both
-    shares lean on those of all sources where a source has few documents. Needs columns source, ending, posterior.
+    Of a pile's documents as many as the density explains are whole and end as the source's documents at no limit do,
+    those of all sources weighed in; what an ending has beyond that speaks for cuts. A limit cuts inside words and
+    sentences most times: where an ending stands more often than those that tell by themselves, the pile is one of whole
+    texts and the gain 0. Needs columns source, ending, posterior, unit, from_length.
     """
-    counts = judged.groupBy("source", "ending").agg(
-        F.count_if(F.col("posterior").isNull()).alias("outside"), F.count("posterior").alias("piled"), F.coalesce(F.sum(1 - F.col("posterior")), F.lit(0.0)).alias("whole")
-    )
+    at_none = judged.filter("posterior IS NULL").groupBy("source", "ending").agg(F.count("*").alias("n"))
     # a row for each ending, whatever the size of the table
-    rows = {r["ending"]: r for r in counts.groupBy("ending").agg(F.sum("outside").alias("outside"), F.sum("piled").alias("piled"), F.sum("whole").alias("whole")).collect()}
-    of = lambda c, e: float(rows[e][c]) if e in rows else 0.0
-    n = len(ENDING_LOG_ODDS)
-    outside, whole = (sum(of(c, e) for e in ENDING_LOG_ODDS) for c in ("outside", "whole"))
-    usual = {e: (of("outside", e) + 0.5) / (outside + 0.5 * n) for e in ENDING_LOG_ODDS}
-    excess = {e: max(0.0, of("piled", e) - whole * usual[e]) for e in ENDING_LOG_ODDS}
-    cut = {e: (x + 0.5) / (sum(excess.values()) + 0.5 * n) for e, x in excess.items()}
-    own = counts.groupBy("source").agg(
-        F.sum("outside").alias("outside"), F.sum("whole").alias("whole"), F.map_from_entries(F.collect_list(F.struct("ending", F.struct("outside", "piled").alias("n")))).alias("by")
-    )
-
-    def count(c: str, e: str) -> Column:
-        return F.coalesce(F.try_element_at("by", F.lit(e))[c], F.lit(0))
-
-    own = own.withColumns({f"q_{e}": (count("outside", e) + POOLED_WEIGHT * usual[e]) / (F.col("outside") + POOLED_WEIGHT) for e in ENDING_LOG_ODDS})
-    own = own.withColumns({f"x_{e}": F.greatest(F.lit(0.0), count("piled", e) - F.col("whole") * F.col(f"q_{e}")) for e in ENDING_LOG_ODDS})
-    own = own.withColumn("cut", sum((F.col(f"x_{e}") for e in ENDING_LOG_ODDS), F.lit(0.0)))
-    odds = {e: F.log((F.col(f"x_{e}") + POOLED_WEIGHT * cut[e]) / (F.col("cut") + POOLED_WEIGHT) / F.col(f"q_{e}")) for e in ENDING_LOG_ODDS}
-    return own.select("source", F.create_map(*[x for e, v in odds.items() for x in (F.lit(e), v)]).alias("odds"))
+    rows = {r["ending"]: r["n"] for r in at_none.groupBy("ending").agg(F.sum("n").alias("n")).collect()}
+    usual = {e: (rows.get(e, 0) + 0.5) / (sum(rows.values()) + 0.5 * len(ENDING_LOG_ODDS)) for e in ENDING_LOG_ODDS}
+    share = F.element_at(F.create_map(*[x for e, v in usual.items() for x in (F.lit(e), F.lit(v))]), F.col("ending"))
+    own = at_none.groupBy("source").agg(F.sum("n").alias("outside"), F.map_from_entries(F.collect_list(F.struct("ending", "n"))).alias("outside_by"))
+    pile = ["source", "unit", "from_length"]
+    piled = judged.filter("posterior IS NOT NULL").groupBy(*pile, "ending").agg(F.count("*").alias("n"), F.sum(1 - F.col("posterior")).alias("whole"))
+    tells = F.sum(F.when(F.col("ending").isin(*[e for e, v in ENDING_LOG_ODDS.items() if v > 0]), F.col("n")).otherwise(0)).alias("telling")
+    piles = piled.groupBy(*pile).agg(F.sum("whole").alias("whole"), tells, F.collect_list(F.struct("ending", "n")).alias("by"))
+    each = piles.join(own, "source", "left").select("*", F.explode("by").alias("x")).select(*pile, "whole", "telling", "outside", "outside_by", "x.ending", "x.n")
+    seen = F.coalesce(F.try_element_at("outside_by", F.col("ending")), F.lit(0))
+    expected = F.greatest(F.col("whole") * (seen + POOLED_WEIGHT * share) / (F.coalesce("outside", F.lit(0)) + POOLED_WEIGHT), F.lit(1e-3))
+    gain = F.when((F.col("n") > expected) & (F.col("telling") >= F.col("n")), F.col("n") * F.log(F.col("n") / expected) - (F.col("n") - expected)).otherwise(0.0)
+    return each.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "unit", "from_length", "ending"), gain))).alias("gains"))
 
 
 def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -288,16 +282,15 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     ).select("key", "source", "chars", "bytes", "ending")
     limits = source_limits(lengths).groupBy("source").agg(F.collect_list(F.struct("unit", "from_length", "to_length", "posterior")).alias("limits"))
     near = F.filter("limits", lambda p: F.when(p["unit"] == "chars", F.col("chars")).otherwise(F.col("bytes")).between(p["from_length"], p["to_length"]))
-    posterior = F.array_max(F.transform(near, lambda p: p["posterior"]))
-    judged = judged.join(limits, "source", "left").select("key", "source", "ending", posterior.alias("posterior"))
+    pile = F.array_max(F.transform(near, lambda p: F.struct(p["posterior"].alias("posterior"), p["unit"].alias("unit"), p["from_length"].alias("from_length"))))
+    judged = judged.join(limits, "source", "left").withColumn("pile", pile).select("key", "source", "ending", "pile.*")
     judged = settled(judged, "endings")  # a few bytes a document; counted, and then judged by the counts
-    log_odds = lambda share: F.log(share / (1 - share))
-    # a text may be cut at any length, so the length never speaks against an ending that tells by itself
-    alone = F.element_at(F.create_map(*[x for k, v in ENDING_LOG_ODDS.items() for x in (F.lit(k), F.lit(v))]), F.col("ending")) + log_odds(F.lit(PRIOR))
-    at_limit = F.element_at("odds", F.col("ending")) + log_odds(F.least(F.greatest("posterior", F.lit(1e-6)), F.lit(1 - 1e-6)))
+    odds = F.element_at(F.create_map(*[x for k, v in ENDING_LOG_ODDS.items() for x in (F.lit(k), F.lit(v))]), F.col("ending"))
+    p = F.least(F.greatest(F.coalesce("posterior", F.lit(PRIOR)), F.lit(0.02)), F.lit(0.999))
+    gain = F.coalesce(F.try_element_at("gains", F.concat_ws("|", "unit", "from_length", "ending")), F.lit(0.0))
     return (
-        judged.join(ending_odds(judged), "source", "left")
-        .withColumn("log_odds", F.when(F.col("ending").isin(*FINISHED), alone).otherwise(F.greatest(alone, at_limit)))
+        judged.join(ending_gains(judged), "source", "left")
+        .withColumn("log_odds", odds + F.log(p / (1 - p)) + F.when(F.col("ending").isin(*FINISHED) | F.col("posterior").isNull(), 0.0).otherwise(gain))
         .select(F.col("key").alias(key), F.when(F.col("source") != "", F.col("source")).alias("source"), "ending", "posterior", "log_odds", (F.col("log_odds") > 0).alias("cut"))
     )
 

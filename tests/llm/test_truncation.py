@@ -104,3 +104,11 @@ def test_long_last_lines_and_paragraphs_are_read_whole(spark):
     rows = [(k, t, "s") for k, t in (whole | cut).items()] + [(100 + k, sentence(r), "s") for k in range(60)]
     judged = {x.doc_id: x for x in truncated_texts(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     assert {k for k in whole if judged[k].cut} == set() and {k for k in cut if not judged[k].cut} == set()
+
+
+def test_a_pile_of_whole_titles_is_no_limit(spark):
+    r = random.Random(8)
+    rows = [(k, "जुनपुर का " + "क" * r.randrange(14, 17) + " हस्तलिखित", "s") for k in range(12)] + [(100 + k, " ".join(sentence(r) for _ in range(r.randrange(3, 20))), "s") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    judged = {x.doc_id: x for x in truncated_texts(df).collect()}
+    assert any(judged[k].posterior for k in range(12)) and not any(x.cut for x in judged.values() if x.ending in ("open", "whole_line"))
