@@ -2,9 +2,10 @@
 
 A document (one result's blocks in order) is read as a sequence of leaves: pieces of text between tags, line by line, with
 the path of open tags. A bidirectional LSTM in numpy reads tag-path and hashed-word vectors of all leaves of the document
-and says for each leaf which families of markup it holds, so that a mark two families share is read by its surroundings.
+and says for each leaf which families of markup it holds, and its say is a veto: it is taught what ``marks_of`` finds.
 The network is trained here, from a fixed seed, on documents made by a generator; its weights have a fixed size.
-An exact check follows: a family only stands if one of its marks is there.
+The patterns of ``marks_of`` decide what can be found, shared marks included, from one block alone; a family only stands
+if one of its marks is there.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from html.entities import html5
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,13 +36,15 @@ THRESHOLD = 0.2
 # Marks of each family, as patterns of this module's own lexer.
 _TAGS = "a abbr address article aside b big blockquote br button caption center cite code col colgroup dd del details div dl dt em figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i img input ins kbd label li link main mark math meta mi mn mo mrow msub msup nav ol option p pre q ref s samp script section select small span strike strong style sub summary sup table tbody td tfoot th thead title tr tt u ul var video nowiki gallery".split()
 _TAG = rf"</?(?:{'|'.join(_TAGS)})(?:\s[^<>]*|/)?\s*/?>"
-_ENTITY_NAMES = "amp lt gt quot apos nbsp mdash ndash hellip shy copy reg laquo raquo lsquo rsquo ldquo rdquo thinsp ensp emsp times deg middot bull euro pound sect para zwj zwnj eacute egrave agrave uuml ouml auml szlig".split()
+#: Names that count without a semicolon too, and all names of HTML.
+_BARE_ENTITY_NAMES = "amp lt gt quot apos nbsp".split()
+_ENTITY_NAMES = sorted(n[:-1] for n in html5 if n.endswith(";"))
 MARKS: dict[str, list[tuple[str, str]]] = {
     "html": [
         ("comment", r"<!--[\s\S]*?(?:-->|$)"),
         ("doctype", r"<!DOCTYPE[^>]*>|<\?xml[^>]*>"),
         ("tag", _TAG),
-        ("entity", rf"&(?:#\d{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_ENTITY_NAMES)});|&(?:{'|'.join(_ENTITY_NAMES[:6])})(?![A-Za-z;=])"),
+        ("entity", rf"&(?:#\d{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_ENTITY_NAMES)});|&(?:{'|'.join(_BARE_ENTITY_NAMES)})(?![A-Za-z;=])"),
     ],
     "latex": [
         ("verbatim", r"\\begin\{verbatim\}[\s\S]*?(?:\\end\{verbatim\}|$)"),
@@ -180,7 +184,7 @@ class _Leaves(HTMLParser):
         self._add("comment", "")
 
     def handle_entityref(self, name):
-        self._add("entity" if name in _ENTITY_NAMES else "text", name)
+        self._add("entity" if name + ";" in html5 else "text", name)
 
     def handle_charref(self, name):
         self._add("entity", "#")

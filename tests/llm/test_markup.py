@@ -68,3 +68,8 @@ def test_whole_tables(spark):
     one = [(1, 1, 1, ["html"]), (1, 1, 3, []), (1, 1, 4, []), (1, 4, 1, ["wiki"])]
     assert sorted(x for x in got if x[0]) == sorted(one * 2) and [x for x in got if x[0] is None] == [(None, 1, 1, ["markdown"])]
     assert labelled_blocks(df.limit(0)).count() == 0
+
+
+def test_all_named_character_references():
+    blocks = ["The fa&ccedil;ade was opened.", "The angle &alpha; is small.", "AT&T; 3 & 4, R&D; Q&A;"]
+    assert [f for f, _ in label_blocks(trained(), blocks)] == [["html"], ["html"], []]
