@@ -1,17 +1,17 @@
 """Markup residue in recognised blocks: which families a block holds, and its clean text.
 
-A document (one result's blocks in order) is read as a sequence of leaves: pieces of text between tags, line by line, with
-the path of open tags. A bidirectional LSTM in numpy reads tag-path and hashed-word vectors of all leaves of the document
-and says for each leaf which families of markup it holds, and its say is a veto: it is taught what ``marks_of`` finds.
-The network is trained here, from a fixed seed, on documents made by a generator; its weights have a fixed size.
-The patterns of ``marks_of`` decide what can be found, shared marks included, from one block alone; a family only stands
-if one of its marks is there.
+A document (one result's blocks in order) is read as a sequence of leaves: tags, comments, character references and the
+text between them, line by line, each with the open tags above it. A bidirectional LSTM in numpy reads tag-path and
+hashed-word vectors of all leaves of the document; a block has a family if the network says so of one of its leaves.
+Words are hashed as they are, signs with what stands beside them; no pattern names a mark. The network is trained here,
+from a fixed seed, on documents made by a generator that knows the families of each block; its weights have a fixed size.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,221 +24,176 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FAMILIES = ("html", "markdown", "wiki", "latex")
-#: Sizes of the hashed vectors of marks with tag paths and of words, and of the network's state.
-MARK_SLOTS, WORD_SLOTS, STATE = 192, 64, 24
+#: Sizes of the hashed vectors of signs with tag paths and of words, and of the network's state.
+MARK_SLOTS, WORD_SLOTS, STATE = 768, 64, 24
+WIDTH = MARK_SLOTS + WORD_SLOTS + 2
 #: Documents made for training, passes over them, and the seed.
-TRAINING_DOCUMENTS, PASSES, SEED = 1_000, 6, 7
-#: Leaves of a sequence: a longer document is read in windows that overlap by ``OVERLAP`` leaves at both ends.
-WINDOW, OVERLAP = 192, 32
-#: Probability from which the network's say counts.
-THRESHOLD = 0.2
+TRAINING_DOCUMENTS, PASSES, SEED = 3_000, 5, 7
+#: Leaves whose vectors are held at once; the states go on from one such stretch to the next, so that it bounds memory alone.
+STRETCH = 4_096
+#: Probability from which a family is a block's.
+THRESHOLD = 0.5
 
-# Marks of each family, as patterns of this module's own lexer.
+#: Names of HTML elements, old ones and a wiki's own included. Fixed values.
 _TAGS = "a abbr address article aside b big blockquote br button caption center cite code col colgroup dd del details div dl dt em figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i img input ins kbd label li link main mark math meta mi mn mo mrow msub msup nav ol option p pre q ref s samp script section select small span strike strong style sub summary sup table tbody td tfoot th thead title tr tt u ul var video nowiki gallery".split()
 _TAG = rf"</?(?:{'|'.join(_TAGS)})(?:\s[^<>]*|/)?\s*/?>"
-#: Names that count without a semicolon too, and all names of HTML.
-_BARE_ENTITY_NAMES = "amp lt gt quot apos nbsp".split()
-_ENTITY_NAMES = sorted(n[:-1] for n in html5 if n.endswith(";"))
-MARKS: dict[str, list[tuple[str, str]]] = {
-    "html": [
-        ("comment", r"<!--[\s\S]*?(?:-->|$)"),
-        ("doctype", r"<!DOCTYPE[^>]*>|<\?xml[^>]*>"),
-        ("tag", _TAG),
-        ("entity", rf"&(?:#\d{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{'|'.join(_ENTITY_NAMES)});|&(?:{'|'.join(_BARE_ENTITY_NAMES)})(?![A-Za-z;=])"),
-    ],
-    "latex": [
-        ("verbatim", r"\\begin\{verbatim\}[\s\S]*?(?:\\end\{verbatim\}|$)"),
-        ("environment", r"\\(?:begin|end)\{[a-zA-Z*]+\}(?:\{[^{}\n]*\}|\[[^\]\n]*\])*"),
-        ("display", r"\$\$[^$]+\$\$|\\\[[\s\S]+?\\\]|\\\([\s\S]+?\\\)"),
-        ("inline", r"(?<![\\$\w])\$(?=[^\s$\d])[^$\n]{0,200}?(?<![\s\\])\$(?![\w$])|(?<![\\$\w])\$(?=\d[^$\n]*[\\^_{=+])[^$\n]{1,200}?(?<![\s\\])\$(?![\w$])"),
-        ("accent", r"\\[\"'`^~=.cHvuk]\{\\?[A-Za-z]\}|\\[\"'`^~][A-Za-z](?![A-Za-z])"),
-        ("group", r"\{\\(?:bf|it|em|rm|sc|tt|sl|sf|large|small|bfseries|itshape)\b"),
-        ("command", r"\\(?:[a-zA-Z]+\*?(?=[{\[])|(?:ldots|dots|cdot|cdots|times|alpha|beta|gamma|delta|epsilon|lambda|mu|pi|sigma|theta|omega|leq|geq|neq|approx|infty|sum|prod|int|frac|sqrt|item|hline|toprule|midrule|bottomrule|noindent|newline|newpage|maketitle|centering|par|quad|qquad|LaTeX|TeX|textbackslash|pm|rightarrow|to|in|le|ge)(?![A-Za-z\\_]))"),
-        ("escape", r"\\[,;%&#_${}](?![\w\\])|(?<=\d)\\[,%]|(?<=\w)\\[%&#_](?=\s|$)"),
-        ("script", r"(?<![\w\\])[A-Za-z](?:\^\{[^{}\n]+\}|_\{[^{}\n]+\})"),
-        ("tie", r"(?<=\w)~(?=\\)|(?<=[.\w])~(?=[A-Z0-9][\w]*)(?=.{0,40}\\)"),
-        ("break", r"\\\\(?=\s*(?:\n|$|\[|\\))"),
-    ],
-    "wiki": [
-        ("template", r"\{\{[^{}\n]+\}\}"),
-        ("table", r"^\{\|.*$|^\|\}\s*$|^\|-[^|\n]*$"),
-        ("cells", r"^[!|](?![-}]).*(?:!!|\|\|).*$"),
-        ("link", r"\[\[[^\[\]\n]+\]\]"),
-        ("url", r"\[(?:https?|ftp)://[^\s\]]+(?: [^\]\n]*)?\](?!\()"),
-        ("bold", r"'''(?!').+?'''"),
-        ("italic", r"(?<!')''(?!').+?(?<!')''(?!')"),
-        ("heading", r"^(={2,6})[ \t]*[^=\n]+?[ \t]*\1[ \t]*$|^=[ \t][^=\n]+[ \t]=[ \t]*$"),
-        ("term", r"^;[ \t]*\S.*$(?=\n?)"),
-        ("indent", r"^:{1,6}[ \t]*\S"),
-        ("deep", r"^[*#]{2,6}[ \t]*[^\s*#].*$(?<![*#])"),
-        ("magic", r"__(?:TOC|NOTOC|FORCETOC|NOEDITSECTION)__|~{3,5}(?=\s|$)|#REDIRECT"),
-    ],
-    "markdown": [
-        ("fence", r"^(?:```|~~~)[^\n`]*$"),
-        ("image", r"!\[[^\]\n]*\]\([^)\s]+[^)\n]*\)"),
-        ("link", r"(?<!!)\[[^\]\n]+\]\([^)\s]+(?:\s\"[^\"]*\")?\)"),
-        ("footnote", r"\[\^[\w-]+\]"),
-        ("reference", r"^\[[^\]\n^]+\]:\s+\S+|\[[^\]\n]+\]\[[^\]\n]*\]"),
-        ("heading", r"^#{1,6}[ \t]+\S.*$"),
-        ("setext", r"(?<=\S\n)(?:={3,}|-{3,})[ \t]*$"),
-        ("bold", r"(?<![*\w])\*\*(?=[^\s*])[^\n]*?(?<=[^\s*])\*\*(?!\*)"),
-        ("strong", r"(?<![_\w])__(?=[^\s_])[^\n]*?(?<=[^\s_])__(?![_\w])"),
-        ("strike", r"~~(?=[^\s~])[^\n]*?(?<=[^\s~])~~"),
-        ("italic", r"(?<![*\w])\*(?=[^\s*\d])[^*\n]*?(?<=[^\s*])\*(?![*\w])"),
-        ("emphasis", r"(?<![_\w])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![_\w])"),
-        ("code", r"(?<!`)``?(?=[^`\s])[^`\n]*?``?(?!`)"),
-        ("quote", r"^>[ \t]+\S"),
-        ("task", r"^[ \t]*[-*+][ \t]+\[[ xX]\][ \t]"),
-        ("table", r"^\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$"),
-        ("rule", r"^(?:\*[ \t]*){3,}$|^(?:_[ \t]*){3,}$"),
-        ("autolink", r"<https?://[^<>\s]+>"),
-    ],
-}
-#: Marks that more than one family uses: they count for the family the rest of the block is written in, alone for the first named.
-SHARED: list[tuple[str, str, tuple[str, ...]]] = [
-    ("bullet", r"^[ \t]*[*+-][ \t]+\S", ("markdown", "wiki")),
-    ("number", r"^[ \t]*\d{1,3}\.[ \t]+\S", ("markdown",)),
-    ("hash_item", r"^#(?!#|REDIRECT)[ \t]*\S", ("markdown", "wiki")),
-    ("rule", r"^-{3,}[ \t]*$", ("markdown", "wiki")),
-]
-_PLAIN_LIST = ("bullet", "number")
-_COMPILED = {f: [(n, re.compile(p, re.M | (re.I if f == "html" else 0))) for n, p in marks] for f, marks in MARKS.items()}
-_SHARED = [(n, re.compile(p, re.M), fs) for n, p, fs in SHARED]
-_CODE = re.compile(r"```[\s\S]*?(?:```|$)|(?<!`)`[^`\n]+`|\\begin\{verbatim\}[\s\S]*?(?:\\end\{verbatim\}|$)|<(pre|code|nowiki)\b[^>]*>[\s\S]*?(?:</\1>|$)", re.I)
-_MATH = re.compile(r"<math\b[^>]*>([\s\S]*?)(?:</math>|$)", re.I)
+_VOID = frozenset("br hr img input meta link col".split())
 _MATH_LATEX = re.compile(r"\\[a-zA-Z]+|\^\{|_\{|\^\w|\w_\w")
 
 
-def marks_of(text: str) -> dict[str, set[str]]:
-    """Names of the marks of each family in a block, each family read outside of what another one quotes as code."""
-    out: dict[str, set[str]] = {f: set() for f in FAMILIES}
-    quoted = _CODE.sub(lambda m: m[0][: m[0].find("\n") + 1] + "\n" if m[0].startswith("```") else " ", text)
-    bare = re.sub(_TAG + r"|<!--[\s\S]*?-->", " ", quoted, flags=re.I)
-    formula = re.compile(r"\$\$[^$]+\$\$|\\\[[\s\S]+?\\\]")
-    without_formulas = formula.sub(" ", bare)
-    for name, p in _COMPILED["html"]:
-        if p.search(text if name == "tag" else re.sub(r"`[^`\n]*`", " ", text)):
-            out["html"].add(name)
-    for name, p in _COMPILED["latex"]:
-        if p.search(text if name == "verbatim" else bare):
-            out["latex"].add(name)
-    if any(_MATH_LATEX.search(m[1]) for m in _MATH.finditer(text)):
-        out["latex"].add("math")
-    for name, p in _COMPILED["wiki"]:
-        if p.search(without_formulas):
-            out["wiki"].add(name)
-    for name, p in _COMPILED["markdown"]:
-        if p.search(text if name in ("fence", "code") else without_formulas):
-            out["markdown"].add(name)
-    if out["wiki"] & {"term"} and not out["wiki"] & {"indent", "bold", "italic", "link"}:
-        out["wiki"].discard("term")
-    if out["wiki"] == {"indent"} and not re.search(r"^:{1,6}\s*\S.*\n[:*;]", text, re.M):
-        out["wiki"].discard("indent")
-    if out["wiki"] & {"deep"} and out["markdown"] & {"heading"} and not out["wiki"] - {"deep"}:
-        out["wiki"].discard("deep")  # ## heading
-    if out["latex"] <= {"tie", "break", "escape"} and "escape" in out["latex"] and re.search(r"[A-Za-z]:\\|\\\\[a-z]", text):
-        out["latex"].clear()  # paths
-    if out["latex"] == {"break"} or out["latex"] == {"tie"}:
-        out["latex"].clear()
-    wiki_sure = bool(out["wiki"] - {"indent"})
-    if wiki_sure and out["markdown"] == {"heading"} and re.search(r"^#[ \t]", text, re.M) and not re.search(r"^#{2,}[ \t]", text, re.M):
-        out["markdown"].clear()  # a numbered list
-    for name, p, families in _SHARED:
-        if p.search(without_formulas):
-            own = [f for f in families if out[f]]
-            if own:
-                out[own[0]].add(name)
-            elif name not in _PLAIN_LIST and not wiki_sure and not out["latex"]:
-                out[families[0]].add(name)
-    if not any(out.values()) and len(re.findall(r"^[ \t]*[*+][ \t]+\S", text, re.M)) >= 2:
-        out["markdown"].add("bullet")
-    return out
-
-
 # leaves
 
+_LEAF = re.compile(r"<!--[\s\S]*?(?:-->|\Z)|<[!?][^<>]*>|</?([a-zA-Z][a-zA-Z0-9]*)(?=[\s/>])[^<>]*>|&(#\d{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[a-zA-Z][a-zA-Z0-9]*;?)|\n")
+_COMBINING = "".join(chr(n) for n in range(0x300, 0xFE30) if unicodedata.category(chr(n))[0] == "M")
+_TOKEN = re.compile(rf"((?:[^\W\d_]|[{_COMBINING}])+)|(\d+)|([^\S\n]+)|((.)\5*)")
+_BARE_REFERENCES = frozenset(n for n in html5 if not n.endswith(";") and len(n) <= 4 and n.islower())
+_slots: dict[str, int] = {}
+
+
+def _slot(text: str, size: int = MARK_SLOTS) -> int:
+    """A feature's slot; remembered, and forgotten when the memory is full."""
+    at = _slots.get(text)
+    if at is None:
+        if len(_slots) > 200_000:
+            _slots.clear()
+        at = _slots[text] = zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
+    return at
+
+
+def _word_slot(word: str) -> int:
+    at = _slots.get("word " + word)
+    if at is None:
+        at = _slots["word " + word] = MARK_SLOTS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_SLOTS
+    return at
+
+
+def _line_features(line: str, slots: list[int], weights: list[float]) -> None:
+    """Slots of a line's words, and of its runs of a sign with what stands on either side."""
+    tokens = [(m.lastindex, m[0]) for m in _TOKEN.finditer(line)]
+    words = 0
+    before, first = "^", len(slots)
+    for k, (kind, text) in enumerate(tokens):
+        following = tokens[k + 1] if k + 1 < len(tokens) else (0, "")
+        behind = "$wds+"[following[0] if following[0] < 4 else 4]
+        if kind == 1:
+            slots.append(_word_slot(text.lower()))
+            weights.append(0.0)
+            words += 1
+            before = "w"
+        elif kind == 2:
+            before = "d"
+        elif kind == 3:
+            before = "s" if before != "^" else "^"
+        else:
+            run = text if len(text) < 5 else text[:4] + "+"
+            beside = following[1].lower() if following[0] == 1 and len(following[1]) < 16 else following[1][:2] if following[0] == 4 else behind
+            for feature in (f"{before}{run}{behind}", f"{run}>{beside}", run):
+                slots.append(_slot(feature))
+                weights.append(0.5)
+            before = "+"
+    scale = 1 / (1 + words) ** 0.5
+    for k in range(first, len(slots)):
+        if not weights[k]:
+            weights[k] = scale
+
+
+def leaf_vectors(block: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leaves of a block as (leaf, slot, weight) triples in order of the leaves; the last leaf's number is the greatest."""
+    leaves: list[int] = []
+    slots: list[int] = []
+    weights: list[float] = []
+    open_tags: list[str] = []
+    above: dict[int, int] = {}  # slots of the open tags, however many
+    n = 0
+
+    def leaf(kind: str, line: str | None = None, name: str | None = None) -> None:
+        nonlocal n
+        at = len(slots)
+        slots.append(_slot("kind " + kind))
+        weights.append(1.0)
+        if name is not None:
+            slots.append(_slot("name " + name))
+            weights.append(1.0)
+        if open_tags:
+            slots.append(_slot("parent " + open_tags[-1]))
+            weights.append(0.5)
+            for s in above:
+                slots.append(s)
+                weights.append(0.25)
+        if line is not None:
+            _line_features(line, slots, weights)
+        leaves.extend([n] * (len(slots) - at))
+        n += 1
+
+    def text(a: int, z: int) -> None:
+        if z > a and not block[a:z].isspace():
+            leaf("text", block[a:z])
+
+    done = 0
+    for m in _LEAF.finditer(block):
+        if m[0] == "\n":
+            text(done, m.start())
+        elif m[2]:
+            known = m[2].startswith("#") or (m[2] in html5 if m[2].endswith(";") else m[2] in _BARE_REFERENCES)
+            if not known:
+                continue  # part of the text
+            text(done, m.start())
+            leaf("reference", name=m[2].rstrip(";").lower() if m[2][0] != "#" else "#")
+        elif m[1]:
+            name = m[1].lower()
+            kind = ("close " if m[0][1] == "/" else "open ") + ("element" if name in _ELEMENTS else "other")
+            text(done, m.start())
+            leaf(kind, name=name)
+            if m[0][1] != "/" and name not in _VOID and not m[0].endswith("/>"):
+                open_tags.append(name)
+                s = _slot("above " + name)
+                above[s] = above.get(s, 0) + 1
+            elif m[0][1] == "/" and above.get(_slot("above " + name)):
+                while open_tags:
+                    gone = open_tags.pop()
+                    s = _slot("above " + gone)
+                    above[s] -= 1
+                    if not above[s]:
+                        del above[s]
+                    if gone == name:
+                        break
+        else:
+            text(done, m.start())
+            leaf("comment" if m[0].startswith("<!--") else "declaration")
+        done = m.end()
+    text(done, len(block))
+    if not n:
+        leaf("text", "")
+    leaves += [0, n - 1]
+    slots += [WIDTH - 2, WIDTH - 1]  # first and last leaf of the block
+    weights += [1.0, 1.0]
+    return np.array(leaves, np.int64), np.array(slots, np.int64), np.array(weights, np.float32)
 
-class _Leaves(HTMLParser):
-    """Pieces of text between tags, each with the path of open tags; tags, comments and references are leaves too."""
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
-        self.path: list[str] = []
-        self.found: list[tuple[tuple[str, ...], str, str]] = []
+_ELEMENTS = frozenset(_TAGS)
 
-    def _add(self, kind: str, text: str) -> None:
-        self.found.append((tuple(self.path[-4:]), kind, text))
 
-    def handle_starttag(self, tag, attrs):
-        self._add("open", tag)
-        if tag not in ("br", "hr", "img", "input", "meta", "link"):
-            self.path.append(tag)
+class Leaves:
+    """The leaves of one document's blocks; dense rows are made a stretch at a time."""
 
-    def handle_endtag(self, tag):
-        self._add("close", tag)
-        if tag in self.path:
-            while self.path and self.path.pop() != tag:
-                pass
+    def __init__(self, blocks: list[str]):
+        found = [leaf_vectors(b) for b in blocks]
+        self.sizes = np.array([f[0].max() + 1 for f in found], np.int64)
+        first = np.cumsum(self.sizes) - self.sizes
+        leaf = np.concatenate([f[0] + a for f, a in zip(found, first)])
+        order = np.argsort(leaf, kind="stable")
+        self.leaf = leaf[order]
+        self.slot = np.concatenate([f[1] for f in found])[order]
+        self.weight = np.concatenate([f[2] for f in found])[order]
+        self.owner = np.repeat(np.arange(len(blocks)), self.sizes)
 
-    def handle_comment(self, data):
-        self._add("comment", "")
+    def __len__(self) -> int:
+        return len(self.owner)
 
-    def handle_entityref(self, name):
-        self._add("entity" if name + ";" in html5 else "text", name)
-
-    def handle_charref(self, name):
-        self._add("entity", "#")
-
-    def handle_data(self, data):
-        for line in data.split("\n"):
-            if line.strip():
-                self._add("text", line)
-
-
-_TOKEN = re.compile(r"\\[a-zA-Z]+|\\.|'{2,}|\*+|_+|~+|`+|#+|={2,}|-{2,}|\${1,2}|\[\[|\]\]|\{\{|\}\}|\{\||\|\}|\|\||!!|!\[|\]\(|\[\^|\[|\]|^[;:!|>]|&\w+;?|\d+|\w+|[^\s\w]", re.M)
-
-
-def _slot(text: str, size: int) -> int:
-    return zlib.crc32(text.encode()) % size
-
-
-def leaf_vectors(block: str) -> np.ndarray:
-    """A row for each leaf of a block: hashed marks and tag path, hashed words, place in the block."""
-    parser = _Leaves()
-    try:
-        parser.feed(block[:])
-        parser.close()
-    except Exception:  # a text the parser can't read is one leaf
-        parser.found = [((), "text", block)]
-    rows = np.zeros((max(1, len(parser.found)), MARK_SLOTS + WORD_SLOTS + 2), np.float32)
-    for i, (path, kind, text) in enumerate(parser.found):
-        v = rows[i]
-        v[_slot(f"kind {kind}", MARK_SLOTS)] += 1
-        for depth, tag in enumerate(reversed(path)):
-            v[_slot(f"path {depth} {tag}", MARK_SLOTS)] += 0.5
-        if kind in ("open", "close"):
-            v[_slot(f"tag {text}", MARK_SLOTS)] += 1
-        else:
-            # the patterns of the lexer, so that a paired mark differs from a lone sign
-            for family, marks in _COMPILED.items():
-                if family != "html":
-                    for name, p in marks:
-                        if p.search(text):
-                            v[_slot(f"mark {family} {name}", MARK_SLOTS)] += 1
-            tokens = _TOKEN.findall(text)
-            for t in tokens[:2000]:
-                if t[0].isalpha():
-                    v[MARK_SLOTS + _slot(t.lower(), WORD_SLOTS)] += 1 / (1 + len(tokens)) ** 0.5
-                elif not t[0].isdigit():
-                    v[_slot(f"token {t}", MARK_SLOTS)] += 0.3
-    # marks over several lines, such as underlined headings, belong to no line alone: the first leaf has those of the block
-    for family, marks in _COMPILED.items():
-        for name, p in marks:
-            if p.search(block):
-                rows[0, _slot(f"block {family} {name}", MARK_SLOTS)] += 1
-    np.clip(rows, 0, 3, out=rows)
-    rows[0, -2] = rows[-1, -1] = 1  # first and last leaf of the block
-    return rows
+    def rows(self, a: int, z: int) -> np.ndarray:
+        lo, hi = np.searchsorted(self.leaf, [a, z])
+        flat = np.bincount((self.leaf[lo:hi] - a) * WIDTH + self.slot[lo:hi], self.weight[lo:hi], (z - a) * WIDTH)
+        return np.minimum(flat, 3).astype(np.float32).reshape(z - a, WIDTH)
 
 
 # the network
@@ -253,7 +208,7 @@ class Labeller:
 
     def __init__(self, seed: int = SEED):
         r = np.random.default_rng(seed)
-        d = MARK_SLOTS + WORD_SLOTS + 2
+        d = WIDTH
         self.p = {}
         for side in "fb":
             self.p[f"{side}x"] = r.normal(0, d**-0.5, (d, 4 * STATE)).astype(np.float32)
@@ -265,9 +220,9 @@ class Labeller:
         self.p["s"] = np.zeros((d, len(FAMILIES)), np.float32)  # the leaf itself, past the states
         self.p["c"] = np.full(len(FAMILIES), -1, np.float32)
 
-    def _run(self, side: str, x: np.ndarray, mask: np.ndarray, keep: list | None) -> np.ndarray:
+    def _run(self, side: str, x: np.ndarray, mask: np.ndarray, keep: list | None, state: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
         n, steps, _ = x.shape
-        h, c = np.zeros((n, STATE), np.float32), np.zeros((n, STATE), np.float32)
+        h, c = state or (np.zeros((n, STATE), np.float32), np.zeros((n, STATE), np.float32))
         out = np.zeros((n, steps, STATE), np.float32)
         xw = x @ self.p[f"{side}x"] + self.p[f"{side}b"]
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
@@ -282,21 +237,45 @@ class Labeller:
             h = m * (o * th) + (1 - m) * h
             c = new
             out[:, t] = h
-        return out
-
-    def probabilities(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        states = np.concatenate([self._run("f", x, mask, None), self._run("b", x, mask, None)], 2)
-        return _sigmoid(states @ self.p["o"] + x @ self.p["s"] + self.p["c"])
-
-    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        return out, (h, c)
+
+    def logits(self, documents: list[Leaves]) -> list[np.ndarray]:
+        """A row of the families' logits for each leaf of each document; the documents are best of like length."""
+        steps = max(map(len, documents))
+        parts = [(a, min(steps, a + STRETCH)) for a in range(0, steps, STRETCH)]
+
+        def stretch(a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
+            return _padded([d.rows(min(a, len(d)), min(z, len(d))) for d in documents], z - a)
+
+        out = np.zeros((len(documents), steps, len(FAMILIES)), np.float32)
+        for side, o, order in (("f", self.p["o"][:STATE], parts), ("b", self.p["o"][STATE:], parts[::-1])):
+            state = None
+            for a, z in order:
+                x, mask = stretch(a, z)
+                h, state = self._run(side, x, mask, None, state)
+                out[:, a:z] += h @ o + (x @ self.p["s"] + self.p["c"] if side == "f" else 0)
+        return [out[k, : len(d)] for k, d in enumerate(documents)]
+
+    def gradients(self, x: np.ndarray, mask: np.ndarray, owner: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Loss and gradients where ``owner`` numbers the block of each leaf (-1 for padding) and ``y`` has a row for each block.
+
+        A block's logit is the greatest of its leaves', so that its family is learnt where its marks are.
+        """
         kept: dict[str, list] = {"f": [], "b": []}
-        states = np.concatenate([self._run("f", x, mask, kept["f"]), self._run("b", x, mask, kept["b"])], 2)
-        p = _sigmoid(states @ self.p["o"] + x @ self.p["s"] + self.p["c"])
-        m = mask[:, :, None]
-        total = max(1.0, float(mask.sum()))
-        loss = -float((m * (y * np.log(p + 1e-7) + (1 - y) * np.log(1 - p + 1e-7))).sum()) / total
-        d = m * (p - y) / total
-        flat = d.reshape(-1, d.shape[2])
+        states = np.concatenate([self._run("f", x, mask, kept["f"])[0], self._run("b", x, mask, kept["b"])[0]], 2)
+        z = (states @ self.p["o"] + x @ self.p["s"] + self.p["c"]).reshape(-1, len(FAMILIES))
+        flat_owner = owner.reshape(-1)
+        real = flat_owner >= 0
+        top = np.full((len(y), len(FAMILIES)), -1e9, z.dtype)
+        np.maximum.at(top, flat_owner[real], z[real])
+        p = _sigmoid(top)
+        loss = -float((y * np.log(p + 1e-7) + (1 - y) * np.log(1 - p + 1e-7)).sum()) / len(y)
+        chosen = np.zeros_like(z)
+        chosen[real] = z[real] == top[flat_owner[real]]
+        d = np.zeros_like(z)
+        d[real] = chosen[real] * ((p - y) / len(y))[flat_owner[real]]
+        flat = d
+        d = d.reshape(*x.shape[:2], len(FAMILIES))
         g = {"o": states.reshape(-1, 2 * STATE).T @ flat, "s": x.reshape(-1, x.shape[2]).T @ flat, "c": flat.sum(0)}
         back = d @ self.p["o"].T
         for side, part in (("f", back[:, :, :STATE]), ("b", back[:, :, STATE:])):
@@ -319,8 +298,7 @@ class Labeller:
         return loss, g
 
 
-def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    steps = max(map(len, sequences))
+def _padded(sequences: list[np.ndarray], steps: int) -> tuple[np.ndarray, np.ndarray]:
     x = np.zeros((len(sequences), steps, sequences[0].shape[1]), np.float32)
     mask = np.zeros((len(sequences), steps), np.float32)
     for k, s in enumerate(sequences):
@@ -335,55 +313,56 @@ def trained(documents: int = TRAINING_DOCUMENTS, passes: int = PASSES, seed: int
     from quirewright.llm.markup_samples import sample_document
 
     r = np.random.default_rng(seed)
-    xs, ys = [], []
+    leaves, labels = [], []
     for _ in range(documents):
-        x, y = [], []
-        for block in sample_document(r):
-            v = leaf_vectors(block)
-            # a leaf is taught the families of its block, and of the block's context through the state
-            marks = marks_of(block)
-            x.append(v)
-            y.append(np.tile(np.array([bool(marks[f]) for f in FAMILIES], np.float32), (len(v), 1)))
-        xs.append(np.concatenate(x)[:WINDOW])
-        ys.append(np.concatenate(y)[:WINDOW])
+        blocks = sample_document(r)
+        leaves.append(Leaves([text for text, _ in blocks]))
+        labels.append(np.array([[f in families for f in FAMILIES] for _, families in blocks], np.float32))
     net = Labeller(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v2 = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step = 0
+    step, steps = 0, passes * -(-documents // 16)
+    by_length = sorted(range(documents), key=lambda k: len(leaves[k]))
+    batches = [by_length[at : at + 16] for at in range(0, documents, 16)]
     for _ in range(passes):
-        order = r.permutation(len(xs))
-        for at in range(0, len(order), 16):
-            part = sorted(order[at : at + 16], key=lambda k: len(xs[k]))
-            x, mask = _padded([xs[k] for k in part])
-            y, _ = _padded([ys[k] for k in part])
-            _, g = net.gradients(x, mask, y)
+        for k in r.permutation(len(batches)):
+            part = batches[k]
+            x, mask = _padded([leaves[k].rows(0, len(leaves[k])) for k in part], max(len(leaves[k]) for k in part))
+            owner = np.full(mask.shape, -1, np.int64)
+            blocks = 0
+            for row, k in enumerate(part):
+                owner[row, : len(leaves[k])] = leaves[k].owner + blocks
+                blocks += len(labels[k])
+            _, g = net.gradients(x, mask, owner, np.concatenate([labels[k] for k in part]))
             norm = max(1.0, float(np.sqrt(sum(float((a * a).sum()) for a in g.values()))))
             step += 1
-            rate = 0.012 * min(1.0, step / 20)
+            rate = 0.02 * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7
             for k, a in g.items():
                 a = a / norm
                 m[k] = 0.9 * m[k] + 0.1 * a
                 v2[k] = 0.99 * v2[k] + 0.01 * a * a
-                net.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-6)
+                net.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
     return net
 
 
-def label_blocks(net: Labeller, blocks: list[str]) -> list[tuple[list[str], dict[str, set[str]]]]:
-    """Families of each block of one document in order, with the marks that bear them out."""
-    vectors = [leaf_vectors(b) for b in blocks]
-    owner = np.repeat(np.arange(len(blocks)), [len(v) for v in vectors])
-    leaves = np.concatenate(vectors)
-    best = np.zeros((len(blocks), len(FAMILIES)), np.float32)
-    inner = WINDOW - 2 * OVERLAP
-    for at in range(0, len(leaves), inner):
-        lo, hi = max(0, at - OVERLAP), min(len(leaves), at + inner + OVERLAP)
-        p = net.probabilities(leaves[None, lo:hi], np.ones((1, hi - lo), np.float32))[0]
-        a, z = at - lo, min(at + inner, len(leaves)) - lo
-        np.maximum.at(best, owner[lo + a : lo + z], p[a:z])
-    out = []
-    for text, p in zip(blocks, best):
-        marks = marks_of(text)
-        out.append(([f for f, q in zip(FAMILIES, p) if q >= THRESHOLD and marks[f]], marks))
+def label_documents(net: Labeller, documents: list[list[str]]) -> list[list[list[str]]]:
+    """Families of each block of each document; documents of like length are read side by side."""
+    made = [Leaves(blocks) for blocks in documents]
+    out: list[list[list[str]]] = [[] for _ in documents]
+    order = sorted(range(len(made)), key=lambda k: len(made[k]))
+    least = np.log(THRESHOLD / (1 - THRESHOLD))
+    at = 0
+    while at < len(order):
+        # side by side only while padding and rows stay within a stretch
+        z = at + 1
+        while z < len(order) and z - at < 32 and (z - at + 1) * len(made[order[z]]) <= STRETCH:
+            z += 1
+        part = order[at:z]
+        for k, logits in zip(part, net.logits([made[k] for k in part])):
+            best = np.full((len(documents[k]), len(FAMILIES)), -np.inf, np.float32)
+            np.maximum.at(best, made[k].owner, logits)
+            out[k] = [[f for f, q in zip(FAMILIES, row) if q >= least] for row in best]
+        at = z
     return out
 
 
@@ -499,8 +478,6 @@ def clean_text(text: str | None, families: list[str]) -> str | None:
         t = re.sub(r"\\(?:begin|end)\{[a-zA-Z*]+\}(?:\[[^\]\n]*\]|\{[^{}\n]*\})*", "\n", t)
         t = re.sub(r"^[ \t]*\\item\b[ \t]*", "- ", t, flags=re.M)
         marks = {'"': "\u0308", "'": "\u0301", "`": "\u0300", "^": "\u0302", "~": "\u0303", "c": "\u0327", "v": "\u030c", "=": "\u0304", ".": "\u0307"}
-        import unicodedata
-
         t = re.sub(r"\\([\"'`^~=.cv])(?:\{\\?([A-Za-z])\}|(?<![cv])([A-Za-z]))", lambda m: unicodedata.normalize("NFC", (m[2] or m[3]) + marks[m[1]]), t)
         for _ in range(4):
             new = re.sub(r"\\(?:ref|cite|label|pageref|eqref)\{([^{}]*)\}", r"[\1]", t)
@@ -554,12 +531,16 @@ def labelled_blocks(
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 out: dict[str, list] = {"key": [], "prediction_no": [], "block_no": [], "families": [], "clean_text": []}
-                for k, predictions in zip(part.column(0), part.column(1).to_pylist()):
-                    places = [(p, n, x["html"]) for p, blocks in enumerate(predictions or [], 1) for n, x in enumerate(blocks or [], 1) if x is not None]
-                    filled = [h for _, _, h in places if h]
-                    found = iter(label_blocks(net, filled) if filled else [])
+                rows = [
+                    [(p, n, x["html"]) for p, blocks in enumerate(predictions or [], 1) for n, x in enumerate(blocks or [], 1) if x is not None]
+                    for predictions in part.column(1).to_pylist()
+                ]
+                filled = [[h for _, _, h in places if h] for places in rows]
+                labels = iter(label_documents(net, [f for f in filled if f]))
+                for k, places, some in zip(part.column(0), rows, filled):
+                    found = iter(next(labels) if some else [])
                     for p, n, h in places:
-                        families = next(found)[0] if h else []
+                        families = next(found) if h else []
                         for name, v in zip(out, (k.as_py(), p, n, families, clean_text(h, families) if clean else None)):
                             out[name].append(v)
                 if out["key"]:
