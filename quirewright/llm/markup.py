@@ -321,9 +321,9 @@ def trained(documents: int = TRAINING_DOCUMENTS, passes: int = PASSES, seed: int
     net = Labeller(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v2 = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step, steps = 0, passes * -(-documents // 16)
+    step, steps = 0, passes * -(-documents // 32)
     by_length = sorted(range(documents), key=lambda k: len(leaves[k]))
-    batches = [by_length[at : at + 16] for at in range(0, documents, 16)]
+    batches = [by_length[at : at + 32] for at in range(0, documents, 32)]
     for _ in range(passes):
         for k in r.permutation(len(batches)):
             part = batches[k]
@@ -336,7 +336,7 @@ def trained(documents: int = TRAINING_DOCUMENTS, passes: int = PASSES, seed: int
             _, g = net.gradients(x, mask, owner, np.concatenate([labels[k] for k in part]))
             norm = max(1.0, float(np.sqrt(sum(float((a * a).sum()) for a in g.values()))))
             step += 1
-            rate = 0.02 * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7
+            rate = 0.03 * min(1.0, step / 20) * (1 - step / (steps + 1)) ** 0.7
             for k, a in g.items():
                 a = a / norm
                 m[k] = 0.9 * m[k] + 0.1 * a

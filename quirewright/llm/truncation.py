@@ -3,14 +3,18 @@
 Two kinds of evidence are combined for every document. Its length: for every source a right-censored log-normal is
 fitted by maximum likelihood to the histogram of lengths, in code points and in bytes; where lengths pile up at a value
 that the fitted density can't explain, that value is a candidate limit, and a document there has a censoring posterior,
-the share of the pile that the density leaves unexplained. Its ending: what the text's last line is, and whether its last
-word stands inside other texts as a whole word, counted over all documents. How much each ending says at a limit is
-counted too: how often it stands in a pile beyond what the density explains and its share outside of the piles.
+the share of the pile that the density leaves unexplained. Its ending: what the text's last line is like, and whether its
+last word stands inside other texts as a whole word, counted over all documents.
+
+How much an ending says is not set by hand: the shares of endings among cut and among whole texts are estimated by EM
+together with the share of cut texts at every limit and elsewhere in every source. The censoring posteriors anchor it:
+how cut texts end is learnt at the limits, how whole ones end from all texts as far as they aren't cut.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
@@ -25,12 +29,24 @@ from quirewright.session import settled
 WINDOWS = (1, 4, 16)
 #: Log likelihood that a limit must win, and the least documents of its pile.
 LEAST_GAIN, LEAST_PILE = 9.0, 4
-#: Log odds of being cut that each ending gives before the length is looked at.
-ENDING_LOG_ODDS = {"broken": 9.0, "mark": 6.0, "fragment": 5.0, "part_word": 4.0, "open": -8.0, "whole_line": -4.0, "inner_stop": -12.0, "sentence": -12.0, "none": -20.0}
+#: Share of cut texts away from any limit, as the prior has it, and the documents that it weighs; at a limit the censoring
+#: posterior weighs as much as the endings of the pile's documents.
+AWAY, AWAY_WEIGHT = 0.05, 8.0
+#: Kinds of endings, states of the last word, and whether a mark stands behind it, with the documents of each that the prior counts as cut and as whole.
+KINDS = {
+    "sentence": (0.1, 5), "inner_stop": (0.3, 0.3), "broken": (1, 0.02), "table_cut": (0.5, 0.1), "reference_cut": (0.5, 0.1), "table": (0.2, 1), "line": (0.2, 2),
+    "title": (0.2, 2), "title_last": (0.2, 1), "single": (0.2, 1), "prose": (4, 0.2), "none": (0.02, 1),
+}
+WORDS = {"known": (3, 6), "part": (3, 0.1), "strange": (1, 0.3), "new": (1, 1), "none": (1, 1)}
+MARKS = {"bare": (5, 10), "marked": (1, 0.02)}
+#: Documents that the words' shares over all kinds weigh against a kind's own.
+WORD_WEIGHT = 10.0
+#: Steps of EM, and the change of every log likelihood ratio below which it ends.
+STEPS, SETTLED = 60, 0.01
+#: Groups that EM sums at the driver (a kilobyte each); more are summed by a job a step.
+GROUPS_HERE = 10_000
 #: Endings that stop inside no word or sentence: no case, whatever the length.
 FINISHED = ("sentence", "none")
-#: Share of cut texts at no limit, and documents that all sources' shares of endings weigh against a source's own.
-PRIOR, POOLED_WEIGHT = 0.35, 10.0
 #: Occurrences inside texts that make a word a known one, and those that make its beginnings telling.
 KNOWN, FREQUENT = 1, 12
 #: Times that a sentence goes on behind a word's full stop, and their share of the word's occurrences, that make it an abbreviation.
@@ -113,26 +129,30 @@ def ending_signs() -> dict[str, Column]:
 
 
 def ending_kinds(df: DataFrame) -> DataFrame:
-    """``df`` with ``ending``, one of the names in ``ENDING_LOG_ODDS``; needs the columns of ``ending_signs``, ``known`` and ``begins`` of the last word, ``abbreviation`` of the one before the stop."""
+    """``df`` with ``ending``, a kind, the state of the last word and whether a mark stands behind it; needs the columns of ``ending_signs``, ``known`` and ``begins`` of the last word, ``abbreviation`` of the one before the stop."""
     word = F.col("last_word")
-    # a word never seen whole that frequent words begin with, or a lower-case one never seen at all
-    part = (F.length(word) >= 1) & ~F.col("known") & F.col("begins")
-    strange = (F.length(word) >= 1) & ~F.col("known") & word.rlike(r"^\p{Ll}")
-    table, stopped, title = F.col("table"), F.col("stopped"), F.col("title")
+    state = (
+        F.when(F.coalesce(F.length(word) == 0, F.lit(True)), "none")
+        .when(F.col("known"), "known")
+        .when(F.col("begins"), "part")  # never seen whole, but frequent words begin with it
+        .when(word.rlike(r"^\p{Ll}"), "strange")
+        .otherwise("new")
+    )
     kind = (
         F.when(F.col("blank"), "none")
         .when(F.col("broken"), "broken")
-        .when(stopped & F.col("abbreviation") & (F.col("stop_word") != ""), "inner_stop")
-        .when(stopped, "sentence")
-        .when(F.col("marked"), "mark")
-        .when(F.col("table_cut") | F.col("reference_cut"), "part_word")
-        .when(table | F.col("line_kind"), F.when(part | (strange & ~table), "part_word").otherwise("whole_line"))
-        .when(title & ~F.col("prose_before"), F.when(part, "part_word").otherwise("whole_line"))
-        .when(F.col("title_last"), F.when(part, "part_word").otherwise("whole_line"))
-        .when(F.col("single"), F.when(part | strange, "part_word").otherwise("open"))
-        .otherwise("fragment")
+        .when(F.col("stopped") & F.col("abbreviation") & (F.col("stop_word") != ""), "inner_stop")
+        .when(F.col("stopped"), "sentence")
+        .when(F.col("table_cut"), "table_cut")
+        .when(F.col("reference_cut"), "reference_cut")
+        .when(F.col("table"), "table")
+        .when(F.col("line_kind"), "line")
+        .when(F.col("title") & ~F.col("prose_before"), "title")
+        .when(F.col("title_last"), "title_last")
+        .when(F.col("single"), "single")
+        .otherwise("prose")
     )
-    return df.withColumn("ending", kind)
+    return df.withColumn("ending", F.concat_ws(":", kind, state, F.when(F.col("marked"), "marked").otherwise("bare")))
 
 
 def _fit(length: np.ndarray, count: np.ndarray, limit: float) -> tuple[float, float, float]:
@@ -167,8 +187,6 @@ def censoring_limits(length: np.ndarray, count: np.ndarray) -> list[tuple[int, i
     pile doesn't bend the curve it is measured against.
     """
     total = count.sum()
-    if total < 8:
-        return []
     found: list[tuple[int, int, float]] = []
     at_limit = np.zeros(len(length), bool)
     # share of the values that any smooth density would put near a length: counted around it, the window itself left out
@@ -222,29 +240,94 @@ def source_limits(lengths: DataFrame) -> DataFrame:
     return histogram.groupBy("source", "unit").applyInPandas(fit, "source string, unit string, from_length bigint, to_length bigint, posterior double")
 
 
-def ending_gains(judged: DataFrame) -> DataFrame:
-    """source, gains: for each pile and ending (as ``unit|from_length|ending``) the log likelihood by which a cut must be there.
+#: Every kind with every state of the last word, without and with a mark.
+CELLS = [f"{k}:{w}:{m}" for k in KINDS for w in WORDS for m in MARKS]
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    """Share of each cell among cut (row 0) and whole (row 1) texts, from their expected numbers and the prior's."""
+    n = counts.reshape(2, len(KINDS), len(WORDS), len(MARKS))
+    kind, word, mark = (n.sum(axes) + np.array(list(prior.values())).T for axes, prior in (((2, 3), KINDS), ((1, 3), WORDS), ((1, 2), MARKS)))
+    word /= word.sum(1, keepdims=True)
+    mark /= mark.sum(1, keepdims=True)
+    within = (n.sum(3) + WORD_WEIGHT * word[:, None]) / (n.sum((2, 3))[:, :, None] + WORD_WEIGHT)
+    return ((kind / kind.sum(1, keepdims=True))[:, :, None, None] * within[..., None] * mark[:, None, None]).reshape(2, -1)
+
+
+def _cut_shares(n: np.ndarray, expected: np.ndarray, limit: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Share of cut texts of each group (row of ``n``, documents by cell) by EM under fixed likelihood ratios of the cells."""
+    expected = np.clip(expected, 0.005, 0.995)
+    weight = np.where(limit, n.sum(1), AWAY_WEIGHT)
+    share = expected.copy()
+    for _ in range(60):
+        odds = (share / (1 - share))[:, None] * ratio
+        new = ((n * (odds / (1 + odds))).sum(1) + weight * expected) / (n.sum(1) + weight)
+        done = np.abs(new - share).max(initial=0) < 1e-6
+        share = np.clip(new, 1e-6, 1 - 1e-6)
+        if done:
+            break
+    # a pile may be one of whole texts that are alike: how much better its endings fit cuts tells, if even odds were before
+    gain = (n * np.log1p(share[:, None] * (ratio - 1))).sum(1)
+    genuine = 1 / (1 + np.exp(-np.clip(gain, -500, 500)))
+    return np.where(limit, np.clip(share * genuine, 1e-6, 1 - 1e-6), share)
 
-    Of a pile's documents as many as the density explains are whole and end as the source's documents at no limit do,
-    those of all sources weighed in; what an ending has beyond that speaks for cuts. A limit cuts inside words and
-    sentences most times: where an ending stands more often than those that tell by themselves, the pile is one of whole
-    texts and the gain 0. Needs columns source, ending, posterior, unit, from_length.
+
+_GROUP = ["source", "unit", "from_length"]
+
+
+def estimated_endings(judged: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Groups of documents (those at a limit, or the rest of a source) with their ``share`` of cut texts, and the log likelihood ratio of being cut of each of ``CELLS``.
+
+    One row a group and never more than the cells' numbers reach the driver. Needs columns source, ending, posterior,
+    unit, from_length.
     """
-    at_none = judged.filter("posterior IS NULL").groupBy("source", "ending").agg(F.count("*").alias("n"))
-    # a row for each ending, whatever the size of the table
-    rows = {r["ending"]: r["n"] for r in at_none.groupBy("ending").agg(F.sum("n").alias("n")).collect()}
-    usual = {e: (rows.get(e, 0) + 0.5) / (sum(rows.values()) + 0.5 * len(ENDING_LOG_ODDS)) for e in ENDING_LOG_ODDS}
-    share = F.element_at(F.create_map(*[x for e, v in usual.items() for x in (F.lit(e), F.lit(v))]), F.col("ending"))
-    own = at_none.groupBy("source").agg(F.sum("n").alias("outside"), F.map_from_entries(F.collect_list(F.struct("ending", "n"))).alias("outside_by"))
-    pile = ["source", "unit", "from_length"]
-    piled = judged.filter("posterior IS NOT NULL").groupBy(*pile, "ending").agg(F.count("*").alias("n"), F.sum(1 - F.col("posterior")).alias("whole"))
-    tells = F.sum(F.when(F.col("ending").isin(*[e for e, v in ENDING_LOG_ODDS.items() if v > 0]), F.col("n")).otherwise(0)).alias("telling")
-    piles = piled.groupBy(*pile).agg(F.sum("whole").alias("whole"), tells, F.collect_list(F.struct("ending", "n")).alias("by"))
-    each = piles.join(own, "source", "left").select("*", F.explode("by").alias("x")).select(*pile, "whole", "telling", "outside", "outside_by", "x.ending", "x.n")
-    seen = F.coalesce(F.try_element_at("outside_by", F.col("ending")), F.lit(0))
-    expected = F.greatest(F.col("whole") * (seen + POOLED_WEIGHT * share) / (F.coalesce("outside", F.lit(0)) + POOLED_WEIGHT), F.lit(1e-3))
-    gain = F.when((F.col("n") > expected) & (F.col("telling") >= F.col("n")), F.col("n") * F.log(F.col("n") / expected) - (F.col("n") - expected)).otherwise(0.0)
-    return each.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "unit", "from_length", "ending"), gain))).alias("gains"))
+    place = {c: i for i, c in enumerate(CELLS)}
+    cell = F.element_at(F.create_map(*[x for k, i in place.items() for x in (F.lit(k), F.lit(i))]), F.col("ending"))
+    counted = judged.groupBy(*_GROUP, cell.alias("cell")).agg(F.count("*").alias("n"), F.max("posterior").alias("posterior"))
+    groups = counted.groupBy(*_GROUP).agg(F.max("posterior").alias("posterior"), F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("by"))
+    columns = F.transform(F.sequence(F.lit(0), F.lit(len(CELLS) - 1)), lambda c: F.coalesce(F.try_element_at("by", c), F.lit(0)).cast("double"))
+    groups = settled(groups.select(*_GROUP, F.coalesce("posterior", F.lit(AWAY)).alias("expected"), columns.alias("n")), "ending-counts")
+
+    # cuts at limits teach how cuts end: those in transfer fall anywhere too, and elsewhere nothing tells that a text was cut but its ending
+    def totals(n: np.ndarray, expected: np.ndarray, limit: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+        odds = _cut_shares(n, expected, limit, ratio)
+        cut = n * (q := (odds / (1 - odds))[:, None] * ratio) / (1 + q)
+        return np.array([cut[limit].sum(0), (n - cut).sum(0)])
+
+    def summed(ratio: np.ndarray) -> np.ndarray:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                if len(f):
+                    t = totals(np.stack(f["n"].to_numpy()), f["expected"].to_numpy(), f["limit"].to_numpy(bool), ratio)
+                    yield pd.DataFrame({"cut": [t[0]], "whole": [t[1]]})
+
+        parts = groups.select("n", "expected", F.col("unit").isNotNull().alias("limit")).mapInPandas(run, "cut array<double>, whole array<double>")
+        row = parts.agg(*[F.array(*[F.coalesce(F.sum(F.col(c)[k]), F.lit(0.0)) for k in range(len(CELLS))]).alias(c) for c in ("cut", "whole")]).first()
+        return np.array([row["cut"], row["whole"]], float)
+
+    # few groups are counted here, more where they lie; the sums are the same
+    held = groups.select("n", "expected", F.col("unit").isNotNull().alias("limit")).toPandas() if groups.count() <= GROUPS_HERE else None
+    if held is not None:
+        numbers = np.stack(held["n"].to_numpy()) if len(held) else np.zeros((0, len(CELLS)))
+        summed = lambda ratio: totals(numbers, held["expected"].to_numpy(), held["limit"].to_numpy(bool), ratio)
+    open_end = np.array([c.split(":")[0] not in FINISHED for c in CELLS])
+
+    def ratios(counts: np.ndarray) -> np.ndarray:
+        shares = _shares(counts)
+        return np.where(open_end, shares[0] / shares[1], 1e-9)  # by definition a finished text wasn't cut, whatever its length
+
+    ratio = ratios(np.zeros((2, len(CELLS))))
+    for _ in range(STEPS):
+        before, ratio = ratio, ratios(summed(ratio))
+        if np.abs(np.log(ratio) - np.log(before)).max() < SETTLED:
+            break
+
+    def final(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield f[_GROUP].assign(share=_cut_shares(np.stack(f["n"].to_numpy()), f["expected"].to_numpy(), f["unit"].notna().to_numpy(), ratio))
+
+    return groups.mapInPandas(final, "source string, unit string, from_length bigint, share double"), np.log(ratio)
 
 
 def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -285,13 +368,18 @@ def truncated_texts(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     pile = F.array_max(F.transform(near, lambda p: F.struct(p["posterior"].alias("posterior"), p["unit"].alias("unit"), p["from_length"].alias("from_length"))))
     judged = judged.join(limits, "source", "left").withColumn("pile", pile).select("key", "source", "ending", "pile.*")
     judged = settled(judged, "endings")  # a few bytes a document; counted, and then judged by the counts
-    odds = F.element_at(F.create_map(*[x for k, v in ENDING_LOG_ODDS.items() for x in (F.lit(k), F.lit(v))]), F.col("ending"))
-    p = F.least(F.greatest(F.coalesce("posterior", F.lit(PRIOR)), F.lit(0.02)), F.lit(0.999))
-    gain = F.coalesce(F.try_element_at("gains", F.concat_ws("|", "unit", "from_length", "ending")), F.lit(0.0))
+    groups, ratios = estimated_endings(judged)
+    said = F.element_at(F.create_map(*[x for c, v in zip(CELLS, ratios) for x in (F.lit(c), F.lit(float(v)))]), F.col("ending"))
+    # a source has few limits: one row a source, so that the documents meet a small table
+    place = lambda t: F.concat_ws("|", F.coalesce("unit", F.lit("")), F.coalesce(F.col("from_length").cast("string"), F.lit("")))
+    by_source = groups.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(place(groups).alias("place"), "share"))).alias("shares"))
+    share = F.try_element_at("shares", place(judged))
+    kind = F.substring_index("ending", ":", 1)
+    finished = kind.isin(*FINISHED)
     return (
-        judged.join(ending_gains(judged), "source", "left")
-        .withColumn("log_odds", odds + F.log(p / (1 - p)) + F.when(F.col("ending").isin(*FINISHED) | F.col("posterior").isNull(), 0.0).otherwise(gain))
-        .select(F.col("key").alias(key), F.when(F.col("source") != "", F.col("source")).alias("source"), "ending", "posterior", "log_odds", (F.col("log_odds") > 0).alias("cut"))
+        judged.join(by_source, "source", "left")
+        .withColumn("log_odds", said + F.log(share / (1 - share)))
+        .select(F.col("key").alias(key), F.when(F.col("source") != "", F.col("source")).alias("source"), "ending", "posterior", "log_odds", (~finished & (F.col("log_odds") > 0)).alias("cut"))
     )
 
 

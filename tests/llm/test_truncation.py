@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from quirewright.llm import truncation
 from quirewright.llm.truncation import _fit, censoring_limits, source_limits, truncated_texts, truncation_by_source
 
 NOUNS = ["ledger", "harbour", "archive", "station", "drawing", "committee", "estimate", "signature"]
@@ -76,7 +77,7 @@ def test_a_certain_pile_overrules_endings_of_whole_words(spark):
             rows.append((k, " ".join(sentence(r) for _ in range(r.randrange(2, 6))) + f" It took xabbrvt. {r.choice(NOUNS)} and ended.", "letters"))
     judged = {x.doc_id: x for x in truncated_texts(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
     assert len(cut) > 60 and sum(judged[k].cut for k in cut) > 0.95 * len(cut)
-    assert {judged[k].ending for k in cut} >= {"open", "inner_stop"}
+    assert {judged[k].ending.split(":")[0] for k in cut} >= {"single", "inner_stop"}
     assert not any(judged[k].cut for k, _, _ in rows if k % 4 in (1, 3))
 
 
@@ -111,4 +112,35 @@ def test_a_pile_of_whole_titles_is_no_limit(spark):
     rows = [(k, "जुनपुर का " + "क" * r.randrange(14, 17) + " हस्तलिखित", "s") for k in range(12)] + [(100 + k, " ".join(sentence(r) for _ in range(r.randrange(3, 20))), "s") for k in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     judged = {x.doc_id: x for x in truncated_texts(df).collect()}
-    assert any(judged[k].posterior for k in range(12)) and not any(x.cut for x in judged.values() if x.ending in ("open", "whole_line"))
+    assert any(judged[k].posterior for k in range(12)) and not any(judged[k].cut for k in range(12))
+
+
+def cards(r):
+    """One-line cards, half of them cut at 40: some behind a whole word, as uncut cards end too."""
+    rows = []
+    for k in range(800):
+        t = "found in the " + " ".join(r.choice(NOUNS) for _ in range(9))
+        rows.append((k, t[:40] if k % 2 else "in the " + r.choice(NOUNS) + " " + "x" * r.randrange(1, 9) + " " + r.choice(NOUNS), "cards"))
+    return rows
+
+
+def test_length_and_ending_both_decide(spark, monkeypatch):
+    rows = cards(random.Random(9))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    judged = {x.doc_id: x for x in truncated_texts(df).collect()}
+    at_limit = {k for k, t, _ in rows if k % 2 and any(t.endswith(" " + w) for w in NOUNS)}
+    same_ending = {k for k, x in judged.items() if k % 2 == 0 and x.ending in {judged[j].ending for j in at_limit}}
+    assert len(at_limit) > 20 and len(same_ending) > 200
+    assert sum(judged[k].cut for k in at_limit) > 0.95 * len(at_limit) and not any(judged[k].cut for k in same_ending)
+    # the same sums by jobs
+    monkeypatch.setattr(truncation, "GROUPS_HERE", 0)
+    assert {x.doc_id: x.cut for x in truncated_texts(df).collect()} == {k: x.cut for k, x in judged.items()}
+    monkeypatch.undo()
+    # without lengths what ends alike is judged alike
+    monkeypatch.setattr(truncation, "censoring_limits", lambda length, count: [])
+    blind = {x.doc_id: x.cut for x in truncated_texts(df).collect()}
+    assert len({blind[k] for k in at_limit | same_ending}) == 1 and sum(blind[k] != x.cut for k, x in judged.items()) > 20
+    monkeypatch.undo()
+    # without what endings were found to say nothing tells cut texts from whole ones of their length
+    monkeypatch.setattr(truncation, "_shares", lambda counts: np.ones((2, len(truncation.CELLS))))
+    assert sum(x.cut != judged[x.doc_id].cut for x in truncated_texts(df).collect()) > 20
