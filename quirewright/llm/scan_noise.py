@@ -356,11 +356,12 @@ def proposed_words(texts: DataFrame, clean: DataFrame, editor: Editor) -> DataFr
     """raw, times, seen, form, count, read, edits, gain: every form that the editor proposes for each distinct word of ``texts.text``, and what ``clean.text`` says of both."""
     lexicon = clean.select(F.explode(_tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("count")).filter(~F.col("word").rlike(r"[\p{Cf}|]"))
     lexicon = settled(lexicon, "lexicon")
-    words = texts.select(F.explode(_tokens(F.col("text"))).alias("raw")).select("raw", _bare(F.col("raw")).alias("word")).filter(F.col("word").rlike(r"\p{L}") & (F.length("word") <= LONGEST_WORD) & ~F.col("word").rlike(_ROMAN_WORD)).groupBy("raw", "word").agg(F.count("*").alias("times"))
+    words = texts.select(F.explode(_tokens(F.col("text"))).alias("raw")).groupBy("raw").agg(F.count("*").alias("times")).withColumn("word", _bare(F.col("raw")))
+    words = words.filter(F.col("word").rlike(r"\p{L}") & (F.length("word") <= LONGEST_WORD) & ~F.col("word").rlike(_ROMAN_WORD))
     words = settled(words, "words")  # the distinct words are asked for several times, the texts' tokens only once
     odd = F.col("word").rlike(r"[^\x00-\x7F]")
     plain = settled(canonical_words(words.filter(odd).select("word")), "plain")
-    words = words.filter(~odd).unionByName(words.filter(odd).join(plain, "word").select("raw", F.col("plain").alias("word"), "times"))
+    words = words.filter(~odd).select("raw", "word", "times").unionByName(words.filter(odd).join(plain, "word").select("raw", F.col("plain").alias("word"), "times"))
     # a word that only its capitals hide is as well known as in small letters
     lower = lexicon.groupBy(F.lower("word").alias("low")).agg(F.sum("count").alias("seen"))
     words = words.withColumn("low", F.lower("word")).join(lower, "low", "left").select("raw", "word", "times", F.coalesce("seen", F.lit(0)).alias("seen"))
@@ -450,8 +451,9 @@ def edge_lines(texts: DataFrame) -> DataFrame:
     margin. ``key`` is the header without letter case, spacing and signs that scanning confuses. Only the edges' lines are
     shuffled, and of the pages' own texts not even these.
     """
-    lines = F.filter(F.split("text", r"\r?\n"), lambda x: x.rlike(r"(?U)\S"))
-    bare = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    blanks = F.lit(" \t\r\x0b\x0c\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000")
+    bare = lambda x: F.trim(x, blanks)
+    lines = F.filter(F.split("text", "\n"), lambda x: bare(x) != "")
     slim = texts.withColumn("lines", lines).withColumn("n", F.size("lines")).filter("n > 0")
     slim = slim.select(
         "table_name", "row_key", "document_id", "page", "reading_order", "top", "n", F.array_max(F.transform("lines", F.length)).alias("width"),
@@ -478,18 +480,20 @@ def edge_lines(texts: DataFrame) -> DataFrame:
     )
     out = placed.select("table_name", "row_key", "document_id", "page", "n", "width", F.explode(spots).alias("x")).select("table_name", "row_key", "document_id", "page", "n", "width", "x.*")
     latin = F.translate(F.col("line"), "०१२३४५६७८९", "0123456789")
-    number = F.coalesce(*[F.when(F.regexp_extract(latin, p, g) != "", F.regexp_extract(latin, p, g)) for p, g in ((_ALONE, 1), (_BEFORE, 1), (_BEHIND, 2))])
-    out = out.withColumn("roman", _roman(F.col("line")))
-    alone = latin.rlike(_ALONE) | F.col("roman").isNotNull()
+    out = out.withColumns({"latin": latin, "roman": F.when(F.col("line").rlike(_ROMAN), _roman(F.col("line")))})
+    out = out.withColumn("shape", F.when(~F.col("latin").rlike("[0-9]"), "none").when(F.col("latin").rlike(_ALONE), "alone").when(F.col("latin").rlike(_BEFORE), "before").when(F.col("latin").rlike(_BEHIND), "behind").otherwise("none"))
+    shape = F.col("shape")
+    number = F.when(shape == "alone", F.regexp_extract("latin", _ALONE, 1)).when(shape == "before", F.regexp_extract("latin", _BEFORE, 1)).when(shape == "behind", F.regexp_extract("latin", _BEHIND, 2))
+    alone = (shape == "alone") | F.col("roman").isNotNull()
     any_digit = lambda p: p.replace(r"\d", r"[\d०-९]").replace(r"\D", r"[^\d०-९]")
-    header = F.when(alone, None).when(latin.rlike(_BEFORE), F.regexp_extract("line", any_digit(_BEFORE), 2)).when(latin.rlike(_BEHIND), F.regexp_extract("line", any_digit(_BEHIND), 1)).otherwise(F.col("line"))
+    header = F.when(alone, None).when(shape == "before", F.regexp_extract("line", any_digit(_BEFORE), 2)).when(shape == "behind", F.regexp_extract("line", any_digit(_BEHIND), 1)).otherwise(F.col("line"))
     key = F.regexp_replace(F.lower("header"), r"(?U)[^\p{L}\p{M}\p{N}|]+", "")
     key = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(key, "rn", "m"), "ii", "u"), "cl", "d"), "0115|lcq", "oiisiieg")
-    return out.withColumns({"number": F.coalesce(number.cast("int"), F.col("roman")), "alone": alone}).withColumn("header", header).withColumn("key", F.when(F.length(key) > 2, key)).drop("roman")
+    return out.withColumns({"number": F.coalesce(number.cast("int"), F.col("roman")), "alone": alone}).withColumn("header", header).withColumn("key", F.when(F.length(key) > 2, key)).drop("roman", "latin", "shape")
 
 
 def edge_features(edges: DataFrame) -> DataFrame:
-    """``edges`` with ``repeats`` (pages of the document that have the key at an edge), and arrays ``as_header`` and ``as_number`` of page-position features."""
+    """The edges' lines with ``repeats`` (pages of the document that have the key at an edge), ``keyed``, ``numbered``, and columns of signs."""
     at = ["table_name", "document_id"]
     keyed = edges.filter("key IS NOT NULL AND document_id IS NOT NULL")
     repeats = keyed.groupBy(*at, "key").agg(F.count_distinct("page").alias("repeats"), F.count_distinct("header").alias("forms"), F.max(~F.col("header").rlike(r"^\p{Ll}")).alias("titled"))
@@ -508,11 +512,18 @@ def edge_features(edges: DataFrame) -> DataFrame:
         "place": F.concat(F.substring("edge", 1, 1), F.col("depth")), "lines": steps(F.col("n"), 1, 2, 4), "block": flag(F.col("table_name") == "structure_blocks"), "number": F.when(F.col("number").isNull(), "none").when(F.col("alone"), "alone").otherwise("beside"),
         "own": F.when(F.col("number").isNull() | F.col("usual").isNull(), "none").otherwise(flag(F.col("number") - F.col("page") == F.col("usual"))), "shared": steps(F.coalesce("usual_pages", F.lit(0)), 0, 1, 2),
     }
-    rows = rows.withColumns({f"_{k}": v for k, v in signs.items()})
-    named = lambda *names: F.concat_ws(" ", *[F.concat(F.lit(k + "="), F.col(f"_{k}")) for k in names])
-    as_header = F.array(F.lit("b"), *[named(*x.split()) for x in ("rep", "len", "place", "number", "rep stop", "rep inner", "rep on", "rep clause", "rep low", "item", "rep len", "rep titled", "rep place", "rep number own", "stop inner on clause low", "rep lines", "rep len stop", "stop place", "number own shared", "rep width", "rep caps", "rep forms", "width caps on", "rep width caps", "rep forms stop", "rep width stop on")])
-    as_number = F.array(F.lit("b"), *[named(*x.split()) for x in ("number", "place", "number own", "number own shared", "number place", "number lines", "number rep", "number own lines", "number own stop")])
-    return rows.withColumns({"as_header": as_header, "as_number": as_number}).drop(*[f"_{k}" for k in signs])
+    keyed, numbered = F.col("key").isNotNull().alias("keyed"), F.col("number").isNotNull().alias("numbered")
+    return rows.select("table_name", "row_key", "edge", "depth", "line", "repeats", keyed, numbered, *[signs[k].alias(f"_{k}") for k in sorted(signs)])
+
+
+#: Page-position features, each of the signs named: of a line as a running header and as the place of the page's number.
+HEADER_FEATURES = ("rep", "len", "place", "number", "rep stop", "rep inner", "rep on", "rep clause", "rep low", "item", "rep len", "rep titled", "rep place", "rep number own", "stop inner on clause low", "rep lines", "rep len stop", "stop place", "number own shared", "rep width", "rep caps", "rep forms", "width caps on", "rep width caps", "rep forms stop", "rep width stop on")
+NUMBER_FEATURES = ("number", "place", "number own", "number own shared", "number place", "number lines", "number rep", "number own lines", "number own stop")
+
+
+def _position(names: tuple[str, ...]) -> Column:
+    """The array of features of an edge's line."""
+    return F.array(F.lit("b"), *[F.concat_ws(" ", *[F.concat(F.lit(k + "="), F.col(f"_{k}")) for k in x.split()]) for x in names])
 
 
 def _folded(text: str) -> str:
@@ -559,7 +570,8 @@ def learn_furniture(edges: DataFrame, sample: list[tuple[int, str, str]]) -> Fur
     if not sample:
         return Furniture()
     keys = edges.sparkSession.createDataFrame([(k,) for k, _, _ in sample], "row_key bigint").distinct()  # at most TRAINING_PAGES
-    rows = edges.filter("table_name = 'calibration_pages'").join(F.broadcast(keys), "row_key").orderBy("row_key", "edge", "depth").collect()
+    own = edges.filter("table_name = 'calibration_pages'").join(F.broadcast(keys), "row_key")
+    rows = own.select("row_key", "edge", "depth", "line", "repeats", "keyed", "numbered", _position(HEADER_FEATURES).alias("as_header"), _position(NUMBER_FEATURES).alias("as_number")).orderBy("row_key", "edge", "depth", "line").collect()
     by_page: dict[int, list] = defaultdict(list)
     for r in rows:
         by_page[r.row_key].append(r)
@@ -567,17 +579,17 @@ def learn_furniture(edges: DataFrame, sample: list[tuple[int, str, str]]) -> Fur
     for key, clean, _ in sample:
         own = by_page.pop(key, [])
         for r, missing in zip(own, missing_from(clean, [(r.line, r.edge, r.depth) for r in own])):
-            if r.key is not None:  # a header is one by other pages that have it
+            if r.keyed:  # a header is one by other pages that have it
                 headers.append((r.as_header, missing and (r.repeats or 0) > 1))
-            if r.number is not None:
+            if r.numbered:
                 numbers.append((r.as_number, missing))
     return Furniture(train_linear(headers), train_linear(numbers))
 
 
 def furniture(edges: DataFrame, learnt: Furniture) -> DataFrame:
     """table_name, row_key, noise (running_header, page_number), line: the lines at page edges that are furniture; needs the columns of :func:`edge_features`."""
-    header = F.col("key").isNotNull() & (_weighed(F.col("as_header"), learnt.header) > 0)
-    number = F.col("number").isNotNull() & (_weighed(F.col("as_number"), learnt.number) > 0)
+    header = F.col("keyed") & (_weighed(_position(HEADER_FEATURES), learnt.header) > 0)
+    number = F.col("numbered") & (_weighed(_position(NUMBER_FEATURES), learnt.number) > 0)
     judged = edges.select("table_name", "row_key", "edge", "depth", "line", header.alias("is_header"), number.alias("is_number"))
     # an inner line counts only behind outer ones that are furniture themselves
     outward = Window.partitionBy("table_name", "row_key", "edge").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -627,7 +639,7 @@ def scan_noise(calibration: DataFrame, pending: DataFrame, blocks: DataFrame, pa
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(["hyphenation"] * len(rows), pa.string()), pa.array(columns[2], pa.string())], names=["table_name", "row_key", "noise", "detail"])
 
     broken = texts.filter(F.col("text").rlike(_BREAK)).select("table_name", "row_key", "text").mapInArrow(joins, "table_name string, row_key bigint, noise string, detail string")
-    edges = settled(edge_features(edge_lines(texts)), "edges")  # a few lines a page
+    edges = settled(edge_features(settled(edge_lines(texts), "edges")), "edge-signs")  # a few lines a page, counted three times
     lines = furniture(edges, learnt or learn_furniture(edges, sample)).select("table_name", "row_key", "noise", F.col("line").alias("detail"))
     return misread.unionByName(broken).unionByName(lines)
 
