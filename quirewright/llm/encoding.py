@@ -1,8 +1,9 @@
 """Encoding of texts with a public byte-level BPE, exact for texts of any length.
 
 Short texts are encoded where they lie: a map without a shuffle. A long text is cut into pieces that tasks encode in
-parallel; the pieces' ids are joined up a binary tree. At each join a window around the seam is encoded anew and grown
-until it agrees with both sides:
+parallel; the pieces' ids are joined up a binary tree, a level at a time, so that every pair of neighbours is a task's
+group of its own and no task gets more of a text than its two halves. At each join a window around the seam is encoded
+anew and grown until it agrees with both sides:
 
 * between words, the window begins at a word of the left piece that has seen the text behind it, and ends at a word
   boundary that window and right piece share; the splitting pattern never looks back, so from a shared boundary on both
@@ -28,12 +29,14 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirewright.session import settled
+
 #: Folder of the public tokenizers' files, and the tokenizer used.
 TOKENIZER_FOLDER, TOKENIZER = "/opt/tokenizers", "byte_bpe_50k"
 #: The splitting pattern of this vocabulary (a fixed value of the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Code points of a piece of a long text; a text of up to twice that stays whole.
-PIECE_CHARS = 32_768
+PIECE_CHARS = 4_096
 #: Bytes of an unsplit run that are encoded at once; a longer run is encoded as a tree.
 RUN_BYTES = 2_048
 #: Code points first taken right of a seam, and tokens at either side of a seam in a run.
@@ -179,25 +182,46 @@ def encode_texts(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(folder, name)
         for b in batches:
-            found = [e.piece(s, t) for s, t in zip(b.column("start").to_pylist(), b.column("text").to_pylist())]
-            made = [pa.array([p.starts for p in found], pa.list_(pa.int32())), pa.array([p.ids for p in found], pa.list_(pa.list_(pa.int32())))]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("row", "key", "start", "text")] + made, names=["row", "key", "start", "text", "starts", "ids"])
+            for at in range(0, b.num_rows, 100):
+                part = b.slice(at, 100)
+                yield _piece_columns(part.select(["row", "key", "parts", "copies"]), part.column("no"), [e.piece(s, t) for s, t in zip(part.column("start").to_pylist(), part.column("text").to_pylist())])
 
     def joined(t: pa.Table) -> pa.Table:
-        t = t.sort_by("start")
-        parts = [Piece(r["start"], r["text"], r["starts"], r["ids"]) for r in t.select(["start", "text", "starts", "ids"]).to_pylist()]
-        return pa.Table.from_batches([finished(t["key"].combine_chunks().slice(0, 1), [np.array(encoder(folder, name).join_all(parts), np.int32)])])
+        t = t.sort_by("no")
+        found = [Piece(r["start"], r["text"], r["starts"], r["ids"]) for r in t.select(["start", "text", "starts", "ids"]).to_pylist()]
+        whole = encoder(folder, name).join(*found) if len(found) > 1 else found[0]
+        first = t.slice(0, 1).combine_chunks().to_batches()[0]
+        return pa.Table.from_batches([_piece_columns(first.select(["row", "key", "parts", "copies"]), pa.array([first.column("no")[0].as_py() // 2], pa.int32()), [whole])])
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                ids = b.column("ids").slice(k, 1).flatten().flatten().to_numpy(zero_copy_only=False)
+                done = finished(b.column("key").slice(k, 1), [ids.astype(np.int32)])
+                for _ in range(b.column("copies")[k].as_py()):
+                    yield done
 
     short = rows.filter(~long).mapInArrow(whole, out)
-    cuts = F.sequence(F.lit(0), F.length("text") - 1, F.lit(piece_chars))
-    spread = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # equal rows are encoded once and counted: one text may be a third of all
+    row = F.struct(F.xxhash64("key", "text").alias("a"), F.xxhash64(F.lit(1), "text", "key").alias("b"))
+    parts = F.ceil(F.length("text") / F.lit(piece_chars)).cast("int")
     cut = (
         rows.filter(long)
-        .withColumn("row", F.monotonically_increasing_id())
-        .select("row", "key", "text", F.explode(cuts).alias("start"))
-        .select("row", "key", "start", F.substring("text", F.col("start") + 1, F.lit(piece_chars)).alias("text"))
-        .repartition(spread, "row", "start")
-        .mapInArrow(pieces, f"row bigint, key {kind}, start int, text string, starts array<int>, ids array<array<int>>")
+        .select(row.alias("row"), "key", "text", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("no"))
+        .select("row", "key", "parts", "no", (F.col("no") * piece_chars).alias("start"), F.substring("text", F.col("no") * piece_chars + 1, F.lit(piece_chars)).alias("text"))
+        .groupBy("row", "key", "parts", "no", "start", "text")
+        .agg(F.count("*").alias("copies"))
     )
-    done = cut.groupBy("row").applyInArrow(joined, out)
-    return short.unionByName(done).withColumnRenamed("key", key)
+    fields = f"row struct<a:bigint,b:bigint>, key {kind}, parts int, copies bigint, no int, start int, text string, starts array<int>, ids array<array<int>>"
+    made = settled(cut.mapInArrow(pieces, fields), "pieces")
+    most = made.agg(F.max("parts")).first()[0] or 1
+    level = made
+    while most > 1:
+        level = level.groupBy("row", F.floor(F.col("no") / 2)).applyInArrow(joined, fields)
+        most = -(-most // 2)
+    return short.unionByName(level.mapInArrow(flat, out)).withColumnRenamed("key", key)
+
+
+def _piece_columns(of_row: pa.RecordBatch, no: pa.Array, found: list[Piece]) -> pa.RecordBatch:
+    made = [pa.array([p.start for p in found], pa.int32()), pa.array([p.text for p in found], pa.string()), pa.array([p.starts for p in found], pa.list_(pa.int32())), pa.array([p.ids for p in found], pa.list_(pa.list_(pa.int32())))]
+    return pa.RecordBatch.from_arrays([*of_row.columns, no, *made], names=["row", "key", "parts", "copies", "no", "start", "text", "starts", "ids"])
