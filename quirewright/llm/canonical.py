@@ -168,8 +168,9 @@ def canonical_texts(df: DataFrame, text: str = "text", out: str = "canonical") -
     are. Null stays null and unchanged, the empty text stays empty. All rows and columns are kept, repeated rows too; no
     column name of ``df`` may begin with two underscores, other names don't clash.
     """
-    rows = df.withColumn("__row", F.monotonically_increasing_id())
     source = F.col(f"`{text}`").cast("string")
+    # a text's edits follow from it alone, so two hashes of it name them, however often and wherever it is read
+    rows = df.withColumn("__row", F.struct(F.xxhash64(source).alias("a"), F.xxhash64(F.lit(1), source).alias("b")))
     runs = F.regexp_extract_all(source, F.lit(f"({SEGMENT})"), 1)
     between = F.split(source, SEGMENT, -1)  # one more than runs; the first and the last may be empty
     odd = source.rlike(r"[^\x00-\x7F]")
@@ -183,7 +184,7 @@ def canonical_texts(df: DataFrame, text: str = "text", out: str = "canonical") -
     edits = (
         segments.join(changed, "word")
         .groupBy("__row")
-        .agg(F.array_sort(F.collect_list(F.struct("k", F.concat("gap", "plain").alias("new")))).alias("__edits"))
+        .agg(F.array_sort(F.collect_set(F.struct("k", F.concat("gap", "plain").alias("new")))).alias("__edits"))
     )
     # the parts are columns from below the join, not expressions: each is made once for a row
     parts = F.when(odd, F.zip_with(between, runs, lambda g, w: F.concat(g, w)))

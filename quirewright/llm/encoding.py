@@ -17,15 +17,16 @@ from __future__ import annotations
 import base64
 import bisect
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +62,9 @@ class Piece:
 class Encoder:
     """Ids of a text, equal to the tokenizer's own whatever the text's length."""
 
-    def __init__(self, folder: str = TOKENIZER_FOLDER, name: str = TOKENIZER):
-        lines = Path(folder, f"{name}.tiktoken").read_bytes().splitlines()
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    def __init__(self, folder: str = TOKENIZER_FOLDER, name: str = TOKENIZER, vocabulary: bytes | None = None):
+        vocabulary = vocabulary or Path(folder, f"{name}.tiktoken").read_bytes()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.bpe = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(PATTERN)
         self.once = self.bpe._core_bpe.encode_single_piece
@@ -137,10 +138,24 @@ class Encoder:
         return [i for word in pieces[0].ids for i in word]
 
 
-@lru_cache(maxsize=2)
-def encoder(folder: str, name: str) -> Encoder:
-    """One encoder for each worker process."""
-    return Encoder(folder, name)
+@dataclass(frozen=True)
+class Shipped:
+    """A vocabulary that travels with the job, so that only the driver needs the tokenizer's file; of the file's size."""
+
+    name: str
+    file: Broadcast
+
+    def encoder(self) -> Encoder:
+        """One encoder for each worker process."""
+        vocabulary = self.file.value
+        known = self.name, len(vocabulary), zlib.crc32(vocabulary)
+        if known not in _encoders:
+            _encoders.clear()
+            _encoders[known] = Encoder(name=self.name, vocabulary=vocabulary)
+        return _encoders[known]
+
+
+_encoders: dict = {}
 
 
 def _id_lists(found: list[np.ndarray]) -> pa.Array:
@@ -165,6 +180,7 @@ def encode_texts(
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    shipped = Shipped(name, df.sparkSession.sparkContext.broadcast(Path(folder, f"{name}.tiktoken").read_bytes()))
     long = F.coalesce(F.length("text") > 2 * piece_chars, F.lit(False))
     out = f"key {kind}, tokens bigint" if counts_only else f"key {kind}, ids array<int>"
 
@@ -173,14 +189,14 @@ def encode_texts(
         return pa.RecordBatch.from_arrays([keys, column], names=["key", "tokens" if counts_only else "ids"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(folder, name)
+        e = shipped.encoder()
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 yield finished(part.column(0), [e.ids(x) for x in part.column(1).to_pylist()])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(folder, name)
+        e = shipped.encoder()
         for b in batches:
             for at in range(0, b.num_rows, 100):
                 part = b.slice(at, 100)
@@ -189,7 +205,7 @@ def encode_texts(
     def joined(t: pa.Table) -> pa.Table:
         t = t.sort_by("no")
         found = [Piece(r["start"], r["text"], r["starts"], r["ids"]) for r in t.select(["start", "text", "starts", "ids"]).to_pylist()]
-        whole = encoder(folder, name).join(*found) if len(found) > 1 else found[0]
+        whole = shipped.encoder().join(*found) if len(found) > 1 else found[0]
         first = t.slice(0, 1).combine_chunks().to_batches()[0]
         return pa.Table.from_batches([_piece_columns(first.select(["row", "key", "parts", "copies"]), pa.array([first.column("no")[0].as_py() // 2], pa.int32()), [whole])])
 

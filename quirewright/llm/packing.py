@@ -8,6 +8,8 @@ gap becomes smallest, which keeps gaps of every size on offer. The unspent rest
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,8 @@ from quirewright.session import settled
 
 #: Items of one shard: large enough that its open containers waste little, small enough for a task's memory.
 SHARD_ITEMS = 10_000
-#: Most capacities packed in one pass; they are read to the driver.
-MOST_CAPACITIES = 1_000
+#: Capacities packed in one pass over the sizes; more take further passes.
+CAPACITIES_A_PASS = 1_000
 
 
 def sum_of_squares(sizes: Sequence[int] | np.ndarray, capacity: int) -> np.ndarray:
@@ -63,17 +65,13 @@ def pack(
 
     An item larger than the capacity is cut into full pieces and a rest, numbered from 1, each a row; ``start`` is the
     offset of the piece in the item. Any other item is one row. Items of size 0 or null take no room: they lie in the
-    shard's first container. ``capacities``: columns capacity_id and capacity_tokens, at most ``MOST_CAPACITIES`` rows;
-    null or non-positive ones are left out. Repeated keys and rows are items of their own. No items, no rows.
+    shard's first container. ``capacities``: columns capacity_id and capacity_tokens; null or non-positive ones are left
+    out. Repeated keys and rows are items of their own. No items, no rows.
     """
-    wanted = capacities.select("capacity_id", "capacity_tokens").filter("capacity_tokens > 0").limit(MOST_CAPACITIES + 1).collect()
-    if len(wanted) > MOST_CAPACITIES:
-        raise ValueError(f"more than {MOST_CAPACITIES} capacities")
-    wanted = [tuple(r) for r in wanted]
     kind = sizes.schema[key].dataType.simpleString()
     items = sizes.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{size}`").cast("bigint"), F.lit(0)).alias("size"))
 
-    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shard(wanted: list[tuple[int, int]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
         number = TaskContext.get().partitionId()
         # a shard is bounded by the dealing below; should one be larger, it is packed in runs of twice the bound
@@ -107,4 +105,9 @@ def pack(
     shards = max(1, -(-items.count() // shard_items))
     dealt = items.repartition(shards)
     out = f"capacity_id int, container_id bigint, key {kind}, piece_no int, piece_count int, start bigint, tokens bigint"
-    return dealt.mapInArrow(shard, out).withColumnRenamed("key", key)
+    rest = capacities.select("capacity_id", "capacity_tokens").filter("capacity_tokens > 0").toLocalIterator()
+    packed = None
+    while (wanted := [tuple(r) for r in islice(rest, CAPACITIES_A_PASS)]) or packed is None:
+        part = dealt.mapInArrow(partial(shard, wanted), out)
+        packed = part if packed is None else packed.unionByName(part)
+    return packed.withColumnRenamed("key", key)

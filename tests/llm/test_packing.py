@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
+from quirewright.llm import packing
 from quirewright.llm.packing import pack, sum_of_squares
 
 
@@ -37,7 +39,9 @@ def test_each_choice_is_the_smallest_sum():
         assert (len(load), int((n**2).sum())) == brute(sizes, capacity)
 
 
-def test_whole_table(spark):
+@pytest.mark.parametrize("a_pass", [1_000, 1])
+def test_whole_table(spark, monkeypatch, a_pass):
+    monkeypatch.setattr(packing, "CAPACITIES_A_PASS", a_pass)
     r = random.Random(3)
     rows = [(r.randrange(50), r.choice([0, None, 5, 17, 64, 65, 200, r.randrange(1, 64)]), "x") for _ in range(900)]
     df = spark.createDataFrame(rows, "doc_id bigint, tokens bigint, size string")
