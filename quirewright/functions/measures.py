@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from quirewright.functions.text import once
 
-#: First code point that stands for a token when token sequences are compared as strings, and how many there are below the surrogates.
-_FIRST, MOST_TOKENS = 0x4E00, 0xD7FF - 0x4E00
+#: First code point that stands for a token when token sequences are compared as strings; those of surrogates are passed over.
+_FIRST, _BELOW = 0x4E00, 0xD800 - 0x4E00
+#: Code points there are for tokens; a pair with more couldn't be compared in any time, as the distance is quadratic.
+MOST_TOKENS = 0x110000 - _FIRST - 0x800
 
 
 def character_distance(a: Column, b: Column) -> Column:
@@ -22,7 +24,8 @@ def token_distance(a: Column, b: Column) -> Column:
     """
 
     def compared(known: Column) -> Column:
-        sign = lambda t: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, t) + (_FIRST - 1)), 4, "0")), "UTF-16BE")
+        place = lambda n: F.when(n <= _BELOW, n + (_FIRST - 1)).otherwise(n + (_FIRST - 1 + 0x800))
+        sign = lambda t: F.decode(F.unhex(F.lpad(F.hex(place(F.array_position(known, t))), 8, "0")), "UTF-32")
         coded = lambda xs: F.array_join(F.transform(xs, sign), "")
         return F.when(F.size(known) <= MOST_TOKENS, F.levenshtein(coded(a), coded(b))).otherwise(F.raise_error(F.lit("too many distinct tokens in a pair")).cast("int"))
 

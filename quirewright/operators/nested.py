@@ -8,12 +8,15 @@ A record is parsed where it lies: one pass, no shuffle, whatever its depth.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirewright.session import settled
+
 NODE_FIELDS = "label array<int>, steps array<string>, schema_path string, kind string, value string, members map<string,string>"
 _NODE = pa.struct(
     [
@@ -41,16 +44,76 @@ def _at(v: object, path: str) -> object:
     return v
 
 
+_BLANK = re.compile(r"[ \t\n\r]*")
+
+
+def deep_value(text: str) -> object:
+    """The JSON value of a text however deep it is nested: containers are kept on a stack, not in calls. Raises ValueError."""
+    scalar = json.JSONDecoder().raw_decode
+    holders: list[tuple[list | dict, str | None]] = []  # open containers, with the member awaiting its value
+    at = _BLANK.match(text, 0).end()
+    while True:
+        # a value begins here
+        sign = text[at : at + 1]
+        if sign and sign in "[{":
+            holders.append(([] if sign == "[" else {}, None))
+            at = _BLANK.match(text, at + 1).end()
+            closing = "]" if sign == "[" else "}"
+            if text[at : at + 1] != closing:
+                if sign == "{":
+                    at = _member(text, at, holders, scalar)
+                continue
+            value, at = holders.pop()[0], at + 1
+        else:
+            value, at = scalar(text, at)
+        # it is over: place it, and close what ends with it
+        while True:
+            at = _BLANK.match(text, at).end()
+            if not holders:
+                if at != len(text):
+                    raise ValueError("text behind the value")
+                return value
+            holder, name = holders[-1]
+            if isinstance(holder, dict):
+                holder[name] = value
+            else:
+                holder.append(value)
+            sign = text[at : at + 1]
+            at = _BLANK.match(text, at + 1).end()
+            if sign == ",":
+                if isinstance(holder, dict):
+                    at = _member(text, at, holders, scalar)
+                break
+            if sign != ("}" if isinstance(holder, dict) else "]"):
+                raise ValueError("a container isn't closed")
+            value = holders.pop()[0]
+
+
+def _member(text: str, at: int, holders: list, scalar: Callable[[str, int], tuple[object, int]]) -> int:
+    """Reads a member's name and colon; where its value begins."""
+    if text[at : at + 1] != '"':
+        raise ValueError("no member name")
+    name, at = scalar(text, at)
+    at = _BLANK.match(text, at).end()
+    if text[at : at + 1] != ":":
+        raise ValueError("no colon")
+    holders[-1] = holders[-1][0], name
+    return _BLANK.match(text, at + 1).end()
+
+
 def record_nodes(text: str | None, lists: Collection[str] = (), skip: Collection[str] = (), prefer: Collection[tuple[str, str]] = ()) -> list[tuple]:
     """Nodes of one JSON object in document order, the root first; none if the text isn't exactly one JSON object.
 
     ``lists``: member names whose value counts as a list even if it is a single object. ``skip``: names of members whose
     subtrees are left out. ``prefer``: (dotted path, member) pairs; where an object has something at the path, its member
-    of that name is left out. Iterative, so depth is bounded by the JSON parser alone.
+    of that name is left out. Iterative, so that any depth is read.
     """
     try:
-        root = json.loads(text) if text else None
-    except (ValueError, RecursionError):
+        try:
+            root = json.loads(text) if text else None
+        except RecursionError:
+            root = deep_value(text)
+    except ValueError:
         return []
     if not isinstance(root, dict):
         return []
@@ -200,3 +263,19 @@ def artifact_entities(df: DataFrame, key: str = "artifact_id", record: str = "ar
         "members",
         "schema_path",
     )
+
+
+def artifact_tables(df: DataFrame, key: str = "artifact_id", record: str = "artifact_json") -> dict[str, DataFrame]:
+    """The flat tables ``pages``, ``blocks``, ``cells`` and ``gates``, each row with its own and its parent's path.
+
+    Every record is parsed once for all four; members that the record lacks are null, a missing span is 1.
+    """
+    rows = settled(artifact_entities(df, key, record).select(key, "entity", "entity_path", "parent_path", "members"), "entities")
+    m = lambda name, kind="string": F.element_at("members", name).try_cast(kind)
+    columns = {
+        "pages": [m("page", "int").alias("page"), m("engine").alias("engine"), m("outcome").alias("outcome")],
+        "blocks": [m("type").alias("block_type"), m("text").alias("text"), m("reading_order", "int").alias("reading_order"), m("confidence", "double").alias("confidence")],
+        "cells": [m("text").alias("text"), m("is_header", "boolean").alias("is_header"), F.coalesce(m("rowspan", "int"), F.lit(1)).alias("rowspan"), F.coalesce(m("colspan", "int"), F.lit(1)).alias("colspan")],
+        "gates": [(F.col("entity") == "gate_on").alias("enabled")],
+    }
+    return {name: rows.filter(F.col("entity").startswith(name[:-1])).select(key, "entity_path", "parent_path", *own) for name, own in columns.items()}

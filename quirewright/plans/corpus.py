@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quirewright.operators.deliveries import exactly_once, repeated_deliveries
-from quirewright.operators.nested import artifact_entities
+from quirewright.operators.nested import artifact_entities, artifact_tables
 from quirewright.plans.tables import table
 
 
@@ -22,24 +21,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifact_entities(table(spark, sf_dir, "rich_artifacts")).select("artifact_id", "entity", "entity_path", "parent_path")
 
 
+def p5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return artifact_tables(table(spark, sf_dir, "rich_artifacts"))["pages"]
+
+
 def p5_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat table of blocks: typed columns from the objects' own members."""
-    blocks = artifact_entities(table(spark, sf_dir, "rich_artifacts")).filter("entity = 'block'")
-    m = lambda name: F.element_at("members", name)
-    return blocks.select(
-        "artifact_id", "entity_path", "parent_path", m("type").alias("block_type"), m("text").alias("text"),
-        m("reading_order").try_cast("int").alias("reading_order"), m("confidence").try_cast("double").alias("confidence"),
-    )
+    return artifact_tables(table(spark, sf_dir, "rich_artifacts"))["blocks"]
 
 
 def p5_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat table of cells; a missing span is 1."""
-    cells = artifact_entities(table(spark, sf_dir, "rich_artifacts")).filter("entity = 'cell'")
-    m = lambda name: F.element_at("members", name)
-    return cells.select(
-        "artifact_id", "entity_path", "parent_path", m("text").alias("text"), m("is_header").try_cast("boolean").alias("is_header"),
-        F.coalesce(m("rowspan").try_cast("int"), F.lit(1)).alias("rowspan"), F.coalesce(m("colspan").try_cast("int"), F.lit(1)).alias("colspan"),
-    )
+    return artifact_tables(table(spark, sf_dir, "rich_artifacts"))["cells"]
+
+
+def p5_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return artifact_tables(table(spark, sf_dir, "rich_artifacts"))["gates"]
 
 
 _RANKED = r"""
@@ -69,7 +64,7 @@ g AS (
     SELECT artifact_id, n, CASE WHEN coalesce(json_type(p, '$.routing.structure_gate'), 'NULL') <> 'NULL' THEN json_extract(p, '$.routing.structure_gate') ELSE json_extract(p, '$.structure_gate') END AS g FROM p))
 """
 
-QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept, "p5_found": p5_found, "p5_blocks": p5_blocks, "p5_cells": p5_cells}
+QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept, "p5_found": p5_found, "p5_pages": p5_pages, "p5_gates": p5_gates, "p5_blocks": p5_blocks, "p5_cells": p5_cells}
 SQL = {
     "p4_found": f"SELECT delivery_id FROM ({_RANKED}) WHERE m IS NOT NULL AND n > 1",
     "p4_kept": f"SELECT delivery_id, message_id, batch_id, page, status FROM ({_RANKED}) WHERE m IS NULL OR n = 1",
@@ -78,6 +73,9 @@ SQL = {
         UNION ALL SELECT artifact_id, 'cell', path || '/r' || k || 'c' || m, path FROM c WHERE json_type(z) = 'OBJECT'
         UNION ALL SELECT artifact_id, CASE WHEN state IN ('true', 'yes', 'on', '1', '1.0', 'enabled', 'y', 't') THEN 'gate_on' ELSE 'gate_off' END, n || '/gate', CAST(n AS VARCHAR) FROM g
         WHERE state IN ('true', 'yes', 'on', '1', '1.0', 'enabled', 'y', 't', 'false', 'no', 'off', '0', '0.0', 'disabled', 'n', 'f')""",
+    "p5_pages": f"""{_ARTIFACTS} SELECT artifact_id, CAST(n AS VARCHAR) AS entity_path, '' AS parent_path, TRY_CAST(json_extract_string(p, '$.page') AS INT) AS page, json_extract_string(p, '$.engine') AS engine, json_extract_string(p, '$.outcome') AS outcome FROM p""",
+    "p5_gates": f"""{_ARTIFACTS} SELECT artifact_id, n || '/gate' AS entity_path, CAST(n AS VARCHAR) AS parent_path, state IN ('true', 'yes', 'on', '1', '1.0', 'enabled', 'y', 't') AS enabled FROM g
+        WHERE state IN ('true', 'yes', 'on', '1', '1.0', 'enabled', 'y', 't', 'false', 'no', 'off', '0', '0.0', 'disabled', 'n', 'f')""",
     "p5_blocks": f"""{_ARTIFACTS} SELECT artifact_id, path AS entity_path, parent AS parent_path, json_extract_string(x, '$.type') AS block_type, json_extract_string(x, '$.text') AS text,
         TRY_CAST(json_extract_string(x, '$.reading_order') AS INT) AS reading_order, TRY_CAST(json_extract_string(x, '$.confidence') AS DOUBLE) AS confidence FROM b WHERE depth > 0""",
     "p5_cells": f"""{_ARTIFACTS} SELECT artifact_id, path || '/r' || k || 'c' || m AS entity_path, path AS parent_path, json_extract_string(z, '$.text') AS text, TRY_CAST(json_extract_string(z, '$.is_header') AS BOOLEAN) AS is_header,

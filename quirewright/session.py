@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -34,22 +35,40 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in tests, a local temporary folder is made.
+    Only a local session, as in tests, may do without the setting: a temporary folder is made for it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="quirewright-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession | None = None) -> None:
+    """Deletes the tables that :func:`settled` wrote; also done when the driver ends."""
+    spark = spark or SparkSession.getActiveSession()
+    while spark and _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
-    Cuts the lineage so that a costly table used more than once is computed once and survives lost executors.
+    Cuts the lineage so that a costly table used more than once is computed once and survives lost executors. The table
+    is deleted when the driver ends, or by :func:`release`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.unregister(release)
+        atexit.register(release)  # anew, so that it runs before the session's own end
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

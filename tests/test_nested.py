@@ -71,3 +71,22 @@ def test_parent_is_truncation(spark):
     assert nodes[(1, 1, 1)].schema_path == "$.a.b[]" and nodes[(1, 1, 1)].members == {"c": "1"}
     assert nodes[(1, 1, 2)].value == "5" and nodes[(1, 1, 4)].value == "x" and (1, 1, 3) not in nodes
     assert all(label[:-1] in nodes for label in nodes if label)
+
+
+def test_any_depth():
+    from quirewright.operators.nested import deep_value, record_nodes
+
+    deep = '{"pages": [{"blocks": ' * 3_000 + "[]" + "}]}" * 3_000
+    assert len(record_nodes(deep)) > 6_000
+    value, depth = deep_value("[" * 50_000 + "]" * 50_000), 0
+    while value:
+        value, depth = value.pop(), depth + 1
+    assert depth == 49_999
+    for text in ('{"a": [1, {"b": null}, "x\\"]"], "c": {}, "d": []}', "[[], [1, 2.5e3, true]]", ' "x" ', '{"a": 1, "a": {"b": [ ]}}'):
+        assert deep_value(text) == json.loads(text)
+    for text in ("", "[1", "[1,]", '{"a" 1}', '{"a": 1,}', "{} x", "[}", '{1: 2}', "nul"):
+        try:
+            deep_value(text)
+        except ValueError:
+            continue
+        raise AssertionError(text)
