@@ -51,11 +51,24 @@ def word_in_region(word: Column, region: Column) -> Column:
     return F.when(inside | (covered >= 0.5), covered + F.when(inside, 2.0).otherwise(0.0))
 
 
-def to_points(x: Column, y: Column, raster: Column) -> Column:
-    """A raster point in page points: scaled to the page's box."""
+def to_points(x: Column, y: Column, raster: Column, rotation: Column | None = None, matrix: Column | None = None) -> Column:
+    """A raster point in the points of the page as it lies unrotated; null without positive sizes.
+
+    The point is scaled to the page as it was rendered, then turned back: by a six-element affine ``matrix`` where there
+    is one, else by ``rotation`` (0, 90, 180 or 270 degrees, none for null) about the page's box.
+    """
     box = raster["pdf_bbox"]
     good = (raster["raster_width"] > 0) & (raster["raster_height"] > 0) & (F.size(box) == 4)
-    return F.when(good, F.array(box[0] + x * (box[2] - box[0]) / raster["raster_width"], box[1] + y * (box[3] - box[1]) / raster["raster_height"]))
+    width, height = box[2] - box[0], box[3] - box[1]
+    turn = F.coalesce(F.pmod(rotation, F.lit(360)), F.lit(0)) if rotation is not None else F.lit(0)
+    lying = turn.isin(90, 270)
+    px = x * F.when(lying, height).otherwise(width) / raster["raster_width"]
+    py = y * F.when(lying, width).otherwise(height) / raster["raster_height"]
+    own = F.when(turn == 90, F.array(py, height - px)).when(turn == 180, F.array(width - px, height - py)).when(turn == 270, F.array(width - py, px)).otherwise(F.array(px, py))
+    placed = F.array(box[0] + own[0], box[1] + own[1])
+    if matrix is not None:
+        placed = F.when(F.size(matrix) == 6, derotated(F.array(box[0] + px, box[1] + py), matrix)).otherwise(placed)
+    return F.when(good, placed)
 
 
 def derotated(point: Column, matrix: Column) -> Column:
@@ -64,21 +77,35 @@ def derotated(point: Column, matrix: Column) -> Column:
     return F.when(F.size(matrix) == 6, moved).otherwise(point)
 
 
-def box_to_points(box: Column, raster: Column, matrix: Column | None = None) -> Column:
+def box_to_points(box: Column, raster: Column, rotation: Column | None = None, matrix: Column | None = None) -> Column:
     """The envelope of a raster box's four corners in page points."""
     b = coerced(box)
-    corners = [to_points(b[i], b[j], raster) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))]
-    corners = [derotated(c, matrix) for c in corners] if matrix is not None else corners
+    corners = [to_points(b[i], b[j], raster, rotation, matrix) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))]
     xs, ys = [c[0] for c in corners], [c[1] for c in corners]
     return F.when(b.isNotNull() & corners[0].isNotNull(), F.array(F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)))
 
 
-def polygon_to_points(polygon: Column, raster: Column) -> Column:
+def polygon_to_points(polygon: Column, raster: Column, rotation: Column | None = None, matrix: Column | None = None) -> Column:
     """Each point moved; null if any can't be."""
-    moved = F.transform(polygon, lambda p: to_points(p[0], p[1], raster))
+    moved = F.transform(polygon, lambda p: to_points(p[0], p[1], raster, rotation, matrix))
     return F.when(~F.exists(moved, lambda p: p.isNull() | F.exists(p, lambda v: v.isNull())), moved)
 
 
+def items_to_points(items: Column, raster: Column, rotation: Column | None = None, frame: str = "page") -> Column:
+    """Items (structs with text and bbox) moved to page points: text, bbox, source_bbox, coordinate_space, coordinate_frame."""
+    return F.transform(
+        items,
+        lambda i: F.struct(i["text"].alias("text"), box_to_points(i["bbox"], raster, rotation).alias("bbox"), i["bbox"].alias("source_bbox"), F.lit("pdf_points").alias("coordinate_space"), F.lit(frame).alias("coordinate_frame")),
+    )
+
+
+def envelope(boxes: Column) -> Column:
+    """The smallest box around an array of boxes, those that aren't boxes left out; null without any."""
+    good = F.filter(boxes, lambda b: coerced(b, exact=True).isNotNull())
+    side = lambda i: F.transform(good, lambda b: b[i])
+    return F.when(F.size(good) > 0, F.array(F.array_min(side(0)), F.array_min(side(1)), F.array_max(side(2)), F.array_max(side(3))))
+
+
 def inside_page(box: Column, page: Column) -> Column:
     """Whether a box is finite, ordered and within the page."""
     finite = ~F.exists(box, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

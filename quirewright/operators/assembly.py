@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,26 +17,27 @@ from quirewright.functions import geometry as G
 from quirewright.functions import text as T
 from quirewright.operators import layout as L
 
-#: Blocks that are pictures (fixed values).
-VISUAL = ("chart", "diagram", "figure", "image", "picture")
+#: Pages of one part of an export; a part is one row, whatever the document's length.
+PAGES_A_PART = 256
 
 
 def layout_blocks(df: DataFrame, key: list[str], predictions: str = "predictions") -> DataFrame:
-    """Canonical blocks of recognised predictions: key, prediction_no, rank, source_order, block_type, text, bbox, failed.
+    """Canonical blocks of recognised predictions: key, prediction_no, rank, source_order, block_type, text, bbox, skipped, failed.
 
-    Skipped blocks go, blank ones too unless they are pictures or failed; the box is the declared one, else the
-    polygon's. Ranks are 1..N by declared order, then by place; the declared order is kept.
+    Text keeps its lines. Blank blocks go unless they are pictures, skipped or failed; a block without a label is text;
+    the box is the declared one, else the polygon's. Ranks are 1..N by declared order, then by place; the declared order
+    is kept.
     """
     p = df.select(*key, F.posexplode(predictions).alias("p", "x")).select(*key, (F.col("p") + 1).alias("prediction_no"), F.posexplode("x.blocks").alias("pos", "b"))
     b = F.col("b")
-    text = F.trim(T.stripped_html(b["html"]))
-    kind = T.canonical_label(F.coalesce(F.when(F.trim(b["label"]) != "", b["label"]), b["raw_label"]))
-    failed = F.coalesce(b["error"], F.lit(False))
-    rows = p.filter(b.isNotNull() & ~F.coalesce(b["skipped"], F.lit(False))).select(
-        *key, "prediction_no", "pos", b["reading_order"].alias("source_order"), kind.alias("block_type"), text.alias("text"),
-        F.coalesce(G.coerced(b["bbox"]), G.from_polygon(b["polygon"])).alias("bbox"), failed.alias("failed"),
+    named = lambda c: F.when(F.trim(c) != "", c)
+    kind = T.canonical_label(F.coalesce(named(b["label"]), named(b["raw_label"]), F.lit("Text")))
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    rows = p.filter(b.isNotNull()).select(
+        *key, "prediction_no", "pos", b["reading_order"].alias("source_order"), kind.alias("block_type"), T.html_text(b["html"]).alias("text"),
+        F.coalesce(G.coerced(b["bbox"]), G.from_polygon(b["polygon"])).alias("bbox"), flag(b["skipped"]).alias("skipped"), flag(b["error"]).alias("failed"),
     )
-    rows = rows.filter((F.col("text") != "") | F.col("failed") | F.coalesce(F.col("block_type").isin(*VISUAL), F.lit(False)))
+    rows = rows.filter((F.col("text") != "") | F.col("skipped") | F.col("failed") | F.coalesce(F.col("block_type").isin(*T.VISUAL), F.lit(False)))
     return L.reading_ordered(rows, [*key, "prediction_no"], order="source_order").drop("pos")
 
 
@@ -49,10 +51,14 @@ def page_record(page: Column, engine: Column, outcome: Column, classifier_route:
     )
 
 
-def exported_pages(records: DataFrame, document: list[str], columns: list[str]) -> DataFrame:
-    """One nested JSON document for each group of records, its pages in order; a document is one bounded group."""
-    page = F.struct(*[F.col(c) for c in columns])
-    return records.groupBy(*document).agg(F.to_json(F.struct(F.count("*").alias("page_count"), F.array_sort(F.collect_list(page)).alias("pages"))).alias("document"))
+def exported_pages(records: DataFrame, document: list[str], columns: list[str], page: str = "page") -> DataFrame:
+    """Nested JSON documents of page records in order: document keys, part_no, document.
+
+    A part holds the pages of one stretch of ``PAGES_A_PART`` numbers, so that no row grows with a document.
+    """
+    part = F.floor((F.col(page) - 1) / PAGES_A_PART).cast("int").alias("part_no")
+    pages = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in columns]))).alias("pages")
+    return records.groupBy(*document, part).agg(F.to_json(F.struct(F.count("*").alias("page_count"), pages)).alias("document"))
 
 
 def configuration_drift(jobs: DataFrame, key: str, config: str, expected: dict[str, object] | None = None) -> DataFrame:
@@ -117,24 +123,30 @@ def structure_gate(columns: Column, text_columns: Column, native_tables: Column
 
 # structure of a page from its visual lines
 
-_HEADING = re.compile(r"\d{3,4}\s+[A-Z][A-Z0-9 /&()'.,\-]*|\d{3,4}(?:\.\d+)+\s+[A-Z].*")
-_CAPTION = re.compile(r"(?:Fig\.|Figure|Table)\s*[\w.\-]+", re.I)
-_TABLE_ROW = re.compile(r"[A-Z][A-Z0-9]{1,10}\s*:|(?:\d+\)|[A-Za-z]\))\s+")
+_KIND = {name: re.compile(pattern) for name, pattern in T.LINE_KINDS}
+#: Of two lines that make a heading together: how far apart their tops and how long they may be (fixed values).
+HEADING_APART, HEADING_NUMBER, HEADING_TITLE = 16, 30, 100
+
+
+def _envelope(boxes: list[list[float]]) -> list[float]:
+    a = np.array(boxes, float)
+    return [*a[:, :2].min(0).tolist(), *a[:, 2:].max(0).tolist()]
 
 
 def merged_headings(lines: list[dict]) -> list[dict]:
     """Two lines at one height that only together make a heading, as one line."""
-    out, i = [], 0
-    while i < len(lines):
-        a, b = lines[i], lines[i + 1] if i + 1 < len(lines) else None
-        both = f"{a['text']} {b['text']}" if b else ""
-        if b and abs(a["bbox"][1] - b["bbox"][1]) <= 16 and len(a["text"]) <= 30 and len(b["text"]) <= 100 and _HEADING.fullmatch(both) and not _HEADING.fullmatch(a["text"]):
-            out.append({"text": both, "bbox": [min(a["bbox"][0], b["bbox"][0]), min(a["bbox"][1], b["bbox"][1]), max(a["bbox"][2], b["bbox"][2]), max(a["bbox"][3], b["bbox"][3])]})
-            i += 2
-        else:
-            out.append(a)
-            i += 1
-    return out
+    heading = _KIND["section_heading"].match
+
+    def belong(a: dict, b: dict) -> bool:
+        level = abs(a["bbox"][1] - b["bbox"][1]) <= HEADING_APART and len(a["text"]) <= HEADING_NUMBER and len(b["text"]) <= HEADING_TITLE
+        return bool(level and not heading(a["text"]) and heading(f"{a['text']} {b['text']}"))
+
+    # a line belongs to one pair: the pair before takes it
+    first = [False] * len(lines)
+    for i, (a, b) in enumerate(zip(lines, lines[1:])):
+        first[i] = not (i and first[i - 1]) and belong(a, b)
+    pair = lambda a, b: {"text": f"{a['text']} {b['text']}", "bbox": _envelope([a["bbox"], b["bbox"]])}
+    return [pair(x, lines[i + 1]) if first[i] else x for i, x in enumerate(lines) if not (i and first[i - 1])]
 
 
 def page_structure(lines: list[dict], height: float, headers: set[str]) -> list[dict]:
@@ -145,35 +157,46 @@ def page_structure(lines: list[dict], height: float, headers: set[str]) -> list[
     up to three characters away from the edges are debris.
     """
     lines = merged_headings(lines)
-
-    def label(x: dict) -> str | None:
-        if x["text"].lower() in headers and x["bbox"][1] <= 0.15 * height:
-            return "page_header"
-        if x["text"].strip().isdigit() and x["bbox"][3] >= 0.9 * height:
-            return "page_footer"
-        if _HEADING.fullmatch(x["text"]):
-            return "section_heading"
-        return ("table_caption" if x["text"].lower().startswith("table") else "figure_caption") if _CAPTION.match(x["text"]) else None
+    n = len(lines)
+    top, bottom = (np.array([x["bbox"][k] for x in lines], float) for k in (1, 3))
+    gap = np.r_[top[1:] - bottom[:-1], np.inf] if n else top  # to the next line
+    is_kind = {name: np.array([bool(p.match(x["text"])) for x in lines], bool) for name, p in _KIND.items()}
+    # every line's own label, later ones giving way to earlier ones
+    label = np.full(n, "", object)
+    for k, x in enumerate(lines):
+        caption = "table_caption" if x["text"].lower().startswith("table") else "figure_caption"
+        label[k] = (
+            "page_header" if x["text"].lower() in headers and top[k] <= 0.15 * height
+            else "page_footer" if x["text"].strip().isdigit() and bottom[k] >= 0.9 * height
+            else "section_heading" if is_kind["section_heading"][k]
+            else caption if is_kind["caption"][k]
+            else ""
+        )
+    wordy = np.array([len(x["text"]) < 140 and ":" in x["text"] for x in lines], bool)
+
+    def last_of_table(k: int) -> int:
+        z = k
+        while z + 1 < n and gap[z] <= 20 and (is_kind["table_like"][z + 1] or (z - k >= 2 and wordy[z + 1])):
+            z += 1
+        return z
+
+    def last_of_paragraph(k: int) -> int:
+        stops = np.flatnonzero((gap[k:] > 1.65 * (bottom[k:] - top[k:])) | np.r_[label[k + 1 :] != "", True])
+        return k + int(stops[0])
 
     out: list[dict] = []
-    i = 0
-    while i < len(lines):
-        kind, j = label(lines[i]), i + 1
-        if kind is None:
-            while j < len(lines) and lines[j]["bbox"][1] - lines[j - 1]["bbox"][3] <= 20 and (_TABLE_ROW.match(lines[j]["text"]) or (j - i >= 3 and len(lines[j]["text"]) < 140 and ":" in lines[j]["text"])):
-                j += 1
+    k = 0
+    while k < n:
+        kind, z = label[k], k
+        if not kind:
+            z = last_of_table(k)
             kind = "table"
-            if j - i < 3:
-                kind, j = "paragraph", i + 1
-                while j < len(lines) and label(lines[j]) is None and lines[j]["bbox"][1] - lines[j - 1]["bbox"][3] <= 1.65 * (lines[j - 1]["bbox"][3] - lines[j - 1]["bbox"][1]):
-                    j += 1
-        part = lines[i:j]
-        text = ("\n" if kind == "table" else " ").join(x["text"] for x in part)
-        top = part[0]["bbox"][1]
-        if not (kind == "paragraph" and len(text) <= 3 and 0.18 * height < top < 0.88 * height):
-            boxes = [x["bbox"] for x in part]
-            out.append({"block_type": kind, "text": text, "bbox": [min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)], "reading_order": len(out)})
-        i = j
+            if z - k < 2:
+                kind, z = "paragraph", last_of_paragraph(k)
+        text = ("\n" if kind == "table" else " ").join(x["text"] for x in lines[k : z + 1])
+        if not (kind == "paragraph" and len(text) <= 3 and 0.18 * height < top[k] < 0.88 * height):
+            out.append({"block_type": kind, "text": text, "bbox": _envelope([x["bbox"] for x in lines[k : z + 1]]), "reading_order": len(out)})
+        k = z + 1
     return out
 
 
@@ -202,40 +225,61 @@ def structured_pages(words: DataFrame, page: list[str], document: str, height: s
 # untyped payloads of hosted recognisers
 
 
+#: Members of a payload's node that hold its text, other nodes below it, and lists of words (fixed values).
+TEXT_MEMBERS, CHILD_MEMBERS, WORD_MEMBERS = ("text", "markdown", "content", "raw_text"), ("children", "blocks", "items", "words", "text_lines", "lines"), ("words", "text_lines", "lines")
+_SCALAR = ("text", "content", "raw_text", "markdown", "html")
+_BOXES = ("bbox", "box", "bounding_box", "coordinates")
+
+
+def _scalar(value: object) -> str:
+    """A text, or that of an object which holds one."""
+    if isinstance(value, dict):
+        value = next((value[k] for k in _SCALAR if isinstance(value.get(k), str)), "")
+    return value if isinstance(value, str) else ""
+
+
 def deep_text(node: object) -> str:
-    """The best text of a JSON node: its own text, markdown, content or raw text, else its html, else its children's."""
-    stack, out = [node], []
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x.strip())
-        elif isinstance(x, list):
-            stack.extend(reversed(x))
-        elif isinstance(x, dict):
-            own = next((x[k].strip() for k in ("text", "markdown", "content", "raw_text") if isinstance(x.get(k), str) and x[k].strip()), None)
-            own = own or (T.html_lines(x["html"], True) if isinstance(x.get("html"), str) else None)
-            if own:
-                out.append(own)
-            else:
-                stack.append(x.get("children") or x.get("blocks") or [])
-    return "\n".join(s for s in out if s)
+    """The best text of a JSON node: its own, else that of its html, else of the first member whose nodes have any, in order, parted by spaces.
+
+    Nodes are listed parents first and then settled from the last to the first, so that no depth is too much.
+    """
+    nodes: list[tuple[object, list[list[int]]]] = [(node, [])]  # with the numbers of the nodes below, a list a member
+    for value, below in nodes:
+        if isinstance(value, dict):
+            for name in CHILD_MEMBERS:
+                inner = value.get(name)
+                inner = inner if isinstance(inner, list) else [inner] if isinstance(inner, dict) else []
+                below.append(list(range(len(nodes), len(nodes) + len(inner))))
+                nodes.extend((x, []) for x in inner)
+    texts = [""] * len(nodes)
+    for k in range(len(nodes) - 1, -1, -1):
+        value, below = nodes[k]
+        if isinstance(value, str):
+            texts[k] = value
+        elif isinstance(value, dict):
+            own = next((t for name in TEXT_MEMBERS if (t := _scalar(value.get(name)))), "")
+            own = own or (T.html_lines(value["html"], True) if isinstance(value.get("html"), str) else "")
+            texts[k] = own or next((joined for inner in below if (joined := " ".join(texts[i] for i in inner if texts[i]))), "")
+    return texts[0]
 
 
 def deep_words(node: object) -> Iterator[tuple[str, list[float] | None, float | None]]:
-    """(text, box, confidence) of every word below a JSON node, in document order; a score stands for a confidence."""
-    stack = [node]
+    """(text, box, confidence) of every word or line below a JSON node, in document order; a score stands for a confidence."""
+    number = lambda v: isinstance(v, int | float) and not isinstance(v, bool)
+    stack: list[tuple[object, bool]] = [(node, False)]
     while stack:
-        x = stack.pop()
+        x, as_word = stack.pop()
         if isinstance(x, list):
-            stack.extend(reversed(x))
+            stack.extend((y, as_word) for y in reversed(x))
         elif isinstance(x, dict):
-            for w in x.get("words") or []:
-                if isinstance(w, dict) and isinstance(w.get("text"), str) and w["text"].strip():
-                    box = w.get("bbox") or w.get("box") or w.get("bounding_box")
-                    good = isinstance(box, list) and len(box) >= 4 and all(isinstance(v, int | float) and not isinstance(v, bool) for v in box[:4])
-                    score = next((float(w[k]) for k in ("confidence", "score") if isinstance(w.get(k), int | float) and not isinstance(w[k], bool)), None)
-                    yield w["text"].strip(), [float(v) for v in box[:4]] if good else None, score
-            stack.append(x.get("children") or x.get("blocks") or [])
+            text = _scalar(x) if as_word else ""
+            if text:
+                box = next((x[k] for k in _BOXES if isinstance(x.get(k), list) and len(x[k]) >= 4 and all(map(number, x[k][:4]))), None)
+                score = next((float(x[k]) for k in ("confidence", "score") if number(x.get(k))), None)
+                yield text, [float(v) for v in box[:4]] if box else None, score
+            else:
+                below = [(x[k], k in WORD_MEMBERS) for k in (*WORD_MEMBERS, "children", "blocks", "items") if isinstance(x.get(k), list) or (k not in WORD_MEMBERS and isinstance(x.get(k), dict))]
+                stack.extend(reversed(below))
 
 
 @pandas_udf(StringType())

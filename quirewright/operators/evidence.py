@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from quirewright.functions import measures as M
 
 
-def latest_complete(log: DataFrame, key: list[str], sequence: list[str], status: str = "status") -> DataFrame:
-    """Per key the last record whose status is complete, whatever its letter case; a record is carried as one struct, so only the key is shuffled by."""
-    done = log.filter(F.lower(F.trim(F.col(status))) == "complete")
-    record = F.struct(*[F.col(f"`{c}`") for c in log.columns])
-    return done.groupBy(*key).agg(F.max_by(record, F.struct(*sequence)).alias("r")).select("r.*")
+def latest_complete(log: DataFrame, key: list[str], sequence: list[str], columns: list[str], status: str = "status") -> DataFrame:
+    """Per key the last record whose status is complete, whatever its letter case: the key and ``columns``.
+
+    Which record is last is found from the key and the sequence alone. The wanted columns are joined to it by both, so
+    that neither the scan nor a shuffle holds others; the sequence must tell the records of a key apart.
+    """
+    done = log.filter(F.lower(F.trim(F.col(status))) == "complete").select(*dict.fromkeys([*key, *sequence, *columns]))
+    if not set(columns) - {*key, *sequence}:
+        return done.groupBy(*key).agg(F.max(F.struct(*sequence)).alias("_s")).select(*key, "_s.*").select(*dict.fromkeys([*key, *columns]))
+    last = done.groupBy(*key).agg(F.max(F.struct(*sequence)).alias("_s")).select(F.struct(*key, F.col("_s").alias("s")).alias("_k"))
+    return done.join(last, F.struct(*key, F.struct(*sequence).alias("s")) == F.col("_k"), "left_semi").select(*dict.fromkeys([*key, *columns]))
 
 
 def pending(wanted: DataFrame, completed: DataFrame, key: list[str]) -> DataFrame:
@@ -21,7 +27,7 @@ def pending(wanted: DataFrame, completed: DataFrame, key: list[str]) -> DataFram
 
 
 def document_summary(pages: DataFrame, document: list[str]) -> DataFrame:
-    """Per document: pages, a dense count of classifications, escalations, accepted and rejected recognitions, mean confidence."""
+    """Per document: pages, a dense count of classifications, a sparse one of outcomes, escalations, accepted and rejected recognitions, mean confidence, and whether all is done."""
     states = ("DIGITAL", "SCANNED", "MIXED", "OCR_NEEDED")
     q = F.col("tesseract_quality")
     return pages.groupBy(*document).agg(

@@ -6,13 +6,14 @@ import difflib
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 from quirewright.functions import geometry as G
 from quirewright.functions import text as T
+from quirewright.operators import layout as L
 
 #: Share of the smaller of two regions that may overlap.
 MOST_OVERLAP = 0.15
@@ -69,8 +70,98 @@ def agreement(rows: DataFrame, left: str, right: str) -> DataFrame:
     ).drop("_o")
 
 
-def region_text(owned: DataFrame, words: DataFrame, page: list[str]) -> DataFrame:
-    """Text of each region from its words in reading order, unnumbered last."""
-    order = F.struct(F.col("reading_order").isNull(), F.col("reading_order"), F.col("word"), F.col("text"))
-    joined = owned.filter("region IS NOT NULL").join(words.select(*page, "word", "text", "reading_order"), [*page, "word"])
-    return joined.groupBy(*page, "region").agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["text"]), " ").alias("text"))
+def region_text(owned: DataFrame, words: DataFrame, page: list[str], tables: DataFrame | None = None) -> DataFrame:
+    """Text and number of words of each region: words in reading order, unnumbered last; those of ``tables`` (page, region) row by row.
+
+    A table with a word that has no box is read like any other region.
+    """
+    joined = owned.filter("region IS NOT NULL").select(*page, "word", "region").join(words.select(*page, "word", "text", "bbox", "reading_order"), [*page, "word"])
+    order = F.struct(F.col("reading_order").isNull(), F.col("reading_order"), F.col("word"), F.trim("text").alias("text"))
+    in_order = lambda df: df.groupBy(*page, "region").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["text"]), " ").alias("text"), F.count("*").alias("words")
+    )
+    if tables is None:
+        return in_order(joined)
+    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.select(*page, "region").schema)
+
+    def by_rows(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.assign(_o=t["reading_order"].isna()).sort_values(["_o", "reading_order", "word"])
+        boxes = [None if b is None or len(b) != 4 else list(b) for b in t["bbox"]]
+        ws = [{"text": x.strip(), "bbox": b} for x, b in zip(t["text"], boxes)]
+        if all(b is not None for b in boxes):
+            ws = [w for row in L.rows_of_words(ws) for w in row]
+        return t[[*page, "region"]].head(1).assign(text=" ".join(w["text"] for w in ws), words=len(ws))
+
+    rows = joined.join(tables.select(*page, "region").distinct(), [*page, "region"], "left_semi").groupBy(*page, "region").applyInPandas(by_rows, f"{keys}, text string, words bigint")
+    return in_order(joined.join(tables.select(*page, "region").distinct(), [*page, "region"], "left_anti")).unionByName(rows)
+
+
+#: Confidence from which a recognised word counts, and what a region's text must reach (fixed values).
+CONFIDENT, LEAST_F1, LEAST_SEQUENCE = 60.0, 1.0, 1.0
+
+
+def hybrid_regions(regions: DataFrame, words: DataFrame, page: list[str], confident: float = CONFIDENT) -> DataFrame:
+    """Every textual region of a layout with the confident recognised words that lie in it: page, region, text, words, reasons.
+
+    ``regions``: region, block_type, text, bbox, skipped, failed; ``words``: word, text, bbox, confidence, reading_order.
+    ``reasons`` lists why the words can't replace the region's text: none there, other tokens, another order of them,
+    or other numbers. Regions that are pictures, skipped, failed or blank aren't judged.
+    """
+    eligible = regions.filter(_eligible())
+    good = words.filter((F.trim("text") != "") & (F.col("confidence") >= confident) & G.coerced(F.col("bbox")).isNotNull())
+    owned = owned_words(good, eligible, page)
+    texts = region_text(owned, good, page, eligible.filter("block_type = 'table'")).withColumnRenamed("text", "selected")
+    both = agreement(eligible.select(*page, "region", "text").join(texts, [*page, "region"], "left").fillna("", "selected").fillna(0, "words"), "text", "selected")
+    reasons = F.array_compact(
+        F.array(
+            F.when(F.col("selected") == "", "no_high_confidence_tesseract_text"), F.when(F.col("f1") < LEAST_F1, "low_token_f1"),
+            F.when(F.col("sequence_ratio") < LEAST_SEQUENCE, "low_token_sequence_ratio"), F.when(~F.col("critical_values_match"), "critical_value_token_mismatch"),
+        )
+    )
+    return both.select(*page, "region", F.col("selected").alias("text"), "words", reasons.alias("reasons"))
+
+
+def _textual() -> Column:
+    return F.coalesce(F.trim("text") != "", F.lit(False))
+
+
+def _eligible() -> Column:
+    off = F.coalesce(F.col("skipped"), F.lit(False)) | F.coalesce(F.col("failed"), F.lit(False)) | F.coalesce(F.col("block_type").isin(*T.VISUAL), F.lit(False))
+    return _textual() & ~off
+
+
+def hybrid_decisions(regions: DataFrame, words: DataFrame, page: list[str], confident: float = CONFIDENT, judged: DataFrame | None = None) -> DataFrame:
+    """Whether recognised words may replace the text of a page's layout, all of it or none: page, applied, skip_reason and counts.
+
+    Declined, by priority: a textual region that isn't for words, no region that is, two that overlap, a region whose
+    words don't agree with it, a confident word in no region (or no confident word at all). ``judged`` is what
+    :func:`hybrid_regions` gave.
+    """
+    judged = judged if judged is not None else hybrid_regions(regions, words, page, confident)
+    sure = F.coalesce(F.col("confidence") >= confident, F.lit(False))
+    placed = G.coerced(F.col("bbox")).isNotNull()
+    shown = words.filter(F.trim("text") != "")
+    counts = shown.groupBy(*page).agg(F.count_if(sure).alias("confident_words"), F.count_if(~sure).alias("other_words"), F.count_if(sure & ~placed).alias("unplaced_words"))
+    of_page = regions.groupBy(*page).agg(F.count_if(_eligible()).alias("eligible"), F.count_if(_textual() & ~_eligible()).alias("_other"))
+    overlaps = overlapping_regions(regions.filter(_eligible()), page).groupBy(*page).agg(F.count("*").alias("_overlaps"))
+    of_regions = judged.groupBy(*page).agg(F.count_if(F.size("reasons") > 0).alias("rejected_regions"), F.sum("words").alias("_assigned"))
+    rows = of_page.join(counts, page, "left").join(overlaps, page, "left").join(of_regions, page, "left")
+    rows = rows.fillna(0, ["confident_words", "other_words", "unplaced_words", "_overlaps", "rejected_regions", "_assigned"])
+    rows = rows.withColumn("unassigned_words", F.col("confident_words") - F.col("_assigned"))
+    reason = (
+        F.when(F.col("_other") > 0, "non_tesseract_textual_surya_regions")
+        .when(F.col("eligible") == 0, "no_textual_surya_regions")
+        .when(F.col("_overlaps") > 0, "overlapping_surya_text_regions")
+        .when(F.col("rejected_regions") > 0, "insufficient_per_region_agreement")
+        .when((F.col("unassigned_words") > 0) | (F.col("confident_words") == 0), "too_many_unassigned_tesseract_words")
+    )
+    return rows.withColumn("skip_reason", reason).withColumn("applied", reason.isNull()).select(*page, "applied", "skip_reason", "eligible", "confident_words", "other_words", "unplaced_words", "unassigned_words", "rejected_regions")
+
+
+def hybrid_blocks(regions: DataFrame, words: DataFrame, page: list[str], confident: float = CONFIDENT) -> DataFrame:
+    """``regions`` with the words' text where the whole page allows it, and ``text_engine``; other pages stay as they are."""
+    judged = hybrid_regions(regions, words, page, confident)
+    applied = hybrid_decisions(regions, words, page, confident, judged).filter("applied").select(*page, F.lit(True).alias("_applied"))
+    rows = regions.join(judged.select(*page, "region", F.col("text").alias("_text")), [*page, "region"], "left").join(applied, page, "left")
+    taken = F.coalesce("_applied", F.lit(False)) & F.col("_text").isNotNull()
+    return rows.withColumn("text", F.when(taken, F.col("_text")).otherwise(F.col("text"))).withColumn("text_engine", F.when(taken, "tesseract5").otherwise("surya")).drop("_text", "_applied")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from statistics import median
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,35 +40,40 @@ def repeated_edge_lines(blocks: DataFrame, document: str, share: float = 0.15) -
 def aligned_columns(words: list[dict], width: float, height: float) -> list[dict]:
     """Starts of words behind a gap that line up down a page: start_x, line_count, top, bottom; most lines first.
 
-    ``words``: dicts of line (any hashable) and bbox. Gap starts are clustered in order of x by nearest running mean.
+    ``words``: dicts of line (any hashable) and bbox. Arrays are sorted by line and place, so that gaps are differences of
+    neighbours; the gaps' starts are then swept from left to right into clusters, each joining the nearest running mean.
     """
-    lines: dict = {}
-    for w in words:
-        b = w["bbox"]
-        if b is not None and len(b) == 4 and b[2] > b[0] and b[3] > b[1]:
-            lines.setdefault(w["line"], []).append(b)
-    points = []
-    for key, boxes in lines.items():
-        boxes.sort(key=lambda b: (b[0], b[1]))
-        top = min(b[1] for b in boxes)
-        points += [(b[0], top, key, b) for a, b in zip(boxes, boxes[1:]) if b[0] - a[2] >= GAP * width]
-    clusters: list[list] = []
-    means: list[float] = []
-    for p in sorted(points, key=lambda p: p[:2]):
-        near = min(range(len(means)), key=lambda k: abs(means[k] - p[0]), default=None)
-        if near is None or abs(means[near] - p[0]) > CLUSTER * width:
-            clusters.append([p])
-            means.append(p[0])
-        else:
-            clusters[near].append(p)
-            means[near] += (p[0] - means[near]) / len(clusters[near])
-    tall = median(max(b[3] for b in bs) - min(b[1] for b in bs) for bs in lines.values()) if lines else 0.0
+    good = [w for w in words if w["bbox"] is not None and len(w["bbox"]) == 4 and w["bbox"][2] > w["bbox"][0] and w["bbox"][3] > w["bbox"][1]]
+    if not good:
+        return []
+    number = {key: k for k, key in enumerate(dict.fromkeys(w["line"] for w in good))}
+    line = np.array([number[w["line"]] for w in good])
+    box = np.array([w["bbox"] for w in good], float)
+    order = np.lexsort((box[:, 1], box[:, 0], line))
+    line, box = line[order], box[order]
+    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+    tops, bottoms = np.minimum.reduceat(box[:, 1], first), np.maximum.reduceat(box[:, 3], first)
+    wide = np.flatnonzero((line[1:] == line[:-1]) & (box[1:, 0] - box[:-1, 2] >= GAP * width)) + 1
+    x, owner = box[wide, 0], line[wide]
+    y = tops[owner]
+    sweep = np.lexsort((y, x))
+    x, y, owner = x[sweep], y[sweep], owner[sweep]
+    cluster, sums, sizes = np.empty(len(x), int), np.zeros(len(x)), np.zeros(len(x))
+    made = 0
+    for k, at in enumerate(x):
+        away = np.abs(sums[:made] / sizes[:made] - at)
+        c = int(away.argmin()) if made and away.min() <= CLUSTER * width else made
+        made += c == made
+        cluster[k] = c
+        sums[c] += at
+        sizes[c] += 1
+    tall = float(np.median(bottoms - tops))
     out = []
-    for c, mean in zip(clusters, means):
-        top, bottom = min(p[1] for p in c), max(p[1] for p in c)
-        n = len({p[2] for p in c})
-        if n >= LEAST_LINES and mean / width >= START and bottom - top >= max(SPAN * height, 3 * tall):
-            out.append({"start_x": mean, "line_count": n, "top": top, "bottom": bottom})
+    for c in range(made):
+        own = cluster == c
+        count, mean, top, bottom = len(set(owner[own])), sums[c] / sizes[c], float(y[own].min()), float(y[own].max())
+        if count >= LEAST_LINES and mean / width >= START and bottom - top >= max(SPAN * height, 3 * tall):
+            out.append({"start_x": float(mean), "line_count": count, "top": top, "bottom": bottom})
     return sorted(out, key=lambda e: (-e["line_count"], e["start_x"]))
 
 
@@ -98,44 +102,46 @@ def rows_of_words(words: list[dict]) -> list[list[dict]]:
     """Words of a table region as rows top to bottom, each left to right; a row ends where the centre leaves its running mean."""
     if not words:
         return []
-    boxed = sorted(((w["bbox"][1] + w["bbox"][3]) / 2, w["bbox"][0], i, w) for i, w in enumerate(words))
-    tolerance = max(1.0, 0.75 * median(w["bbox"][3] - w["bbox"][1] for *_, w in boxed))
-    rows: list[list[tuple]] = []
-    mean = 0.0
-    for item in boxed:
-        if not rows or item[0] - mean > tolerance:
-            rows.append([])
-            mean = item[0]
-        rows[-1].append(item)
-        mean += (item[0] - mean) / len(rows[-1]) if len(rows[-1]) > 1 else 0.0
-    return [[w for _, _, _, w in sorted(r, key=lambda x: (x[1], x[3]["bbox"][1], x[2]))] for r in rows]
+    box = np.array([w["bbox"] for w in words], float)
+    centre = (box[:, 1] + box[:, 3]) / 2
+    reach = max(1.0, 0.75 * float(np.median(box[:, 3] - box[:, 1])))
+    down = np.lexsort((box[:, 0], centre))
+    row = np.zeros(len(words), int)
+    start = 0
+    for k in range(1, len(down)):
+        if centre[down[k]] - centre[down[start:k]].mean() > reach:
+            start = k
+        row[down[k]] = row[down[k - 1]] + (start == k)
+    across = np.lexsort((box[:, 1], box[:, 0], row))
+    return [[words[i] for i in across[row[across] == r]] for r in range(row.max() + 1)]
+
+
+#: Lines that a word may join, and the reach of a line as a share of its height, within bounds (fixed values).
+LOOK_BACK, REACH, LEAST_REACH, MOST_REACH = 8, 0.55, 3.5, 7.0
 
 
 def visual_lines(words: list[dict]) -> list[dict]:
-    """Words with bbox and text as lines: text, bbox, top to bottom. A word joins the nearest of the last eight lines in reach."""
-    lines: list[dict] = []
-    for w in sorted(words, key=lambda w: ((w["bbox"][1] + w["bbox"][3]) / 2, w["bbox"][0])):
-        b = w["bbox"]
-        centre, tall = (b[1] + b[3]) / 2, b[3] - b[1]
-        best = None
-        for line in reversed(lines[-8:]):
-            reach = min(7.0, max(3.5, 0.55 * max(line["height"], tall)))
-            gap = abs(line["centre"] - centre)
-            if gap <= reach and (best is None or gap < best[0]):
-                best = gap, line
-        if best is None:
-            lines.append({"words": [w], "centre": centre, "height": tall})
-        else:
-            line = best[1]
-            line["words"].append(w)
-            n = len(line["words"])
-            line["centre"] += (centre - line["centre"]) / n
-            line["height"] += (tall - line["height"]) / n
+    """Words with bbox and text as lines: text, bbox, top to bottom. A word joins the nearest of the last lines in reach, else begins one."""
+    if not words:
+        return []
+    box = np.array([w["bbox"] for w in words], float)
+    centre, tall = (box[:, 1] + box[:, 3]) / 2, np.maximum(1.0, box[:, 3] - box[:, 1])
+    line, sums = np.empty(len(words), int), np.zeros((len(words), 3))  # of each line: words, centres, heights
+    made = 0
+    for k in np.lexsort((box[:, 0], centre)):
+        near = np.arange(made - 1, max(-1, made - 1 - LOOK_BACK), -1)  # the newest first
+        mean = sums[near, 1:] / sums[near, :1]
+        away = np.abs(mean[:, 0] - centre[k])
+        away[away > np.clip(REACH * np.maximum(mean[:, 1], tall[k]), LEAST_REACH, MOST_REACH)] = np.inf
+        at = int(near[away.argmin()]) if len(near) and np.isfinite(away.min()) else made
+        made += at == made
+        line[k] = at
+        sums[at] += 1, centre[k], tall[k]
     out = []
-    for line in sorted(lines, key=lambda x: x["centre"]):
-        ws = sorted(line["words"], key=lambda w: w["bbox"][0])
-        bs = [w["bbox"] for w in ws]
-        out.append({"text": " ".join(w["text"] for w in ws), "bbox": [min(b[0] for b in bs), min(b[1] for b in bs), max(b[2] for b in bs), max(b[3] for b in bs)]})
+    for n in np.argsort(sums[:made, 1] / sums[:made, 0], kind="stable"):
+        own = np.flatnonzero(line == n)
+        own = own[np.argsort(box[own, 0], kind="stable")]
+        out.append({"text": " ".join(words[i]["text"] for i in own), "bbox": [*box[own, :2].min(0).tolist(), *box[own, 2:].max(0).tolist()]})
     return out
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirewright.functions import geometry as G
@@ -14,11 +14,11 @@ from quirewright.operators import hybrid as H
 from quirewright.operators import layout as L
 from quirewright.operators import matching as X
 from quirewright.operators import routing as R
+from quirewright.plans import dialect as D
 from quirewright.plans.tables import table
 from quirewright.session import spread
 from quirewright.sources import artifacts as A
 
-WS = T.SPACES
 #: Gate candidates that the calibration replays: name, least mean confidence, least share of confident words, confident from.
 CANDIDATES = [("base", 65.0, 0.70, 60.0), ("strict", 80.0, 0.85, 70.0), ("mean_only", 72.5, 0.0, 0.0), ("loose", 50.0, 0.40, 50.0), ("words_only", 0.0, 0.90, 65.0)]
 
@@ -36,17 +36,14 @@ def query(sql: str | None = None):
     return add
 
 
-def _norm(c: str) -> str:
-    return f"trim(regexp_replace(coalesce({c}, ''), '[{WS}]+', ' ', 'g'))"
-
-
 def _signals(c: str) -> str:
-    words = f"list_filter(string_split({_norm(c)}, ' '), lambda w: w <> '')"
-    plain = f"regexp_replace(coalesce({c}, ''), '[{WS}]', '', 'g')"
-    symbols = T._PLAUSIBLE.replace("'", "''")
-    good = f"list_filter({words}, lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]') AND length(w) <= 64 AND length(regexp_replace(w, '[{symbols}]', '', 'g')) / length(w) <= 0.30)"
-    return f"""length({_norm(c)}) AS chars, len({words}) AS word_count,
-        CASE WHEN length({plain}) > 0 THEN len(regexp_extract_all({plain}, '{T.GARBAGE}')) / length({plain}) ELSE 0.0 END AS garbage_ratio,
+    words = f"list_filter(string_split({D.collapsed(c)}, ' '), lambda w: w <> '')"
+    plain = f"regexp_replace(coalesce({c}, ''), '{D._SPACE}', '', 'g')"
+    unprintable = r"[^\p{L}\p{M}\p{N}\p{P}\p{S}\p{Z}]|\x{FFFD}"
+    symbol = r"[^\p{L}\p{N}\p{M}_''\-.,:/()\[\]{}%+*=#।॥]"
+    good = f"list_filter({words}, lambda w: regexp_matches(w, '[\\p{{L}}\\p{{N}}]') AND length(w) <= 64 AND len(regexp_extract_all(w, '{symbol}')) / length(w) <= 0.30)"
+    return f"""length({D.collapsed(c)}) AS chars, len({words}) AS word_count,
+        CASE WHEN length({plain}) > 0 THEN len(regexp_extract_all({plain}, '{unprintable}')) / length({plain}) ELSE 0.0 END AS garbage_ratio,
         len(regexp_extract_all(coalesce({c}, ''), '\\p{{Co}}')) AS private_use_count,
         CASE WHEN len({words}) > 0 THEN len({good}) / len({words}) ELSE 0.0 END AS plausible_word_ratio"""
 
@@ -137,13 +134,17 @@ _DONE = "lower(trim(status)) = 'complete'"
 _LATEST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id, page ORDER BY delivered_at DESC NULLS LAST, delivery_id DESC) AS rn FROM pages WHERE {_DONE}) WHERE rn = 1"
 
 
-def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.latest_complete(table(spark, sf_dir, "pages"), ["job_id", "page"], ["delivered_at", "delivery_id"])
+#: What a document's summary counts.
+_SUMMED = ("classification", "outcome", "engine", "escalation_reason", "tesseract_quality")
+
+
+def _latest(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return E.latest_complete(table(spark, sf_dir, "pages"), ["job_id", "page"], ["delivered_at", "delivery_id"], list(columns))
 
 
 @query(f"SELECT job_id, page, delivery_id, engine, outcome FROM ({_LATEST})")
 def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latest(spark, sf_dir).select("job_id", "page", "delivery_id", "engine", "outcome")
+    return _latest(spark, sf_dir, "delivery_id", "engine", "outcome").select("job_id", "page", "delivery_id", "engine", "outcome")
 
 
 @query(f"SELECT DISTINCT job_id, page FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages d WHERE {_DONE.replace('status', 'd.status')} AND d.job_id = p.job_id AND d.page = p.page)")
@@ -155,15 +156,31 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT job_id, count(*) AS pages, {", ".join(f"count(*) FILTER (WHERE classification = '{s}') AS {s.lower()}" for s in ("DIGITAL", "SCANNED", "MIXED", "OCR_NEEDED"))},
     count(*) FILTER (WHERE engine = 'surya') AS surya_pages, count(*) FILTER (WHERE escalation_reason IS NOT NULL) AS escalated,
-    count(*) FILTER (WHERE tesseract_quality.accepted) AS accepted, count(*) FILTER (WHERE NOT tesseract_quality.accepted) AS rejected FROM ({_LATEST}) GROUP BY job_id""")
+    count(*) FILTER (WHERE tesseract_quality.accepted) AS accepted, count(*) FILTER (WHERE NOT tesseract_quality.accepted) AS rejected, round_even(avg(tesseract_quality.mean_word_confidence), 3) AS mean_confidence FROM ({_LATEST}) GROUP BY job_id""")
 def document_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.document_summary(_latest(spark, sf_dir), ["job_id"]).drop("mean_confidence")
+    return E.document_summary(_latest(spark, sf_dir, *_SUMMED), ["job_id"])
+
+
+@query(f"SELECT job_id, outcome, count(*) AS pages FROM ({_LATEST}) GROUP BY ALL")
+def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sparse counts of a summary, a row each."""
+    return _latest(spark, sf_dir, "outcome").groupBy("job_id", "outcome").agg(F.count("*").alias("pages"))
+
+
+@query(f"""SELECT w.job_id AS job_id, wanted, coalesce(done, 0) AS done, CASE WHEN coalesce(done, 0) = wanted THEN 'complete' ELSE 'incomplete' END AS state FROM (SELECT job_id, count(DISTINCT page) AS wanted FROM pages WHERE job_id IS NOT NULL AND page IS NOT NULL GROUP BY job_id) w
+    LEFT JOIN (SELECT job_id, count(*) AS done FROM ({_LATEST}) WHERE page IS NOT NULL GROUP BY job_id) d ON d.job_id = w.job_id""")
+def document_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that a job's log names, those that are done, and its state."""
+    wanted = table(spark, sf_dir, "pages").filter("job_id IS NOT NULL AND page IS NOT NULL").groupBy("job_id").agg(F.count_distinct("page").alias("wanted"))
+    done = _latest(spark, sf_dir).filter("page IS NOT NULL").groupBy("job_id").agg(F.count("*").alias("done"))
+    rows = wanted.join(done, "job_id", "left").fillna(0, "done")
+    return rows.withColumn("state", F.when(F.col("done") == F.col("wanted"), "complete").otherwise("incomplete"))
 
 
 @query(f"""SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS pages, CAST(sum(s) AS BIGINT) AS surya_pages, count(*) FILTER (WHERE s = 0) AS without_surya
     FROM (SELECT job_id, count(*) AS n, count(*) FILTER (WHERE engine = 'surya') AS s FROM ({_LATEST}) GROUP BY job_id)""")
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = E.document_summary(_latest(spark, sf_dir), ["job_id"])
+    d = E.document_summary(_latest(spark, sf_dir, *_SUMMED), ["job_id"])
     return d.agg(F.count("*").alias("documents"), F.sum("pages").alias("pages"), F.sum("surya_pages").alias("surya_pages"), F.count_if(F.col("surya_pages") == 0).alias("without_surya"))
 
 
@@ -187,11 +204,7 @@ def page_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.page_alignment(table(spark, sf_dir, "pending_surya_pages"), table(spark, sf_dir, "calibration_pages"), ["job_id", "page"])
 
 
-def _sql_text(s: str) -> str:
-    return s.replace("'", "''")
-
-
-@query(f"SELECT doc_id, array_to_string(list_transform(regexp_extract_all(coalesce(text, ''), '{T.CRITICAL_VALUE}'), lambda v: lower(replace(regexp_replace(v, '[{WS}]+', '', 'g'), '−', '-'))), '|') AS critical FROM documents")
+@query(f"SELECT doc_id, array_to_string({D.critical('text')}, '|') AS critical FROM documents")
 def critical_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.array_join(T.critical_values("text"), "|").alias("critical"))
 
@@ -207,34 +220,30 @@ def _surya_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("result_id", "prediction_no", (F.col("q") + 1).alias("block_no"), "b.label", "b.reading_order", "b.html")
 
 
-def _strip_sql(c: str) -> str:
-    t = f"regexp_replace(coalesce({c}, ''), '(?i)<br\\s*/?>|</(?:p|div|tr|table|h[1-6])>', chr(10), 'g')"
-    t = f"regexp_replace(regexp_replace({t}, '(?i)</td>|</th>', ' ', 'g'), '<[^>]+>', '', 'g')"
-    for name, sign in T.ENTITIES:
-        t = f"replace({t}, '{name}', '{_sql_text(sign)}')"
-    return f"trim(regexp_replace(replace({t}, chr(173), ''), '[{WS}]+', ' ', 'g'))"
-
-
-@query(f"SELECT result_id, prediction_no, block_no, {_strip_sql('html')} AS text FROM ({_BLOCKS})")
+@query(f"SELECT result_id, prediction_no, block_no, {D.stripped('html')} AS text FROM ({_BLOCKS})")
 def html_text_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _surya_blocks(spark, sf_dir).select("result_id", "prediction_no", "block_no", T.stripped_html("html").alias("text"))
 
 
-@query()
+@query(f"SELECT result_id, prediction_no, block_no, {D.html_lines('html')} AS text FROM ({_BLOCKS})")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _surya_blocks(spark, sf_dir).select("result_id", "prediction_no", "block_no", T.html_text("html").alias("text"))
 
 
-@query()
+_CELL = r"(?is)<(t[dh])((?:[\s/][^>]*)?)>(.*?)</t[dh]\s*>"
+_INNER = r"regexp_replace(regexp_replace(regexp_extract(c, '" + _CELL + r"', 3), '(?i)<(?:br|p|div|li)(?:[\s/][^>]*)?>', chr(10), 'g'), '<[!?/a-zA-Z][^>]*>', '', 'g')"
+
+
+@query(rf"""SELECT result_id, prediction_no, block_no, CAST(row_no AS INT) AS row_no, CAST(k - 1 AS INT) AS cell_no, trim(regexp_replace(regexp_replace({D.resolved(D.resolved(_INNER))}, '[ \t\f\v]+', ' ', 'g'), ' *\n *', chr(10), 'g'), ' ' || chr(10)) AS text,
+    lower(regexp_extract(c, '{_CELL}', 1)) = 'th' AS is_header, greatest(1, coalesce(TRY_CAST(regexp_extract(c, '(?i)^<[^>]*rowspan\s*=\s*["'']?\s*(\d+)', 1) AS INT), 1)) AS rowspan, greatest(1, coalesce(TRY_CAST(regexp_extract(c, '(?i)^<[^>]*colspan\s*=\s*["'']?\s*(\d+)', 1) AS INT), 1)) AS colspan
+    FROM (SELECT *, unnest(cells) AS c, generate_subscripts(cells, 1) AS k FROM (SELECT *, regexp_extract_all(r, '{_CELL}', 0) AS cells FROM (
+    SELECT result_id, prediction_no, block_no, unnest(l) AS r, generate_subscripts(l, 1) - 1 AS row_no FROM (SELECT *, regexp_extract_all(regexp_extract(html, '(?is)<table\b.*?</table\s*>'), '(?is)<tr(?:[\s/][^>]*)?>(.*?)</tr\s*>', 1) AS l FROM ({_BLOCKS}) WHERE lower(html) LIKE '%<table%'))))""")
 def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _surya_blocks(spark, sf_dir).filter(F.lower("html").contains("<table")).select("result_id", "prediction_no", "block_no", F.posexplode(T.html_table("html")).alias("row_no", "row"))
     return rows.select("result_id", "prediction_no", "block_no", "row_no", F.posexplode("row").alias("cell_no", "cell")).select("result_id", "prediction_no", "block_no", "row_no", "cell_no", "cell.*")
 
 
-_LABEL = "CASE k " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.LABELS.items()) + " WHEN '' THEN NULL ELSE k END"
-
-
-@query(f"SELECT {_LABEL} AS block_type, count(*) AS blocks FROM (SELECT regexp_replace(lower(trim(label)), '[^\\p{{L}}\\p{{N}}]+', '', 'g') AS k FROM ({_BLOCKS})) GROUP BY 1")
+@query(f"SELECT {D.label('label')} AS block_type, count(*) AS blocks FROM ({_BLOCKS}) GROUP BY 1")
 def block_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _surya_blocks(spark, sf_dir).groupBy(T.canonical_label("label").alias("block_type")).agg(F.count("*").alias("blocks"))
 
@@ -244,10 +253,11 @@ def canonical_reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.reading_ordered(_surya_blocks(spark, sf_dir), ["result_id", "prediction_no"], at="block_no").select("result_id", "prediction_no", "block_no", "rank")
 
 
-@query("""SELECT block_key FROM (SELECT *, lag(bbox[2]) OVER (PARTITION BY document_id, page ORDER BY reading_order NULLS FIRST, block_key) AS before, median(bbox[4] - bbox[2]) OVER (PARTITION BY document_id, page) AS h
+@query("""SELECT block_key FROM (SELECT *, lag(bbox[2]) OVER (PARTITION BY document_id, page ORDER BY block_key % 3, block_key) AS before, median(bbox[4] - bbox[2]) OVER (PARTITION BY document_id, page) AS h
     FROM structure_blocks WHERE len(bbox) = 4 AND document_id IS NOT NULL AND page IS NOT NULL) WHERE bbox[2] < before - greatest(4.0, 0.75 * h)""")
 def vertical_backtracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "structure_blocks").filter("document_id IS NOT NULL AND page IS NOT NULL").withColumn("rank", F.struct("reading_order", "block_key"))
+    """Backtracks of pages that are read in a shuffled order, as the declared one has none."""
+    b = table(spark, sf_dir, "structure_blocks").filter("document_id IS NOT NULL AND page IS NOT NULL").withColumn("rank", F.struct(F.col("block_key") % 3, "block_key"))
     return L.vertical_backtracks(b, ["document_id", "page"]).select("block_key")
 
 
@@ -256,14 +266,7 @@ def repeated_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.repeated_edge_lines(table(spark, sf_dir, "structure_blocks"), "document_id")
 
 
-_LINE = f"trim(regexp_replace(replace(line, chr(173), ''), '[{WS}]+', ' ', 'g'))"
-
-
-@query(rf"""SELECT kind, count(*) AS lines FROM (SELECT CASE WHEN regexp_matches(t, '^[0-9]+$') THEN 'page_number'
-    WHEN regexp_matches(t, '^[0-9]{{3,4}}\s+[A-Z][A-Z0-9 /&()''.,\-]*$') OR regexp_matches(t, '^[0-9]{{3,4}}(?:\.[0-9]+)+\s+[A-Z]') THEN 'section_heading'
-    WHEN regexp_matches(t, '(?i)^(?:Fig\.|Figure|Table)\s*[a-zA-Z0-9_.\-]+') THEN 'caption'
-    WHEN regexp_matches(t, '^[A-Z][A-Z0-9]{{1,10}}\s*:') OR regexp_matches(t, '^(?:[0-9]+\)|[A-Za-z]\))\s+') THEN 'table_like' ELSE 'text' END AS kind
-    FROM (SELECT {_LINE} AS t FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))) GROUP BY kind""")
+@query(f"SELECT kind, count(*) AS lines FROM (SELECT {D.kind('line')} AS kind FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY kind")
 def line_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy(T.line_kind("line").alias("kind")).agg(F.count("*").alias("lines"))
@@ -296,17 +299,18 @@ def word_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.owned_words(w, b.withColumnRenamed("block_key", "region"), ["document_id", "page"]).select("word", "region")
 
 
-_PX = "r.pdf_bbox[1] + {} * (r.pdf_bbox[3] - r.pdf_bbox[1]) / r.raster_width"
-_PY = "r.pdf_bbox[2] + {} * (r.pdf_bbox[4] - r.pdf_bbox[2]) / r.raster_height"
+_TURNED = """SELECT pending_id, reading_order, x0 + CASE r.page_rotation WHEN 90 THEN v WHEN 180 THEN w - u WHEN 270 THEN w - v ELSE u END AS x, y0 + CASE r.page_rotation WHEN 90 THEN h - u WHEN 180 THEN h - v WHEN 270 THEN u ELSE v END AS y FROM (
+    SELECT *, b[i] * CASE WHEN r.page_rotation IN (90, 270) THEN h ELSE w END / r.raster_width AS u, b[j] * CASE WHEN r.page_rotation IN (90, 270) THEN w ELSE h END / r.raster_height AS v FROM (
+    SELECT pending_id, r, r.pdf_bbox[1] AS x0, r.pdf_bbox[2] AS y0, r.pdf_bbox[3] - r.pdf_bbox[1] AS w, r.pdf_bbox[4] - r.pdf_bbox[2] AS h, t.reading_order AS reading_order, t.bbox AS b FROM (SELECT pending_id, raster AS r, unnest(tesseract_words) AS t FROM pending_surya_pages)), (VALUES (1, 2), (3, 2), (3, 4), (1, 4)) c(i, j)
+    WHERE len(b) = 4 AND r.raster_width > 0 AND r.raster_height > 0 AND len(r.pdf_bbox) = 4)"""
 
 
-@query(f"""SELECT pending_id, reading_order, {_PX.format('b[1]')} AS x0, {_PY.format('b[2]')} AS y0, {_PX.format('b[3]')} AS x1, {_PY.format('b[4]')} AS y1 FROM (
-    SELECT pending_id, r, w.reading_order AS reading_order, w.bbox AS b FROM (SELECT pending_id, raster AS r, unnest(tesseract_words) AS w FROM pending_surya_pages))
-    WHERE len(b) = 4 AND r.raster_width > 0 AND r.raster_height > 0 AND len(r.pdf_bbox) = 4""")
+@query(f"SELECT pending_id, reading_order, round(min(x), 6) AS x0, round(min(y), 6) AS y0, round(max(x), 6) AS x1, round(max(y), 6) AS y1 FROM ({_TURNED}) GROUP BY pending_id, reading_order")
 def words_in_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in the points of the page as it lies unrotated."""
     w = table(spark, sf_dir, "pending_surya_pages").select("pending_id", "raster", F.explode("tesseract_words").alias("w"))
-    p = w.select("pending_id", "w.reading_order", G.box_to_points(F.col("w.bbox"), F.col("raster")).alias("b")).filter("b IS NOT NULL")
-    return p.select("pending_id", "reading_order", *[F.col("b")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
+    p = w.select("pending_id", "w.reading_order", G.box_to_points(F.col("w.bbox"), F.col("raster"), F.col("raster.page_rotation")).alias("b")).filter("b IS NOT NULL")
+    return p.select("pending_id", "reading_order", *[F.round(F.col("b")[i], 6).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
 
 
 @query(r"""SELECT pending_id, trim(w.text) AS text, w.bbox[1] AS x0, w.bbox[3] AS x1, CASE WHEN w.confidence >= 0 THEN w.confidence END AS confidence FROM (SELECT pending_id, unnest(tesseract_words) AS w FROM pending_surya_pages)
@@ -331,9 +335,9 @@ def structure_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy(F.try_variant_get(v, "$.enabled", "string").alias("enabled"), F.try_variant_get(v, "$.escalate", "string").alias("escalate")).agg(F.count("*").alias("pages"))
 
 
-@query(f"""SELECT job_id, md5(string_agg('--- Page ' || page || ' ---' || chr(10) || coalesce(text, ''), chr(10) ORDER BY page, coalesce(text, ''))) AS digest FROM ({_LATEST}) WHERE page IS NOT NULL GROUP BY job_id""")
+@query(f"""SELECT job_id, CAST((page - 1) // 256 AS INT) AS part_no, md5(string_agg('--- Page ' || page || ' ---' || chr(10) || coalesce(text, ''), chr(10) ORDER BY page, coalesce(text, ''))) AS digest FROM ({_LATEST}) WHERE page > 0 GROUP BY job_id, 2""")
 def combined_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.page_texts(_latest(spark, sf_dir).filter("page IS NOT NULL"), ["job_id"]).select("job_id", F.md5("text").alias("digest"))
+    return A.page_texts(_latest(spark, sf_dir, "text").filter("page > 0"), ["job_id"]).select("job_id", "part_no", F.md5("text").alias("digest"))
 
 
 _ISSUES = {
@@ -352,7 +356,7 @@ def verification_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH e AS (SELECT job_id, engine, avg(tesseract_quality.mean_word_confidence) AS m FROM ({_LATEST}) GROUP BY ALL), a AS (SELECT job_id, m FROM e WHERE engine = 'tesseract5'), b AS (SELECT job_id, m FROM e WHERE engine = 'surya')
     SELECT a.job_id, CASE WHEN a.m IS NULL OR b.m IS NULL THEN 'unavailable' WHEN a.m = b.m THEN 'tie' WHEN a.m > b.m THEN 'tesseract5' ELSE 'surya' END AS winner FROM a JOIN b ON a.job_id = b.job_id""")
 def paired_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _latest(spark, sf_dir).groupBy("job_id", "engine").agg(F.avg("tesseract_quality.mean_word_confidence").alias("m"))
+    e = _latest(spark, sf_dir, "engine", "tesseract_quality").groupBy("job_id", "engine").agg(F.avg("tesseract_quality.mean_word_confidence").alias("m"))
     a, b = (e.filter(F.col("engine") == x).select("job_id", F.col("m").alias(x)) for x in ("tesseract5", "surya"))
     return a.join(b, "job_id").select("job_id", M.winner(F.col("tesseract5"), F.col("surya"), "tesseract5", "surya", lower_wins=False).alias("winner"))
 
@@ -363,45 +367,16 @@ def confidence_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.resource_summary(c, ["lang"], ["confidence"])
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character and word distances of every calibration page that has both texts; each page is one bounded unit."""
-    c = table(spark, sf_dir, "calibration_pages").filter("reference_text IS NOT NULL AND tesseract_text IS NOT NULL")
-    c = spread(c.select("page_key", "split", "lang", "reference_text", "tesseract_text"))
-    c = c.withColumn("r", T.evaluation_text("reference_text")).withColumn("h", T.evaluation_text("tesseract_text"))
-    c = c.withColumn("rt", T.tokens(F.col("r"))).withColumn("ht", T.tokens(F.col("h")))
-    return c.select(
-        "page_key", "split", "lang", M.character_distance(F.col("r"), F.col("h")).alias("char_distance"), F.length("r").alias("ref_chars"), F.length("h").alias("hyp_chars"),
-        M.token_distance(F.col("rt"), F.col("ht")).alias("word_distance"), F.size("rt").alias("ref_words"), F.size("ht").alias("hyp_words"),
-    )
-
-
-@query()
-def page_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _scored(spark, sf_dir)
-    c = M.error_rate(F.col("char_distance"), F.col("ref_chars"), F.col("hyp_chars")).alias("cer")
-    return s.select("*", c, M.error_rate(F.col("word_distance"), F.col("ref_words"), F.col("hyp_words")).alias("wer"))
-
-
-@query()
-def error_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.stratified_rates(_scored(spark, sf_dir), [[], ["split"], ["lang"], ["split", "lang"]])
-
-
-@query()
-def text_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "calibration_pages").filter("reference_text IS NOT NULL AND tesseract_text IS NOT NULL")
-    return H.agreement(c.select("page_key", "reference_text", "tesseract_text"), "reference_text", "tesseract_text").drop("reference_text", "tesseract_text")
-
-
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Blocks of each page as reference, and as recognised: misread, moved and in the opposite order."""
+    """Blocks of each page as reference, and as recognised: misread, moved, in the opposite order, and every seventh lost."""
     b = table(spark, sf_dir, "structure_blocks").filter("length(text) > 0 AND document_id IS NOT NULL AND page IS NOT NULL")
     b = L.reading_ordered(b, ["document_id", "page"], at="block_key").withColumnRenamed("rank", "block").withColumn("block_type", T.canonical_label("block_type"))
     x = F.col("bbox")
     moved = F.when(F.size(x) == 4, F.array(x[0] + 5, x[1] + 5, x[2] + 5, x[3] + 5))
     tokens = lambda t: T.tokens(T.reference_text(t))
     ref = b.select("document_id", "page", "block", tokens("text").alias("tokens"), "bbox", "block_type")
-    hyp = b.select("document_id", "page", "block", tokens(F.translate("text", "lo", "10")).alias("tokens"), moved.alias("bbox"), "block_type")
+    opposite = F.count("*").over(Window.partitionBy("document_id", "page")) - F.col("block") + 1
+    hyp = b.filter("block_key % 7 <> 0").select("document_id", "page", opposite.cast("int").alias("block"), tokens(F.translate("text", "lo", "10")).alias("tokens"), moved.alias("bbox"), "block_type")
     return ref, hyp
 
 
@@ -415,7 +390,8 @@ def block_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reading_order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = ["document_id", "page"]
     ref, hyp = _sides(spark, sf_dir)
-    counts = ref.groupBy(*page).agg(F.count("*").alias("refs"), F.count("*").alias("hyps"))
+    number = lambda df, name: df.groupBy(*page).agg(F.count("*").alias(name))
+    counts = number(ref, "refs").join(number(hyp, "hyps"), page, "left").fillna(0, "hyps")
     return X.order_scores(X.assigned(X.candidates(ref, hyp, page), page), page, counts)
 
 
@@ -438,17 +414,22 @@ def hourly_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy(F.date_trunc("hour", F.col("delivered_at").cast("timestamp_ntz")).alias("hour"), F.lower("status").alias("status")).agg(F.count("*").alias("deliveries"))
 
 
-@query(f"""SELECT result_id, prediction_no, CAST(row_number() OVER (PARTITION BY result_id, prediction_no ORDER BY o NULLS LAST, pos) AS INT) AS rank, block_type, text, failed FROM (
-    SELECT result_id, prediction_no, pos, o, CASE k {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in T.LABELS.items())} WHEN '' THEN NULL ELSE k END AS block_type, text, failed FROM (
-    SELECT result_id, prediction_no, pos, b.reading_order AS o, regexp_replace(lower(trim(coalesce(CASE WHEN trim(b.label) <> '' THEN b.label END, b.raw_label))), '[^\\p{{L}}\\p{{N}}]+', '', 'g') AS k,
-    {_strip_sql('b.html')} AS text, coalesce(b.error, false) AS failed, coalesce(b.skipped, false) AS skipped FROM (SELECT result_id, prediction_no, unnest(blocks) AS b, generate_subscripts(blocks, 1) AS pos FROM (
-    SELECT result_id, CAST(generate_subscripts(predictions, 1) AS INT) AS prediction_no, unnest(predictions).blocks AS blocks FROM surya_results)) WHERE b IS NOT NULL) WHERE NOT skipped)
-    WHERE text <> '' OR failed OR coalesce(block_type IN ('chart', 'diagram', 'figure', 'image', 'picture'), false)""")
+_NAMED = "coalesce(CASE WHEN trim(b.label) <> '' THEN b.label END, CASE WHEN trim(b.raw_label) <> '' THEN b.raw_label END, 'Text')"
+
+
+@query(f"""SELECT result_id, prediction_no, CAST(row_number() OVER (PARTITION BY result_id, prediction_no ORDER BY o NULLS LAST, pos) AS INT) AS rank, block_type, text, skipped, failed FROM (
+    SELECT result_id, prediction_no, pos, b.reading_order AS o, {D.label(_NAMED)} AS block_type, {D.html_lines('b.html')} AS text, coalesce(b.error, false) AS failed, coalesce(b.skipped, false) AS skipped FROM (SELECT result_id, prediction_no, unnest(blocks) AS b, generate_subscripts(blocks, 1) AS pos FROM (
+    SELECT result_id, CAST(generate_subscripts(predictions, 1) AS INT) AS prediction_no, unnest(predictions).blocks AS blocks FROM surya_results)) WHERE b IS NOT NULL)
+    WHERE text <> '' OR failed OR skipped OR coalesce(block_type IN ('chart', 'diagram', 'figure', 'image', 'picture'), false)""")
 def layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.layout_blocks(table(spark, sf_dir, "surya_results"), ["result_id"]).select("result_id", "prediction_no", "rank", "block_type", "text", "failed")
+    return Y.layout_blocks(table(spark, sf_dir, "surya_results"), ["result_id"]).select("result_id", "prediction_no", "rank", "block_type", "text", "skipped", "failed")
 
 
-@query()
+_SETTINGS = "(SELECT job_id, j.key AS setting, j.value ->> '$' AS value FROM jobs, json_each(to_json(config)) j WHERE (j.value ->> '$') IS NOT NULL)"
+
+
+@query(f"""WITH s AS {_SETTINGS}, u AS (SELECT setting, value AS usual FROM (SELECT setting, value, row_number() OVER (PARTITION BY setting ORDER BY count(*) DESC, value DESC) AS n FROM s GROUP BY setting, value) WHERE n = 1)
+    SELECT setting, job_id, value, usual FROM s JOIN u USING (setting) WHERE value <> usual""")
 def configuration_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Y.configuration_drift(table(spark, sf_dir, "jobs"), "job_id", "config")
 
@@ -480,6 +461,10 @@ def artifact_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("artifact_id", F.sha2("artifact_json", 256).alias("digest"), F.length("artifact_json").alias("chars"), F.try_parse_json("artifact_json").isNotNull().alias("valid"))
 
 
-@query()
+@query(f"""SELECT job_id, CAST((page - 1) // 256 AS INT) AS part_no, count(*) AS page_count, CAST(min(page) AS INT) AS first_page, arg_min(engine, page) AS first_engine, md5(string_agg(page || ':' || coalesce(engine, '') || ':' || coalesce(outcome, '') || ':' || coalesce(text, ''), '|' ORDER BY page)) AS digest FROM ({_LATEST}) WHERE page > 0 GROUP BY job_id, 2""")
 def exported_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.exported_pages(_latest(spark, sf_dir).filter("page IS NOT NULL"), ["job_id"], ["page", "engine", "outcome", "route", "text"])
+    """Each export read back: its counts, its first page, and a digest of what its pages say."""
+    d = Y.exported_pages(_latest(spark, sf_dir, "engine", "outcome", "route", "text").filter("page > 0"), ["job_id"], ["page", "engine", "outcome", "route", "text"])
+    x = F.from_json("document", "struct<page_count:bigint,pages:array<struct<page:int,engine:string,outcome:string,text:string>>>")
+    said = lambda p: F.concat_ws(":", p["page"].cast("string"), F.coalesce(p["engine"], F.lit("")), F.coalesce(p["outcome"], F.lit("")), F.coalesce(p["text"], F.lit("")))
+    return d.select("job_id", "part_no", x.alias("x")).select("job_id", "part_no", "x.page_count", F.col("x.pages")[0]["page"].alias("first_page"), F.col("x.pages")[0]["engine"].alias("first_engine"), F.md5(F.array_join(F.transform("x.pages", said), "|")).alias("digest"))

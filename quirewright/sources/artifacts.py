@@ -86,11 +86,19 @@ def provider_pages(response: Column) -> Column:
     return F.when(F.size(pages) > 0, F.transform(pages, page)).otherwise(fallback)
 
 
+#: Pages of one part of a combined text.
+PAGES_A_PART = 256
+
+
 def page_texts(pages: DataFrame, document: list[str], page: str = "page", text: str = "text") -> DataFrame:
-    """Each document's text in page order with a line before each page; one group is one document."""
-    part = F.struct(F.col(page).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    joined = F.transform(F.array_sort(F.collect_list(part)), lambda x: F.concat(F.lit("--- Page "), x["p"].cast("string"), F.lit(" ---\n"), x["t"]))
-    return pages.groupBy(*document).agg(F.array_join(joined, "\n").alias("text"))
+    """Each document's text in page order with a line before each page: document keys, part_no, text.
+
+    A part holds the pages of one stretch of ``PAGES_A_PART`` numbers, so that no row grows with a document; its parts
+    joined by line ends are the document's text.
+    """
+    row = F.struct(F.col(page).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    joined = F.transform(F.array_sort(F.collect_list(row)), lambda x: F.concat(F.lit("--- Page "), x["p"].cast("string"), F.lit(" ---\n"), x["t"]))
+    return pages.groupBy(*document, F.floor((F.col(page) - 1) / PAGES_A_PART).cast("int").alias("part_no")).agg(F.array_join(joined, "\n").alias("text"))
 
 
 def published(df: DataFrame, path: str, kind: str = "json") -> None:

@@ -9,10 +9,10 @@ from quirewright.operators import assembly as Y
 def test_layout_blocks(spark):
     block = "struct<label:string,raw_label:string,reading_order:int,html:string,bbox:array<double>,polygon:array<array<double>>,skipped:boolean,error:boolean>"
     b = lambda label, order, html, box=None, polygon=None, skipped=None, error=None: (label, None, order, html, box, polygon, skipped, error)
-    rows = [(1, [([b("Text", None, "<p>last</p>"), b("Title", 2, "x", [0.0, 0.0, 1.0, 1.0]), None, b("Picture", 1, None, None, [[1.0, 2.0], [3.0, 4.0]]), b("Text", 0, " "), b("Text", 0, "gone", skipped=True), b("Text", 3, None, error=True)],), None]), (2, None)]
+    rows = [(1, [([b("Text", None, "<p>last</p>line"), b("Title", 2, "x", [0.0, 0.0, 1.0, 1.0]), None, b("Picture", 1, None, None, [[1.0, 2.0], [3.0, 4.0]]), b("Text", 0, " "), b("Text", 0, "gone", skipped=True), b("Text", 3, None, error=True)],), None]), (2, None)]
     got = Y.layout_blocks(spark.createDataFrame(rows, f"k int, predictions array<struct<blocks:array<{block}>>>"), ["k"]).orderBy("rank").collect()
-    assert [(r.rank, r.block_type, r.text, r.failed) for r in got] == [(1, "picture", "", False), (2, "heading", "x", False), (3, "paragraph", "", True), (4, "paragraph", "last", False)]
-    assert got[0].bbox == [1.0, 2.0, 3.0, 4.0]
+    assert [(r.rank, r.block_type, r.text, r.failed) for r in got] == [(1, "paragraph", "gone", False), (2, "picture", "", False), (3, "heading", "x", False), (4, "paragraph", "", True), (5, "paragraph", "last\nline", False)]
+    assert [r.rank for r in got if r.skipped] == [1] and got[1].bbox == [1.0, 2.0, 3.0, 4.0]
 
 
 def test_page_structure():
@@ -47,8 +47,30 @@ def test_gate_and_payloads(spark):
     rows = [([(1.0, 4, 0.0, 9.0)], [1], [(2, 2)]), ([], [], [(1, 9)]), (None, None, None)]
     got = spark.createDataFrame(rows, f"c {e}, t array<int>, n array<struct<row_count:int,column_count:int>>").select(Y.structure_gate(F.col("c"), F.col("t"), F.col("n")).alias("g")).select("g.*").collect()
     assert got[0].reasons == ["repeated_aligned_columns", "multiple_text_columns", "strict_native_table"] and not got[1].escalate and not got[2].escalate
-    node = {"children": [{"html": "<p>a</p>"}, {"text": " ", "children": [{"markdown": "b"}]}], "words": [{"text": "w", "bbox": [1, 2, 3, 4], "score": 0.5}, {"text": " "}]}
-    assert Y.deep_text(node) == "a\nb" and list(Y.deep_words(node)) == [("w", [1.0, 2.0, 3.0, 4.0], 0.5)]
+    node = {"children": [{"html": "<p>a</p>"}, {"items": [{"markdown": "b"}, {"text_lines": [{"text": "c"}]}]}], "words": [{"text": "w", "bbox": [1, 2, 3, 4], "score": 0.5}, {"text": " "}]}
+    assert Y.deep_text(node) == "a b c" and list(Y.deep_words(node)) == [("w", [1.0, 2.0, 3.0, 4.0], 0.5), (" ", None, None), ("c", None, None)]
+    deep = {"text": "x"}
+    for _ in range(5_000):
+        deep = {"children": [deep]}
+    assert Y.deep_text(deep) == "x" and Y.deep_text([1]) == "" == Y.deep_text({"text": None, "html": ""})
     texts = spark.createDataFrame([(json.dumps(node),), ("{",), (None,)], "j string").select(Y.payload_text("j").alias("t")).collect()
-    assert [r.t for r in texts] == ["a\nb", None, None]
-    assert json.loads(Y.exported_pages(spark.createDataFrame([(1, 2, "b"), (1, 1, None)], "d int, page int, text string"), ["d"], ["page", "text"]).first().document) == {"page_count": 2, "pages": [{"page": 1}, {"page": 2, "text": "b"}]}
+    assert [r.t for r in texts] == ["a b c", None, None]
+    parts = Y.exported_pages(spark.createDataFrame([(1, 2, "b"), (1, 1, None), (1, 257, "c")], "d int, page int, text string"), ["d"], ["page", "text"]).orderBy("part_no").collect()
+    assert [(p.part_no, json.loads(p.document)) for p in parts] == [(0, {"page_count": 2, "pages": [{"page": 1}, {"page": 2, "text": "b"}]}), (1, {"page_count": 1, "pages": [{"page": 257, "text": "c"}]})]
+
+
+def test_records_and_settings(spark):
+    rows = [(1, "tesseract", None, "t"), (2, "tesseract", "surya", None)]
+    df = spark.createDataFrame(rows, "page int, classifier string, executed string, text string")
+    got = df.select(Y.page_record(F.col("page"), F.lit("e"), F.lit("o"), F.col("classifier"), F.col("executed"), F.col("text")).alias("r")).select("r.*").orderBy("page").collect()
+    assert [(r.route, r.classifier_route, r.text) for r in got] == [("tesseract", None, "t"), ("surya", "tesseract", "")]
+    assert spark.range(1).select(Y.unknown_settings(F.lit('{"a": 1, "zz": 2}'), ["a", "b"]).alias("x")).first().x == ["zz"]
+
+
+def test_line_kinds_agree_with_their_patterns(spark):
+    from quirewright.functions import text as T
+
+    lines = ["12", "100 GENERAL WORKS", "100.2 Scope", "Figure 3. x", "NOTE: x", "a) x", "plain", "1234 Not all"]
+    kinds = [r.k for r in spark.createDataFrame([(x,) for x in lines], "t string").select(T.line_kind("t").alias("k")).collect()]
+    by_pattern = [next((n for n, p in Y._KIND.items() if p.match(x)), "text") for x in lines]
+    assert kinds == by_pattern

@@ -53,7 +53,8 @@ def test_order_scores(spark):
 
 def test_latest_pending_and_pareto(spark):
     log = spark.createDataFrame([(1, 1, "complete", 1), (1, 1, "COMPLETE ", 2), (1, 1, "failed", 3), (1, 2, None, 4), (None, 3, "pending", 5)], "job int, page int, status string, seq int")
-    assert [r.seq for r in E.latest_complete(log, ["job", "page"], ["seq"]).collect()] == [2]
+    assert [r.seq for r in E.latest_complete(log, ["job", "page"], ["seq"], ["seq", "status"]).collect()] == [2]
+    assert [r.status for r in E.latest_complete(log.withColumn("job", F.lit(None).cast("int")), ["job", "page"], ["seq"], ["status"]).collect()] == ["COMPLETE "]
     done = log.filter("lower(trim(status)) = 'complete'")
     assert sorted(r.seq for r in E.pending(log, done, ["job", "page"]).collect()) == [4, 5]
     r = random.Random(2)
@@ -86,7 +87,9 @@ def test_lines_rows_and_columns():
     table = [w(x, y) for y in (0.0, 20.0, 40.0, 60.0, 80.0) for x in (10.0, 60.0)]
     found = L.aligned_columns(table, 100.0, 100.0)
     assert len(found) == 1 and found[0]["line_count"] == 5 and found[0]["start_x"] == 60.0
-    assert L.aligned_columns([], 100.0, 100.0) == [] == L.rows_of_words([])
+    assert L.aligned_columns([], 100.0, 100.0) == [] == L.rows_of_words([]) and L.visual_lines([]) == []
+    flat = [{"text": t, "bbox": [x, 5.0, x + 1.0, 5.0]} for t, x in (("b", 2.0), ("a", 0.0))]  # without a height
+    assert [x["text"] for x in L.visual_lines(flat)] == ["a b"]
 
 
 def test_tsv_and_provider(spark):
@@ -120,7 +123,119 @@ def test_stream(spark, tmp_path):
     log = page_log(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, files_per_trigger=1)
     merged_latest(log, str(tmp_path / "out"), str(tmp_path / "cp"), ["job_id", "page"], ["delivered_at", "delivery_id"]).awaitTermination()
     assert [(x.job_id, x.page, x.delivery_id) for x in latest(spark, str(tmp_path / "out")).collect()] == [(1, 1, 5)]
+    from quirewright.streaming.manifest import vacuum
+
+    assert vacuum(spark, str(tmp_path / "out")) == 1 and latest(spark, str(tmp_path / "out")).count() == 1
     q = first_deliveries(log).writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("once").filter("message_id IS NOT NULL").count() == 2
     assert hourly_counts(log).isStreaming
+
+
+def test_text_columns(spark):
+    words = [("p", b, line, [x + 40.0 * k, 20.0 * line, x + 40.0 * k + 30, 20.0 * line + 10], 1000.0, 400.0) for b, x in ((1, 0.0), (2, 500.0)) for line in range(6) for k in range(8)]
+    schema = "page string, block int, line int, bbox array<double>, page_width double, page_height double"
+    assert [(r.left_block, r.right_block) for r in L.text_columns(spark.createDataFrame(words, schema), ["page"]).collect()] == [(1, 2)]
+    assert L.text_columns(spark.createDataFrame(words[:40], schema), ["page"]).count() == 0
+
+
+def layout(spark, texts, words):
+    """Regions one above the other with their texts, and (region, text, confidence) words inside them."""
+    r = [("p", i, kind, t, [0.0, 100.0 * i, 100.0, 100.0 * i + 50], skipped, False) for i, (t, kind, skipped) in enumerate(texts)]
+    w = [("p", k, t, None if region is None else [9.0 * k, 100.0 * region + 10, 9.0 * k + 5, 100.0 * region + 20], c, k) for k, (region, t, c) in enumerate(words)]
+    return spark.createDataFrame(r, "page string, region int, block_type string, text string, bbox array<double>, skipped boolean, failed boolean"), spark.createDataFrame(w, "page string, word int, text string, bbox array<double>, confidence double, reading_order int")
+
+
+def test_hybrid_is_all_or_nothing(spark):
+    def decided(texts, words):
+        d = H.hybrid_decisions(*layout(spark, texts, words), ["page"]).first()
+        return d.applied, d.skip_reason
+
+    good = [(0, "A", 90.0), (0, "B", 90.0), (1, "C", 90.0), (0, "low", 10.0)]
+    texts = [("A B", "paragraph", False), ("C", "heading", False), ("", "picture", True)]
+    assert decided(texts, good) == (True, None)
+    assert decided([*texts, ("seen", "picture", False)], good) == (False, "non_tesseract_textual_surya_regions")
+    assert decided([("", "paragraph", False)], good[:1]) == (False, "no_textual_surya_regions")
+    assert decided(texts, good[:2]) == (False, "insufficient_per_region_agreement")
+    assert decided(texts, [*good, (None, "extra", 90.0)]) == (False, "too_many_unassigned_tesseract_words")
+    assert decided([("A C B", "paragraph", False)], [(0, "A", 90.0), (0, "B", 90.0), (0, "C", 90.0)])[1] == "insufficient_per_region_agreement"
+    r, w = layout(spark, [("Balance -100", "paragraph", False)], [(0, "Balance", 90.0), (0, "100", 90.0)])
+    assert H.hybrid_regions(r, w, ["page"]).first().reasons == ["critical_value_token_mismatch"]
+    r, w = layout(spark, texts, good)
+    got = {x.region: (x.text, x.text_engine) for x in H.hybrid_blocks(r, w, ["page"]).collect()}
+    assert got == {0: ("A B", "tesseract5"), 1: ("C", "tesseract5"), 2: ("", "surya")}
+
+
+def test_table_regions_are_read_row_by_row(spark):
+    regions = spark.createDataFrame([("p", 1, "table", "A1 B1 A2 B2", [0.0, 0.0, 100.0, 100.0], False, False)], "page string, region int, block_type string, text string, bbox array<double>, skipped boolean, failed boolean")
+    words = [("p", k, t, [x, y, x + 10, y + 10], 90.0, k) for k, (t, x, y) in enumerate([("A1", 0.0, 0.0), ("A2", 0.0, 20.0), ("B1", 50.0, 1.0), ("B2", 50.0, 21.0)])]
+    w = spark.createDataFrame(words, "page string, word int, text string, bbox array<double>, confidence double, reading_order int")
+    assert [(x.text, x.words, x.reasons) for x in H.hybrid_regions(regions, w, ["page"]).collect()] == [("A1 B1 A2 B2", 4, [])]
+    assert H.hybrid_decisions(regions.limit(0), w, ["page"]).count() == 0
+
+
+def test_evaluation_blocks_and_texts(spark):
+    from quirewright.operators import scoring as S
+
+    schema = "page int, pos int, label string, raw_label string, reading_order int, html string, text string, bbox array<double>, skipped boolean, error boolean"
+    box = [0.0, 0.0, 1.0, 1.0]
+    rows = [
+        (1, 1, "Text", None, 2, "<p>b&amp;c</p>", "plain", None, None, False), (1, 2, None, "Title", 1, None, "a", None, None, None), (1, 3, "Picture", None, 0, "seen", None, box, None, None),
+        (1, 4, "Text", None, 3, "", None, box, None, None), (1, 5, None, None, 4, "", None, box, None, None), (1, 6, "Text", None, 5, "x", None, box, True, None), (2, 1, "Picture", None, 0, "seen", None, box, None, None),
+    ]
+    blocks, pages = spark.createDataFrame(rows, schema), spark.createDataFrame([(1, "one"), (2, "two"), (3, " three "), (4, "")], "page int, text string")
+    got = sorted((r.page, r.rank, r.label, r.text) for r in S.evaluation_blocks(blocks, ["page"], pages).collect())
+    assert got == [(1, 1, "heading", "a"), (1, 2, "paragraph", "b&c"), (1, 3, "paragraph", ""), (3, 1, None, "three")]
+    assert S.evaluation_blocks(blocks, ["page"], markup_first=False).filter("rank = 2").first().text == "plain"
+    trusted = S.trusted_text(blocks.selectExpr("page", "pos", "reading_order", "text", "lower(label) AS block_type").replace("text", "paragraph", "block_type"), ["page"]).collect()
+    assert [(r.page, r.text) for r in trusted] == [(1, "plain")]
+    rates = S.plain_rates(spark.createDataFrame([("a B", "a b"), ("", "x"), (None, None)], "r string, h string"), "r", "h").select("cer", "wer").collect()
+    assert [tuple(r) for r in rates] == [(pytest.approx(1 / 3), 0.5), (1.0, 1.0), (0.0, 0.0)]
+
+
+def test_corpus_scores_and_winners(spark):
+    from quirewright.operators import scoring as S
+
+    pages = spark.createDataFrame([("a", "abcd", "abxd", 0.5, None), ("a", "", "", None, 1.0), ("b", "ab", "cd", None, None)], "engine string, r string, h string, inversion_rate double, macro_f1 double")
+    got = {r.engine: r for r in S.corpus_scores(S.scored_pages(pages, "r", "h"), ["engine"]).collect()}
+    assert (got["a"].cer, got["a"].inversion_rate, got["a"].ordered_pages, got["a"].macro_f1, got["a"].pages) == (0.25, 0.5, 1, 1.0, 2) and got["b"].cer == 1.0 and got["b"].macro_f1 is None
+    schema = "k int, engine string, pages int, page_ids array<int>, digest string, cer double, wer double, inversion_rate double, macro_f1 double, orders map<int,double>"
+    a = spark.createDataFrame([(k, "x", 2, [1, 2], d, 0.1, 0.2, 0.3, 0.4, {1: 0.0, 2: 1.0}) for k, d in ((1, "d"), (2, None), (3, "e"), (4, "d"))], schema)
+    b = spark.createDataFrame([(k, "y", n, ids, "d", 0.1, None, 0.1, 0.5, {2: 0.5}) for k, n, ids in ((1, 2, [2, 1]), (2, 2, [1, 2]), (3, 2, [1, 2]), (4, 1, [1]))], schema)
+    c = S.comparability(a, b, ["k"], ["digest"])
+    assert sorted((r.k, r.comparability) for r in c.collect()) == [(1, "verified"), (2, "unverified"), (3, "different_protocols"), (4, "different_page_counts")]
+    won = {(r.k, r.metric): r.winner for r in S.winners(c, ["k"], text_only=F.lit(True)).collect()}
+    assert [won[1, m] for m in S.METRICS] == ["tie", "unavailable", "y", "y"] and {won[k, "cer"] for k in (2, 3, 4)} == {None}
+    assert {r.winner for r in S.winners(c, ["k"]).filter("k = 1 AND metric IN ('inversion_rate', 'macro_f1')").collect()} == {"inconclusive"}
+    assert {r.metric: r.winner for r in S.winners(c, ["k"], allow_unverified=True).filter("k = 2").collect()}["macro_f1"] == "y"
+    routed = S.routed_pages(spark.createDataFrame([(1,), (2,)], "page int"), spark.createDataFrame([(2, "e"), (3, "f")], "page int, engine string"), ["page"])
+    assert sorted((r.page, r.status) for r in routed.collect()) == [(1, "unavailable"), (2, "evaluated"), (3, "unreviewed")]
+
+
+def test_verification(spark):
+    from quirewright.operators import verification as V
+
+    b = spark.createDataFrame([(1, 1, 1, [0.0, 0.0, 5.0, 5.0]), (1, 2, 3, None), (2, 3, None, [0.0, 0.0, 50.0, 5.0]), (2, 4, 1, [float("nan"), 0.0, 1.0, 1.0])], "page int, k int, reading_order int, bbox array<double>")
+    page_box = F.array(*[F.lit(float(x)) for x in (0, 0, 10, 10)])
+    got = sorted((r.page, r.k or 0, r.code) for r in V.block_issues(b, ["page"], "k", page_box).collect())
+    assert got == [(1, 0, "noncontiguous_block_order"), (2, 3, "invalid_block_bbox"), (2, 3, "invalid_block_order"), (2, 4, "invalid_block_bbox")]
+    quality = "struct<accepted:boolean>"
+    rows = [
+        (1, "native_text_accepted", "pymupdf", "native_text", None, None, None, None, "t", "surya"), (2, "tesseract_accepted", "tesseract5", "tesseract", None, None, None, (False,), "t", "none"),
+        (3, "tesseract_rejected_no_fallback", "none", "tesseract", None, None, None, None, "t", "surya"), (4, "surya_primary", "surya", "surya", "tesseract", "primary", None, None, "t", "none"),
+        (5, "surya_escalated", "surya", "tesseract", None, "quality", 3, (True,), "t", None), (6, None, None, None, None, None, None, None, None, None),
+    ]
+    records = spark.createDataFrame(rows, f"page int, outcome string, engine string, route string, classifier_route string, escalation_reason string, surya_batch int, tesseract_quality {quality}, text string, fallback string")
+    got = {}
+    for r in V.outcome_issues(records, ["page"], fallback=F.col("fallback")).collect():
+        got.setdefault(r.page, set()).add(r.code)
+    assert got == {2: {"tesseract_quality"}, 3: {"compact_text", "compact_setting"}, 4: {"surya_batch"}, 6: {"unknown_outcome"}}
+    log = records.select("page", "engine", "outcome")
+    artifact = spark.createDataFrame([(1, "pymupdf", "other"), (7, "x", "y")], "page int, engine string, outcome string")
+    found = sorted((r.page, r.code) for r in V.published_issues(artifact, log.filter("page < 3"), ["page"], ["engine", "outcome"]).collect())
+    assert found == [(1, "outcome_differs"), (2, "page_not_published"), (7, "page_not_in_log")]
+    assert [r.page for r in V.batch_issues(records, artifact, ["page"]).collect()] == [5]
+    issues = spark.createDataFrame([("d", "page_not_published"), ("e", "outcome_differs")], "d string, code string")
+    assert sorted((r.d, r.valid) for r in V.verdict(issues, ["d"], strict=False).collect()) == [("d", True), ("e", False)]
+    ranked = b.withColumn("rank", F.col("k"))
+    assert sorted((r.page, r.contiguous, r.backtracks) for r in V.order_report(ranked, ["page"]).collect()) == [(1, True, 0), (2, False, 0)]
