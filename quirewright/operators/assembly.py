@@ -86,6 +86,22 @@ def wants_hindi(language: Column) -> Column:
     return F.arrays_overlap(parts, F.array(*map(F.lit, ("hin", "devanagari", "script/devanagari"))))
 
 
+def primary_engine(config: Column) -> Column:
+    """The engine that reads a page first: the one that is forced, else surya for Hindi where it is the fallback, else tesseract."""
+    forced = F.when(config["ocr_engine"] != "auto", config["ocr_engine"])
+    hindi = F.coalesce(wants_hindi(config["language"]), F.lit(False)) & F.coalesce(config["fallback_engine"] == "surya", F.lit(False))
+    return F.coalesce(forced, F.when(hindi, "surya").otherwise("tesseract"))
+
+
+def page_layers(record: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the layers of each record: which engines' evidence it has, and whose text is the page's."""
+    q, engine = F.col("tesseract_quality").isNotNull(), F.col("engine")
+    layer = lambda there, name: F.struct(F.coalesce(there, F.lit(False)).alias("available"), engine.eqNullSafe(F.lit(name)).alias("selected"))
+    native = F.coalesce(F.length("native_text") > 0, F.lit(False))
+    layers = F.struct(layer(native | (engine == "pymupdf"), "pymupdf").alias("native"), layer(q | (engine == "tesseract5"), "tesseract5").alias("tesseract"), layer(F.col("surya_batch").isNotNull() | (engine == "surya"), "surya").alias("surya"))
+    return record.select(*keep, layers.alias("layers"))
+
+
 def parsed_candidate(value: str) -> tuple[str, float, float, float]:
     """``name:mean:ratio:threshold`` as a gate candidate; ranges are checked."""
     parts = value.split(":")

@@ -77,6 +77,24 @@ def confusion(replayed: DataFrame, expected: str) -> DataFrame:
     )
 
 
+def accepted_accuracy(replayed: DataFrame) -> DataFrame:
+    """Per candidate: character error rate over all its pages and over those it accepts. Needs char_distance, ref_chars, hyp_chars."""
+    names = ("char_distance", "ref_chars", "hyp_chars")
+    sums = [x for c in names for x in (F.sum(c).alias(f"_all_{c}"), F.coalesce(F.sum(F.when(F.col("accepted"), F.col(c))), F.lit(0)).alias(f"_own_{c}"))]
+    rate = lambda side: M.error_rate(*[F.col(f"_{side}_{c}") for c in names])
+    return replayed.groupBy("candidate").agg(F.count_if("accepted").alias("accepted"), *sums).select("candidate", "accepted", rate("all").alias("cer"), F.when(F.col("accepted") > 0, rate("own")).alias("accepted_cer"))
+
+
+def evidence_issues(pages: DataFrame, key: list[str], words: str, confidences: str, reviewed: str) -> DataFrame:
+    """key, code: what a page lacks to serve for calibration: words, a confidence for every word, a review."""
+    c = F.col(confidences)
+    checks = {
+        "no_words": F.coalesce(F.length(words), F.lit(0)) > 0, "no_confidences": F.coalesce(F.size(c), F.lit(0)) > 0,
+        "missing_confidence": c.isNull() | ~F.exists(c, lambda x: x.isNull()), "not_reviewed": F.col(reviewed).isNotNull(),
+    }
+    return issues(pages, key, checks)
+
+
 def pareto_frontier(candidates: DataFrame) -> DataFrame:
     """``candidates`` that none beats: fewer or as many false accepts, as many or more accepted, one of them strictly.
 

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from quirewright.functions import measures as M
 from quirewright.functions import text as T
+from quirewright.operators import assembly as Y
 from quirewright.operators import evidence as E
 from quirewright.operators import hybrid as H
 from quirewright.operators import layout as L
 from quirewright.operators import matching as X
+from quirewright.operators import routing as R
 from quirewright.operators import scoring as S
 from quirewright.operators import verification as V
 from quirewright.plans import dialect as D
+from quirewright.plans import pages as P
 from quirewright.plans.tables import table
 from quirewright.session import spread
+from quirewright.sources import artifacts as A
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -370,3 +374,52 @@ def engine_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     left, right = report(s, "distance", "d"), report(s.filter("page % 7 <> 0"), "length", "abs(m - n)")
     return S.winners(S.comparability(left, right, ["document_id"], ["reference_sha256"]), ["document_id"])
+
+
+# settings, layers and calibration evidence
+
+
+@query("""SELECT job_id, coalesce(CASE WHEN config.ocr_engine <> 'auto' THEN config.ocr_engine END, CASE WHEN len(list_filter(string_split(lower(config.language), '+'), lambda p: trim(p) IN ('hin', 'devanagari', 'script/devanagari'))) > 0
+    AND config.fallback_engine = 'surya' THEN 'surya' ELSE 'tesseract' END) AS engine FROM jobs""")
+def primary_engines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "jobs").select("job_id", Y.primary_engine(F.col("config")).alias("engine"))
+
+
+@query(f"""SELECT count(*) FILTER (WHERE length(native_text) > 0 OR engine = 'pymupdf') AS native_available, count(*) FILTER (WHERE engine = 'pymupdf') AS native_selected, count(*) FILTER (WHERE tesseract_quality IS NOT NULL OR engine = 'tesseract5') AS tesseract_available,
+    count(*) FILTER (WHERE engine = 'tesseract5') AS tesseract_selected, count(*) FILTER (WHERE surya_batch IS NOT NULL OR engine = 'surya') AS surya_available, count(*) FILTER (WHERE engine = 'surya') AS surya_selected, outcome FROM ({_LATEST}) GROUP BY outcome""")
+def page_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of each outcome by the layers they have and the one that is selected."""
+    rows = Y.page_layers(_latest(spark, sf_dir, "engine", "outcome", "native_text", "surya_batch", "tesseract_quality"), ["outcome"])
+    counts = [F.count_if(f"layers.{layer}.{flag}").alias(f"{layer}_{flag}") for layer in ("native", "tesseract", "surya") for flag in ("available", "selected")]
+    return rows.groupBy("outcome").agg(*counts)
+
+
+@query("""SELECT page_key, 'no_words' AS code FROM calibration_pages WHERE coalesce(length(tesseract_text), 0) = 0 UNION ALL SELECT page_key, 'no_confidences' FROM calibration_pages WHERE coalesce(len(confidences), 0) = 0
+    UNION ALL SELECT page_key, 'missing_confidence' FROM calibration_pages WHERE len(list_filter(confidences, lambda c: c IS NULL)) > 0 UNION ALL SELECT page_key, 'not_reviewed' FROM calibration_pages WHERE expected_auto_accept IS NULL""")
+def calibration_evidence_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.evidence_issues(table(spark, sf_dir, "calibration_pages"), ["page_key"], "tesseract_text", "confidences", "expected_auto_accept")
+
+
+_ACCEPTED = P.SQL["ocr_quality_gate"]
+
+
+@query(f"""WITH x AS (SELECT s.*, g.accepted FROM ({_SCORED}) s JOIN ({_ACCEPTED}) g USING (page_key)), t AS (SELECT 'base' AS candidate, count(*) FILTER (WHERE accepted) AS accepted, sum(char_distance) AS d, sum(ref_chars) AS n,
+    sum(char_distance) FILTER (WHERE accepted) AS e, sum(ref_chars) FILTER (WHERE accepted) AS m FROM x) SELECT candidate, accepted, d / n AS cer, CASE WHEN accepted > 0 THEN e / m END AS accepted_cer FROM t""")
+def accepted_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error rates of all calibration pages and of those that the gate accepts."""
+    scored = _scored(spark, sf_dir).select("page_key", "char_distance", "ref_chars", "hyp_chars")
+    gated = P.gated(spark, sf_dir).select("page_key", "signals", "confidences")
+    return E.accepted_accuracy(R.gate_replay(gated.join(scored, "page_key"), P.CANDIDATES[:1]))
+
+
+@query("""SELECT pending_id, CAST(row_number() OVER (PARTITION BY pending_id ORDER BY min(i)) AS INT) AS reading_order, string_agg(trim(text), ' ' ORDER BY i) AS text, round(min(b[1]), 6) AS x0, round(min(b[2]), 6) AS y0, round(max(b[3]), 6) AS x1, round(max(b[4]), 6) AS y1 FROM (
+    SELECT pending_id, generate_subscripts(tesseract_words, 1) AS i, unnest(tesseract_words).text AS text, unnest(tesseract_words).bbox AS b FROM pending_surya_pages) WHERE trim(text) <> '' AND len(b) = 4 GROUP BY pending_id, CAST(floor(b[2] / 100) AS INT)""")
+def tsv_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words written as a recogniser's TSV, a line for each hundred pixels of height, and parsed as blocks."""
+    p = table(spark, sf_dir, "pending_surya_pages")
+    words = F.filter("tesseract_words", lambda w: w["text"].isNotNull() & (F.size(w["bbox"]) == 4))
+    s = lambda x: F.coalesce(x.cast("string"), F.lit(""))
+    b = lambda w, i: w["bbox"][i]
+    line = lambda w: F.concat_ws("\t", F.lit("5"), F.lit("1"), F.lit("1"), F.lit("1"), F.floor(b(w, 1) / 100).cast("string"), s(w["reading_order"]), s(b(w, 0)), s(b(w, 1)), s(b(w, 2) - b(w, 0)), s(b(w, 3) - b(w, 1)), s(w["confidence"]), w["text"])
+    x = p.select("pending_id", F.explode(A.tsv_blocks(F.concat(F.lit("level\tpage\n"), F.array_join(F.transform(words, line), "\n")))).alias("x"))
+    return x.select("pending_id", "x.reading_order", "x.text", *[F.round(F.col("x.bbox")[i], 6).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])

@@ -74,7 +74,7 @@ def classification_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir).groupBy("job_id", "classification").agg(F.count("*").alias("pages"))
 
 
-def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spread(table(spark, sf_dir, "calibration_pages")).withColumn("signals", R.text_signals("tesseract_text"))
     return c.select("page_key", "expected_auto_accept", "signals", "confidences", "lang")
 
@@ -89,13 +89,13 @@ _GATE = f"""SELECT page_key, {_REASONS} AS reasons, n FROM (SELECT *, len(k) AS
 
 @query(f"SELECT page_key, len(reasons) = 0 AS accepted, array_to_string(reasons, ',') AS reasons, n AS word_confidence_count FROM ({_GATE})")
 def ocr_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = _gated(spark, sf_dir).select("page_key", R.recognition_quality(F.col("signals"), F.col("confidences")).alias("q"))
+    q = gated(spark, sf_dir).select("page_key", R.recognition_quality(F.col("signals"), F.col("confidences")).alias("q"))
     return q.select("page_key", "q.accepted", F.array_join("q.rejection_reasons", ",").alias("reasons"), "q.word_confidence_count")
 
 
 @query(f"SELECT reason, count(*) AS pages FROM (SELECT unnest(reasons) AS reason FROM ({_GATE})) GROUP BY reason")
 def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = _gated(spark, sf_dir).select(R.recognition_quality(F.col("signals"), F.col("confidences")).alias("q"))
+    q = gated(spark, sf_dir).select(R.recognition_quality(F.col("signals"), F.col("confidences")).alias("q"))
     return q.select(F.explode("q.rejection_reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("pages"))
 
 
@@ -111,7 +111,7 @@ _CONFUSION = f"""SELECT *, safe_accepted + false_accepts AS accepted, round_even
 
 
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.confusion(R.gate_replay(_gated(spark, sf_dir), CANDIDATES), "expected_auto_accept")
+    return E.confusion(R.gate_replay(gated(spark, sf_dir), CANDIDATES), "expected_auto_accept")
 
 
 @query(_CONFUSION)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirewright.functions.geometry import envelope
+from quirewright.functions.text import once, paginated_markdown
+
 
 def tsv_words(tsv: Column) -> Column:
     """Words of a recogniser's TSV text: level-5 rows as structs; no quoting, the twelfth field keeps its tabs.
@@ -34,6 +37,46 @@ def tsv_text(tsv: Column) -> Column:
     return F.array_join(F.transform(F.array_distinct(F.transform(words, key)), lambda k: F.array_join(F.transform(F.filter(words, lambda w: key(w) == k), lambda w: w["text"]), " ")), "\n")
 
 
+def tsv_blocks(tsv: Column) -> Column:
+    """A recogniser's lines as blocks, in first-seen order: text, bbox around the line's words, reading_order, block, paragraph, line."""
+    key = lambda w: F.struct(w["page"], w["block"], w["paragraph"], w["line"])
+
+    def block(words: Column, k: Column, i: Column) -> Column:
+        own = F.filter(words, lambda w: key(w).eqNullSafe(k))
+        return F.struct(
+            F.array_join(F.transform(own, lambda w: w["text"]), " ").alias("text"), envelope(F.transform(own, lambda w: w["bbox"])).alias("bbox"), (i + 1).alias("reading_order"),
+            F.get(own, F.lit(0))["block"].alias("block"), F.get(own, F.lit(0))["paragraph"].alias("paragraph"), F.get(own, F.lit(0))["line"].alias("line"),
+        )
+
+    return once(tsv_words(tsv), lambda ws: F.transform(F.array_distinct(F.transform(ws, key)), lambda k, i: block(ws, k, i)))
+
+
+def layout_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages of a PDF text layer's XHTML (pages of flows of blocks of lines of words with their boxes): file, width, height, words.
+
+    A word has its text, box, and the numbers of its block and line in the page, from 1; words without text are dropped.
+    """
+    box = "_xMin double, _yMin double, _xMax double, _yMax double"
+    schema = f"_width double, _height double, flow array<struct<block: array<struct<line: array<struct<word: array<struct<_VALUE: string, {box.replace('double', ': double').replace(' :', ':')}>>>>>>>>"
+    pages = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    blocks = F.flatten(F.transform("flow", lambda f: f["block"]))
+
+    def words(b: Column, i: Column) -> Column:
+        of_line = lambda x, j: F.transform(x["word"], lambda w: F.struct(F.trim(w["_VALUE"]).alias("text"), F.array(w["_xMin"], w["_yMin"], w["_xMax"], w["_yMax"]).alias("bbox"), (i + 1).alias("block"), (j + 1).alias("line")))
+        return F.flatten(F.transform(b["line"], of_line))
+
+    found = F.flatten(F.transform(blocks, words))
+    return pages.select(F.input_file_name().alias("file"), F.col("_width").alias("width"), F.col("_height").alias("height"), F.filter(found, lambda w: w["text"] != "").alias("words"))
+
+
+def union_of_rows(parts: list[DataFrame]) -> DataFrame | None:
+    """Rows of several tables with all their columns, in first-seen order; none without tables."""
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def source_files(spark: SparkSession, folder: str, pattern: str = "*.[pP][dD][fF]", outside: str | None = None) -> DataFrame:
     """Files below a folder: path, relative key without suffix, name, size and digest; those under ``outside`` are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
@@ -80,8 +123,6 @@ def provider_pages(response: Column) -> Column:
         blocks = F.filter(F.transform(c["children"], lambda b: F.struct(b["block_type"].alias("label"), pick(b).alias("text"), b["bbox"].alias("bbox"))), lambda b: b["text"].isNotNull())
         return F.struct(F.coalesce(c["page"], i + 1).alias("page"), pick(c).alias("text"), blocks.alias("blocks"))
 
-    from quirewright.functions.text import paginated_markdown
-
     fallback = F.transform(paginated_markdown(markdown), lambda t, i: F.struct((i + 1).alias("page"), t.alias("text"), F.lit(None).cast("array<struct<label:string,text:string,bbox:array<double>>>").alias("blocks")))
     return F.when(F.size(pages) > 0, F.transform(pages, page)).otherwise(fallback)
 

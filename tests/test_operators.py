@@ -239,3 +239,19 @@ def test_verification(spark):
     assert sorted((r.d, r.valid) for r in V.verdict(issues, ["d"], strict=False).collect()) == [("d", True), ("e", False)]
     ranked = b.withColumn("rank", F.col("k"))
     assert sorted((r.page, r.contiguous, r.backtracks) for r in V.order_report(ranked, ["page"]).collect()) == [(1, True, 0), (2, False, 0)]
+
+
+def test_xhtml_and_unions(spark, tmp_path):
+    word = lambda t, x: f'<word xMin="{x}" yMin="1" xMax="{x + 5}" yMax="9">{t}</word>'
+    page = f'<page width="100" height="200"><flow><block xMin="0" yMin="0" xMax="9" yMax="9"><line xMin="0" yMin="0" xMax="9" yMax="9">{word("a", 0)}{word(" ", 6)}{word("b", 12)}</line><line xMin="0" yMin="0" xMax="9" yMax="9">{word("c", 0)}</line></block></flow><flow><block xMin="0" yMin="0" xMax="9" yMax="9"><line xMin="0" yMin="0" xMax="9" yMax="9">{word("d", 0)}</line></block></flow></page>'
+    (tmp_path / "x.xhtml").write_text(f"<html><body><doc>{page}</doc></body></html>")
+    r = A.layout_pages(spark, str(tmp_path / "x.xhtml")).first()
+    assert (r.width, r.height) == (100.0, 200.0) and [(w.text, w.block, w.line) for w in r.words] == [("a", 1, 1), ("b", 1, 1), ("c", 1, 2), ("d", 2, 1)] and r.words[1].bbox == [12.0, 1.0, 17.0, 9.0]
+    a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, "z")], "x int, w string")
+    assert A.union_of_rows([a, b]).columns == ["x", "y", "w"] and A.union_of_rows([]) is None
+
+
+def test_tsv_line_blocks(spark):
+    rows = ["level\tpage", "5\t1\t1\t1\t1\t1\t10\t20\t30\t10\t90\tFirst", "5\t1\t1\t1\t1\t2\t50\t18\t30\t10\t90\tline", "5\t1\t1\t1\t2\t1\t10\t40\t30\t10\t90\tSecond"]
+    got = spark.createDataFrame([("\n".join(rows),), ("",), (None,)], "t string").select(A.tsv_blocks(F.col("t")).alias("b")).collect()
+    assert [(b.text, b.bbox, b.reading_order, b.line) for b in got[0].b] == [("First line", [10.0, 18.0, 80.0, 30.0], 1, 1), ("Second", [10.0, 40.0, 40.0, 50.0], 2, 2)] and got[1].b == [] and not got[2].b
