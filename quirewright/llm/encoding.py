@@ -3,19 +3,19 @@
 Short texts are encoded where they lie: a map without a shuffle. A long text is cut into pieces that tasks encode in
 parallel; the pieces' ids are joined up a binary tree, a level at a time, so that every pair of neighbours is a task's
 group of its own and no task gets more of a text than its two halves. At each join a window around the seam is encoded
-anew and grown until it agrees with both sides:
+anew and grown until both sides agree:
 
-* between words, the window begins at a word of the left piece that has seen the text behind it, and ends at a word
-  boundary that window and right piece share; the splitting pattern never looks back, so from a shared boundary on both
-  split alike;
+* between words, it is grown until it begins and ends where a blank follows a sign: there the splitting pattern parts
+  words whatever stands around, so the ids outside of the window are the same with and without the other half;
 * inside one unsplit run, the tokens at both ends of the window must stand beside their outer neighbours as the merges
   of the two together leave them; a sequence is the encoding of a run exactly if all its adjacent pairs do.
+
+A piece carries its ids and the texts of its two edges only, up to the first such place.
 """
 
 from __future__ import annotations
 
 import base64
-import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,23 +40,23 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PIECE_CHARS = 4_096
 #: Bytes of an unsplit run that are encoded at once; a longer run is encoded as a tree.
 RUN_BYTES = 2_048
-#: Code points first taken right of a seam, and tokens at either side of a seam in a run.
+#: Code points first taken at either side of a seam, and tokens at either side of a seam in a run.
 WINDOW_CHARS, WINDOW_TOKENS = 64, 4
 _LONG_RUN = re.compile(rf"\S{{{RUN_BYTES // 4},}}|\s{{{RUN_BYTES // 4},}}")
+#: Where words are parted whatever stands around: only blanks can begin a word, and none stands inside one.
+_PARTED = re.compile(r"(?<=\S)[ \n]")
 
 
 @dataclass(slots=True)
 class Piece:
-    """Part of a text: where its words begin in the whole text, and each word's ids."""
-
-    start: int
-    text: str
-    starts: list[int]
-    ids: list[list[int]]
+    """Ids of a part of a text; its edges' texts, up to a place where words are parted, with the numbers of their ids. Without such a place both are the whole text."""
 
-    @property
-    def end(self) -> int:
-        return self.start + len(self.text)
+    ids: np.ndarray
+    head: str
+    head_ids: int
+    tail: str
+    tail_ids: int
+    whole: bool
 
 
 class Encoder:
@@ -75,12 +75,24 @@ class Encoder:
         if not text:
             return np.zeros(0, np.int32)
         if len(text) > RUN_BYTES // 4 and _LONG_RUN.search(text):
-            return np.array([i for word in self.piece(0, text).ids for i in word], np.int32)
+            return np.array(self.words(text), np.int32)
         return np.frombuffer(self.bpe._core_bpe.encode_to_tiktoken_buffer(text, set()), np.int32)
 
-    def piece(self, start: int, text: str) -> Piece:
-        found = [(m.start(), m[0]) for m in self.split.finditer(text)]
-        return Piece(start, text, [start + a for a, _ in found], [self.run(w.encode()) for _, w in found])
+    def words(self, text: str) -> list[int]:
+        """Ids of a text word by word, so that long runs are encoded as trees."""
+        return [i for m in self.split.finditer(text) for i in self.run(m[0].encode())]
+
+    def piece(self, text: str) -> Piece:
+        ids = self.ids(text)
+        first = _PARTED.search(text, WINDOW_CHARS)
+        if first is None:
+            return Piece(ids, text, len(ids), text, len(ids), True)
+        size, last = WINDOW_CHARS, None
+        while last is None:  # there is one: the first
+            last = _PARTED.search(text, max(0, len(text) - size))
+            size *= 4
+        head, tail = text[: first.start()], text[last.start() :]
+        return Piece(ids, head, len(self.ids(head)), tail, len(self.ids(tail)), False)
 
     def run(self, data: bytes) -> list[int]:
         """Ids of one unsplit run: of its halves, then of the seam."""
@@ -108,34 +120,21 @@ class Encoder:
 
     def join(self, left: Piece, right: Piece) -> Piece:
         """The piece of both texts, as if encoded at once."""
-        text = left.text + right.text
-        keep = max(0, len(left.starts) - 2)  # the last words may go on differently now
-        begin = left.starts[keep] if left.starts else left.start
-        size = WINDOW_CHARS
-        while True:
-            stop = min(right.end, right.start + size)
-            cut = text[begin - left.start : stop - left.start]
-            words = [begin + m.start() for m in self.split.finditer(cut)]
-            # a boundary counts once a whole word behind it lies before the window's end
-            settled = words if stop == right.end else words[:-2]
-            shared = next((p for p in settled if p >= right.start and self._has(right.starts, p)), right.end if stop == right.end else None)
-            if shared is not None:
-                words = [w for w in words if w < shared]
-                ids = [self.run(text[a - left.start : z - left.start].encode()) for a, z in zip(words, [*words[1:], shared])]
-                rest = bisect.bisect_left(right.starts, shared)
-                return Piece(left.start, text, left.starts[:keep] + words + right.starts[rest:], left.ids[:keep] + ids + right.ids[rest:])
-            size *= 4
-
-    @staticmethod
-    def _has(starts: list[int], place: int) -> bool:
-        k = bisect.bisect_left(starts, place)
-        return k < len(starts) and starts[k] == place
+        seam = left.tail + right.head
+        if left.whole and right.whole and self.split.fullmatch(seam) and left.head and right.head:
+            window = np.array(self.join_run(left.ids.tolist(), right.ids.tolist()), np.int32)
+        else:
+            window = self.ids(seam)
+        ids = np.concatenate([left.ids[: len(left.ids) - left.tail_ids], window, right.ids[right.head_ids :]])
+        head = (seam, len(window)) if left.whole else (left.head, left.head_ids)
+        tail = (seam, len(window)) if right.whole else (right.tail, right.tail_ids)
+        return Piece(ids, *head, *tail, left.whole and right.whole)
 
     def join_all(self, pieces: list[Piece]) -> list[int]:
         """Ids of the text whose pieces these are, in order; joined up a binary tree."""
         while len(pieces) > 1:
             pieces = [self.join(*pieces[k : k + 2]) if k + 1 < len(pieces) else pieces[k] for k in range(0, len(pieces), 2)]
-        return [i for word in pieces[0].ids for i in word]
+        return pieces[0].ids.tolist()
 
 
 @dataclass(frozen=True)
@@ -200,20 +199,19 @@ def encode_texts(
         for b in batches:
             for at in range(0, b.num_rows, 100):
                 part = b.slice(at, 100)
-                yield _piece_columns(part.select(["row", "key", "parts", "copies"]), part.column("no"), [e.piece(s, t) for s, t in zip(part.column("start").to_pylist(), part.column("text").to_pylist())])
+                yield _piece_columns(part.select(["row", "key", "parts", "copies"]), part.column("no"), [e.piece(t) for t in part.column("text").to_pylist()])
 
     def joined(t: pa.Table) -> pa.Table:
-        t = t.sort_by("no")
-        found = [Piece(r["start"], r["text"], r["starts"], r["ids"]) for r in t.select(["start", "text", "starts", "ids"]).to_pylist()]
-        whole = shipped.encoder().join(*found) if len(found) > 1 else found[0]
-        first = t.slice(0, 1).combine_chunks().to_batches()[0]
-        return pa.Table.from_batches([_piece_columns(first.select(["row", "key", "parts", "copies"]), pa.array([first.column("no")[0].as_py() // 2], pa.int32()), [whole])])
+        t = t.sort_by("no").combine_chunks()
+        parts = t.to_batches()[0]
+        found = [Piece(ids.values.to_numpy(), *(parts.column(c)[k].as_py() for c in _EDGES)) for k, ids in enumerate(parts.column("ids"))]
+        one = shipped.encoder().join(*found) if len(found) > 1 else found[0]
+        return pa.Table.from_batches([_piece_columns(parts.slice(0, 1).select(["row", "key", "parts", "copies"]), pa.array([parts.column("no")[0].as_py() // 2], pa.int32()), [one])])
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                ids = b.column("ids").slice(k, 1).flatten().flatten().to_numpy(zero_copy_only=False)
-                done = finished(b.column("key").slice(k, 1), [ids.astype(np.int32)])
+                done = finished(b.column("key").slice(k, 1), [b.column("ids")[k].values.to_numpy()])
                 for _ in range(b.column("copies")[k].as_py()):
                     yield done
 
@@ -224,11 +222,11 @@ def encode_texts(
     cut = (
         rows.filter(long)
         .select(row.alias("row"), "key", "text", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("no"))
-        .select("row", "key", "parts", "no", (F.col("no") * piece_chars).alias("start"), F.substring("text", F.col("no") * piece_chars + 1, F.lit(piece_chars)).alias("text"))
-        .groupBy("row", "key", "parts", "no", "start", "text")
+        .select("row", "key", "parts", "no", F.substring("text", F.col("no") * piece_chars + 1, F.lit(piece_chars)).alias("text"))
+        .groupBy("row", "key", "parts", "no", "text")
         .agg(F.count("*").alias("copies"))
     )
-    fields = f"row struct<a:bigint,b:bigint>, key {kind}, parts int, copies bigint, no int, start int, text string, starts array<int>, ids array<array<int>>"
+    fields = f"row struct<a:bigint,b:bigint>, key {kind}, parts int, copies bigint, no int, ids array<int>, head string, head_ids int, tail string, tail_ids int, whole boolean"
     made = settled(cut.mapInArrow(pieces, fields), "pieces")
     most = made.agg(F.max("parts")).first()[0] or 1
     level = made
@@ -238,6 +236,10 @@ def encode_texts(
     return short.unionByName(level.mapInArrow(flat, out)).withColumnRenamed("key", key)
 
 
+_EDGES = ("head", "head_ids", "tail", "tail_ids", "whole")
+
+
 def _piece_columns(of_row: pa.RecordBatch, no: pa.Array, found: list[Piece]) -> pa.RecordBatch:
-    made = [pa.array([p.start for p in found], pa.int32()), pa.array([p.text for p in found], pa.string()), pa.array([p.starts for p in found], pa.list_(pa.int32())), pa.array([p.ids for p in found], pa.list_(pa.list_(pa.int32())))]
-    return pa.RecordBatch.from_arrays([*of_row.columns, no, *made], names=["row", "key", "parts", "copies", "no", "start", "text", "starts", "ids"])
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.bool_())
+    edges = [pa.array([getattr(p, c) for p in found], kind) for c, kind in zip(_EDGES, kinds)]
+    return pa.RecordBatch.from_arrays([*of_row.columns, no, _id_lists([p.ids for p in found]), *edges], names=["row", "key", "parts", "copies", "no", "ids", *_EDGES])
