@@ -492,28 +492,39 @@ def edge_lines(texts: DataFrame) -> DataFrame:
     return out.withColumns({"number": F.coalesce(number.cast("int"), F.col("roman")), "alone": alone}).withColumn("header", header).withColumn("key", F.when(F.length(key) > 2, key)).drop("roman", "latin", "shape")
 
 
+_flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "1").otherwise("0")
+_steps = lambda c, *bounds: F.concat(*[_flag(c > b) for b in bounds])
+
+
+def edge_signs(edges: DataFrame) -> DataFrame:
+    """The lines of :func:`edge_lines` with the signs that follow from a line and its place; the texts that only they need are dropped."""
+    h = F.col("header")
+    signs = {
+        "len": _steps(F.coalesce(F.length("header"), F.lit(0)), 3, 20, 45, 70, 90), "stop": _flag(F.col("line").rlike(r"[.!?।;,]$")), "inner": _flag(h.rlike(r"[.!?।]\s+\p{Lu}")),
+        "on": _flag(F.col("next").rlike(r"^\p{Ll}") & ~h.rlike(r"^\p{Ll}")), "clause": _flag(h.rlike(r",\s.*\s\p{Ll}+$")), "low": _flag(h.rlike(r"^\p{Ll}")), "item": _flag(h.rlike(r"^(?:\p{N}+[.)]|[-*•])\s")),
+        "width": _steps(F.length("line") / F.col("width"), 0.5, 0.7, 0.85), "caps": _steps(F.regexp_count(h, F.lit(r"(?<!\S)[\p{Lu}\p{N}]")) / F.greatest(F.regexp_count(h, F.lit(r"\S+")), F.lit(1)), 0.45, 0.7),
+        "place": F.concat(F.substring("edge", 1, 1), F.col("depth")), "lines": _steps(F.col("n"), 1, 2, 4), "block": _flag(F.col("table_name") == "structure_blocks"), "number": F.when(F.col("number").isNull(), "none").when(F.col("alone"), "alone").otherwise("beside"),
+    }
+    return edges.select("table_name", "row_key", "document_id", "page", "edge", "depth", "line", "number", "key", F.xxhash64("header").alias("form"), *[v.alias(f"_{k}") for k, v in signs.items()])
+
+
 def edge_features(edges: DataFrame) -> DataFrame:
-    """The edges' lines with ``repeats`` (pages of the document that have the key at an edge), ``keyed``, ``numbered``, and columns of signs."""
+    """The lines of :func:`edge_signs` with ``repeats`` (pages of the document that have the key at an edge), ``keyed``, ``numbered``, and the signs that are counted."""
     at = ["table_name", "document_id"]
     keyed = edges.filter("key IS NOT NULL AND document_id IS NOT NULL")
-    repeats = keyed.groupBy(*at, "key").agg(F.count_distinct("page").alias("repeats"), F.count_distinct("header").alias("forms"), F.max(~F.col("header").rlike(r"^\p{Ll}")).alias("titled"))
+    repeats = keyed.groupBy(*at, "key").agg(F.count_distinct("page").alias("repeats"), F.count_distinct("form").alias("forms"), F.max(F.col("_low") == "0").alias("titled"))
     numbered = edges.filter("number IS NOT NULL AND page IS NOT NULL AND document_id IS NOT NULL")
     shifts = numbered.groupBy(*at, (F.col("number") - F.col("page")).alias("shift")).agg(F.count_distinct("page").alias("pages"))
     usual = shifts.groupBy(*at).agg(F.max_by("shift", F.struct("pages", -F.abs("shift"))).alias("usual"), F.max("pages").alias("usual_pages"))
-    # a document has one row here and few there: its lines are many, so its rows may be spread
+    # a document has one row here and few there: its lines are many, so their rows may be spread
     rows = edges.join(repeats, [*at, "key"], "left").join(usual, at, "left")
-    flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "1").otherwise("0")
-    steps = lambda c, *bounds: F.concat(*[flag(c > b) for b in bounds])
-    h, repeated = F.col("header"), F.coalesce("repeats", F.lit(0))
-    signs = {
-        "rep": steps(repeated, 0, 1, 2, 4), "len": steps(F.coalesce(F.length("header"), F.lit(0)), 3, 20, 45, 70, 90), "stop": flag(F.col("line").rlike(r"[.!?।;,]$")), "inner": flag(h.rlike(r"[.!?।]\s+\p{Lu}")),
-        "on": flag(F.col("next").rlike(r"^\p{Ll}") & ~h.rlike(r"^\p{Ll}")), "clause": flag(h.rlike(r",\s.*\s\p{Ll}+$")), "low": flag(h.rlike(r"^\p{Ll}")), "item": flag(h.rlike(r"^(?:\p{N}+[.)]|[-*•])\s")), "titled": flag(F.col("titled")),
-        "width": steps(F.length("line") / F.col("width"), 0.5, 0.7, 0.85), "caps": steps(F.regexp_count(h, F.lit(r"(?<!\S)[\p{Lu}\p{N}]")) / F.greatest(F.regexp_count(h, F.lit(r"\S+")), F.lit(1)), 0.45, 0.7), "forms": steps(F.coalesce("forms", F.lit(0)), 1, 2),
-        "place": F.concat(F.substring("edge", 1, 1), F.col("depth")), "lines": steps(F.col("n"), 1, 2, 4), "block": flag(F.col("table_name") == "structure_blocks"), "number": F.when(F.col("number").isNull(), "none").when(F.col("alone"), "alone").otherwise("beside"),
-        "own": F.when(F.col("number").isNull() | F.col("usual").isNull(), "none").otherwise(flag(F.col("number") - F.col("page") == F.col("usual"))), "shared": steps(F.coalesce("usual_pages", F.lit(0)), 0, 1, 2),
+    counted = {
+        "rep": _steps(F.coalesce("repeats", F.lit(0)), 0, 1, 2, 4), "forms": _steps(F.coalesce("forms", F.lit(0)), 1, 2), "titled": _flag(F.col("titled")), "shared": _steps(F.coalesce("usual_pages", F.lit(0)), 0, 1, 2),
+        "own": F.when(F.col("number").isNull() | F.col("usual").isNull(), "none").otherwise(_flag(F.col("number") - F.col("page") == F.col("usual"))),
     }
     keyed, numbered = F.col("key").isNotNull().alias("keyed"), F.col("number").isNotNull().alias("numbered")
-    return rows.select("table_name", "row_key", "edge", "depth", "line", "repeats", keyed, numbered, *[signs[k].alias(f"_{k}") for k in sorted(signs)])
+    signs = [c for c in edges.columns if c.startswith("_")]
+    return rows.select("table_name", "row_key", "edge", "depth", "line", "repeats", keyed, numbered, *signs, *[v.alias(f"_{k}") for k, v in counted.items()])
 
 
 #: Page-position features, each of the signs named: of a line as a running header and as the place of the page's number.
@@ -639,7 +650,7 @@ def scan_noise(calibration: DataFrame, pending: DataFrame, blocks: DataFrame, pa
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(["hyphenation"] * len(rows), pa.string()), pa.array(columns[2], pa.string())], names=["table_name", "row_key", "noise", "detail"])
 
     broken = texts.filter(F.col("text").rlike(_BREAK)).select("table_name", "row_key", "text").mapInArrow(joins, "table_name string, row_key bigint, noise string, detail string")
-    edges = settled(edge_features(settled(edge_lines(texts), "edges")), "edge-signs")  # a few lines a page, counted three times
+    edges = settled(edge_features(settled(edge_signs(edge_lines(texts)), "edges")), "edge-signs")  # a few lines a page, counted three times
     lines = furniture(edges, learnt or learn_furniture(edges, sample)).select("table_name", "row_key", "noise", F.col("line").alias("detail"))
     return misread.unionByName(broken).unionByName(lines)
 

@@ -92,7 +92,7 @@ def test_the_weights_decide(spark):
 
 
 def learned(spark, t, sample):
-    return module.learn_furniture(module.settled(module.edge_features(module.edge_lines(module._texts(*t).filter("length(text) > 0"))), "edges"), sample)
+    return module.learn_furniture(module.settled(module.edge_features(module.edge_signs(module.edge_lines(module._texts(*t).filter("length(text) > 0")))), "edges"), sample)
 
 
 def test_missing_lines_and_linear_weights():
