@@ -89,7 +89,7 @@ class _Maker:
         return self.pick([
             f"{e} {self.title()} {e}\n{s}", f"{e}{self.title()}{e}\n{s}", f"{s} The '''{w}''' is ''{w}''.", f"{s} See [[{self.title()}|the {w}]] or [[{w}]].", f"[[File:p_{self.n()}.png|thumb|{self.title()}]]\n{s}", f"{{{{cite {w}|title={self.title()}|no={self.n()}}}}} {s}", f"{s} [https://w.example.invalid/{self.n()} The {w}]", f"{s}\n;{w}\n:{t}\n::''{w}''",
             f"=== {self.title()} ===\n* [[{w}]]: {s}\n** {t}\n:: {w}", f'{{| class="g"\n! {w} !! {w}\n|-\n| {self.n()} || {w}\n|}}', f"# {s}\n# [[{w}]]\n## {t}", f"* {s}\n* ''{w}''", f"{s} {{{{{w}|{self.n()}}}}}", f"{s} [[Category:{self.title()}]]", f"== {self.title()} ==", f"= {self.title()} =\n{s}", f"# {s}\n# {t}\n## ''{w}''", f"__NOTOC__\n{s}", f"{s} '''''{w}''''' {t}",
-            f": {s}\n:: {t}", f"#REDIRECT [[{self.title()}]]", f"{s} ~~~~", f'{{| border="1"\n|-\n| {w}\n| {self.n()}\n|}}', f"** {s}\n*** {t}", f"{s} ''{w} {w}''", f"* [[{w}]]\n* {s}\n# {t}", f";{w}\n:{s}", f"{s}\n----\n'''{w}''' {t}",
+            f": {s}\n:: {t}", f"#REDIRECT [[{self.title()}]]", f"{s} ~~~~", f'{{| border="1"\n|-\n| {w}\n| {self.n()}\n|}}', f"** {s}\n*** {t}", f"{s} ''{w} {w}''", f"* [[{w}]]\n* {s}\n# {t}", f"* [[{w}]]: {s}\n* {t}", f"* {s}\n* [[{w}]] {t}", f"* '''{w}''': {s}\n* {t}\n* {w}", f";{w}\n:{s}", f"{s}\n----\n'''{w}''' {t}",
         ])
 
     def latex(self):
