@@ -332,7 +332,8 @@ def _texts(calibration: DataFrame, pending: DataFrame, blocks: DataFrame) -> Dat
 
 def _tokens(text: Column) -> Column:
     joined = F.when(text.rlike(rf"[{HYPHENS}][ \t]*\r?\n"), F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{M}}])[{HYPHENS}][ \t]*\r?\n[ \t]*(?=\p{{L}})", "")).otherwise(text)
-    return F.regexp_extract_all(joined, F.lit(f"({_TOKEN})"), 1)
+    # of texts in ASCII the same tokens by a class that is quicker to tell
+    return F.when(joined.rlike(r"[^\x00-\x7F]"), F.regexp_extract_all(joined, F.lit(f"({_TOKEN})"), 1)).otherwise(F.regexp_extract_all(joined, F.lit("([A-Za-z0-9|]++)"), 1))
 
 
 def _bare(word: Column) -> Column:
@@ -496,6 +497,16 @@ _flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "1").otherwise("0")  # noq
 _steps = lambda c, *bounds: F.concat(*[_flag(c > b) for b in bounds])
 
 
+#: Order in which the signs of a line are packed, those of its own and those that are counted.
+SIGNS = ("len", "stop", "inner", "on", "clause", "low", "item", "width", "caps", "place", "lines", "block", "number")
+COUNTED = ("rep", "forms", "titled", "shared", "own")
+
+
+def _packed(signs: dict[str, Column]) -> Column:
+    """Signs as one short string, so that a line stays a small row while it is shuffled."""
+    return F.concat_ws(",", *[F.coalesce(v, F.lit("")) for v in signs.values()])
+
+
 def edge_signs(edges: DataFrame) -> DataFrame:
     """The lines of :func:`edge_lines` with the signs that follow from a line and its place; the texts that only they need are dropped."""
     h = F.col("header")
@@ -505,14 +516,14 @@ def edge_signs(edges: DataFrame) -> DataFrame:
         "width": _steps(F.length("line") / F.col("width"), 0.5, 0.7, 0.85), "caps": _steps(F.regexp_count(h, F.lit(r"(?<!\S)[\p{Lu}\p{N}]")) / F.greatest(F.regexp_count(h, F.lit(r"\S+")), F.lit(1)), 0.45, 0.7),
         "place": F.concat(F.substring("edge", 1, 1), F.col("depth")), "lines": _steps(F.col("n"), 1, 2, 4), "block": _flag(F.col("table_name") == "structure_blocks"), "number": F.when(F.col("number").isNull(), "none").when(F.col("alone"), "alone").otherwise("beside"),
     }
-    return edges.select("table_name", "row_key", "document_id", "page", "edge", "depth", "line", "number", "key", F.xxhash64("header").alias("form"), *[v.alias(f"_{k}") for k, v in signs.items()])
+    return edges.select("table_name", "row_key", "document_id", "page", "edge", "depth", "line", "number", "key", F.xxhash64("header").alias("form"), _packed(signs).alias("signs"))
 
 
 def edge_features(edges: DataFrame) -> DataFrame:
     """The lines of :func:`edge_signs` with ``repeats`` (pages of the document that have the key at an edge), ``keyed``, ``numbered``, and the signs that are counted."""
     at = ["table_name", "document_id"]
     keyed = edges.filter("key IS NOT NULL AND document_id IS NOT NULL")
-    repeats = keyed.groupBy(*at, "key").agg(F.count_distinct("page").alias("repeats"), F.count_distinct("form").alias("forms"), F.max(F.col("_low") == "0").alias("titled"))
+    repeats = keyed.groupBy(*at, "key").agg(F.count_distinct("page").alias("repeats"), F.count_distinct("form").alias("forms"), F.max(F.get(F.split("signs", ","), F.lit(SIGNS.index("low"))) == "0").alias("titled"))
     numbered = edges.filter("number IS NOT NULL AND page IS NOT NULL AND document_id IS NOT NULL")
     shifts = numbered.groupBy(*at, (F.col("number") - F.col("page")).alias("shift")).agg(F.count_distinct("page").alias("pages"))
     usual = shifts.groupBy(*at).agg(F.max_by("shift", F.struct("pages", -F.abs("shift"))).alias("usual"), F.max("pages").alias("usual_pages"))
@@ -523,8 +534,7 @@ def edge_features(edges: DataFrame) -> DataFrame:
         "own": F.when(F.col("number").isNull() | F.col("usual").isNull(), "none").otherwise(_flag(F.col("number") - F.col("page") == F.col("usual"))),
     }
     keyed, numbered = F.col("key").isNotNull().alias("keyed"), F.col("number").isNotNull().alias("numbered")
-    signs = [c for c in edges.columns if c.startswith("_")]
-    return rows.select("table_name", "row_key", "edge", "depth", "line", "repeats", keyed, numbered, *signs, *[v.alias(f"_{k}") for k, v in counted.items()])
+    return rows.select("table_name", "row_key", "edge", "depth", "line", "repeats", keyed, numbered, "signs", _packed(counted).alias("counted"))
 
 
 #: Page-position features, each of the signs named: of a line as a running header and as the place of the page's number.
@@ -532,9 +542,27 @@ HEADER_FEATURES = ("rep", "len", "place", "number", "rep stop", "rep inner", "re
 NUMBER_FEATURES = ("number", "place", "number own", "number own shared", "number place", "number lines", "number rep", "number own lines", "number own stop")
 
 
-def _position(names: tuple[str, ...]) -> Column:
-    """The array of features of an edge's line."""
-    return F.array(F.lit("b"), *[F.concat_ws(" ", *[F.concat(F.lit(k + "="), F.col(f"_{k}")) for k in x.split()]) for x in names])
+def _position(names: tuple[str, ...]) -> list[Column]:
+    """The features of an edge's line, in the order of ``names``; needs the columns ``s`` and ``c``, the signs unpacked."""
+    sign = {k: F.get("s", F.lit(i)) for i, k in enumerate(SIGNS)} | {k: F.get("c", F.lit(i)) for i, k in enumerate(COUNTED)}
+    return [F.concat_ws(" ", *[F.concat(F.lit(k + "="), sign[k]) for k in x.split()]) for x in names]
+
+
+def _unpacked(edges: DataFrame) -> DataFrame:
+    return edges.withColumns({"s": F.split("signs", ","), "c": F.split("counted", ",")})
+
+
+def _position_score(names: tuple[str, ...], weights: dict[str, float]) -> Column:
+    """Sum of the weights of a line's features: each kind of feature has a short table of its own."""
+    tables: dict[str, dict[str, float]] = defaultdict(dict)
+    for f, v in weights.items():
+        tables[" ".join(part.split("=")[0] for part in f.split(" "))][f] = v
+    total = F.lit(float(weights.get("b", 0.0)))
+    for name, feature in zip(names, _position(names)):
+        if own := tables.get(name):
+            table = F.create_map(*[x for f, v in sorted(own.items()) for x in (F.lit(f), F.lit(float(v)))])
+            total = total + F.coalesce(F.try_element_at(table, feature), F.lit(0.0))
+    return total
 
 
 def _folded(text: str) -> str:
@@ -582,7 +610,8 @@ def learn_furniture(edges: DataFrame, sample: list[tuple[int, str, str]]) -> Fur
         return Furniture()
     keys = edges.sparkSession.createDataFrame([(k,) for k, _, _ in sample], "row_key bigint").distinct()  # at most TRAINING_PAGES
     own = edges.filter("table_name = 'calibration_pages'").join(F.broadcast(keys), "row_key")
-    rows = own.select("row_key", "edge", "depth", "line", "repeats", "keyed", "numbered", _position(HEADER_FEATURES).alias("as_header"), _position(NUMBER_FEATURES).alias("as_number")).orderBy("row_key", "edge", "depth", "line").collect()
+    features = lambda names: F.array(F.lit("b"), *_position(names))
+    rows = _unpacked(own).select("row_key", "edge", "depth", "line", "repeats", "keyed", "numbered", features(HEADER_FEATURES).alias("as_header"), features(NUMBER_FEATURES).alias("as_number")).orderBy("row_key", "edge", "depth", "line").collect()
     by_page: dict[int, list] = defaultdict(list)
     for r in rows:
         by_page[r.row_key].append(r)
@@ -599,9 +628,9 @@ def learn_furniture(edges: DataFrame, sample: list[tuple[int, str, str]]) -> Fur
 
 def furniture(edges: DataFrame, learnt: Furniture) -> DataFrame:
     """table_name, row_key, noise (running_header, page_number), line: the lines at page edges that are furniture; needs the columns of :func:`edge_features`."""
-    header = F.col("keyed") & (_weighed(_position(HEADER_FEATURES), learnt.header) > 0)
-    number = F.col("numbered") & (_weighed(_position(NUMBER_FEATURES), learnt.number) > 0)
-    judged = edges.select("table_name", "row_key", "edge", "depth", "line", header.alias("is_header"), number.alias("is_number"))
+    header = F.col("keyed") & (_position_score(HEADER_FEATURES, learnt.header) > 0)
+    number = F.col("numbered") & (_position_score(NUMBER_FEATURES, learnt.number) > 0)
+    judged = _unpacked(edges).select("table_name", "row_key", "edge", "depth", "line", header.alias("is_header"), number.alias("is_number"))
     # an inner line counts only behind outer ones that are furniture themselves
     outward = Window.partitionBy("table_name", "row_key", "edge").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = judged.withColumn("reached", F.min(F.col("is_header") | F.col("is_number")).over(outward)).filter("reached")
