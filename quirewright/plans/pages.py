@@ -448,11 +448,17 @@ def structured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def structure_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aligned columns of each pending page; words that lie at one height are one line."""
+    """The gate over aligned columns and columns of text of each pending page; words at one height are one line, either half of a page is a block."""
     p = table(spark, sf_dir, "pending_surya_pages")
-    line = lambda w: F.struct(F.lit(1).alias("block"), F.lit(1).alias("paragraph"), (F.floor(F.get(w["bbox"], F.lit(1)) / 10) + 1).cast("int").alias("line"), w["bbox"].alias("bbox"))
+    row = lambda w: (F.floor(F.get(w["bbox"], F.lit(1)) / 10) + 1).cast("int")
+    line = lambda w: F.struct(F.lit(1).alias("block"), F.lit(1).alias("paragraph"), row(w).alias("line"), w["bbox"].alias("bbox"))
     columns = Y.aligned_column_evidence(F.transform("tesseract_words", line), F.col("raster.raster_width"), F.col("raster.raster_height"))
-    return p.select("pending_id", columns.alias("c")).select("pending_id", Y.structure_gate(F.col("c"), F.array()).alias("g")).select("pending_id", F.array_join("g.reasons", ",").alias("reasons"), "g.escalate")
+    w = p.select("pending_id", "raster", F.explode("tesseract_words").alias("w"))
+    half = F.when(F.get("w.bbox", F.lit(0)) + F.get("w.bbox", F.lit(2)) < F.col("raster.raster_width"), 1).otherwise(2)
+    words = w.select("pending_id", half.alias("block"), row(F.col("w")).alias("line"), "w.bbox", F.col("raster.raster_width").alias("page_width"), F.col("raster.raster_height").alias("page_height"))
+    sides = L.text_columns(words, ["pending_id"]).groupBy("pending_id").agg(F.collect_list(F.struct("left_block", "right_block")).alias("t"))  # one pair a page at most
+    gated = p.select("pending_id", columns.alias("c")).join(sides, "pending_id", "left").select("pending_id", Y.structure_gate(F.col("c"), F.col("t")).alias("g"))
+    return gated.select("pending_id", F.array_join("g.reasons", ",").alias("reasons"), "g.escalate")
 
 
 @query("SELECT artifact_id, sha256(artifact_json) AS digest, length(artifact_json) AS chars, json_valid(artifact_json) AS valid FROM rich_artifacts WHERE artifact_json IS NOT NULL")

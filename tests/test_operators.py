@@ -255,3 +255,16 @@ def test_tsv_line_blocks(spark):
     rows = ["level\tpage", "5\t1\t1\t1\t1\t1\t10\t20\t30\t10\t90\tFirst", "5\t1\t1\t1\t1\t2\t50\t18\t30\t10\t90\tline", "5\t1\t1\t1\t2\t1\t10\t40\t30\t10\t90\tSecond"]
     got = spark.createDataFrame([("\n".join(rows),), ("",), (None,)], "t string").select(A.tsv_blocks(F.col("t")).alias("b")).collect()
     assert [(b.text, b.bbox, b.reading_order, b.line) for b in got[0].b] == [("First line", [10.0, 18.0, 80.0, 30.0], 1, 1), ("Second", [10.0, 40.0, 40.0, 50.0], 2, 2)] and got[1].b == [] and not got[2].b
+
+
+def test_json_files_and_published_tables(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": [1]}')
+    (tmp_path / "b.json").write_text("[1]")
+    (tmp_path / "c.json").write_text("broken")
+    got = {r.path.rsplit("/", 1)[1]: r for r in A.json_objects(spark, str(tmp_path / "*.json")).collect()}
+    assert [got[n].is_object for n in ("a.json", "b.json", "c.json")] == [True, False, False] and len(got["a.json"].sha256) == 64
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    for kind in ("json", "csv", "parquet"):
+        A.published(rows, str(tmp_path / kind), kind)
+        assert (tmp_path / kind / "_SUCCESS").exists()
+    assert spark.read.parquet(str(tmp_path / "parquet")).count() == 2 and spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["k", "v"]
