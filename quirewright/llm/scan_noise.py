@@ -712,6 +712,7 @@ def repaired(text: str | None, found: list[tuple[str, str]]) -> str | None:
             lines[i] = ""
     way = {(a, b): w for n, d in found if n == "hyphenation" for a, b, w in [d.split("\t")]}
     joined = _PY_BREAK.sub(lambda m: m[1] + ("-" if way.get((m[1], m[3])) == "keep" else "") + m[3] if (m[1], m[3]) in way else m[0], "\n".join(lines))
+    joined = re.sub(r"(?<=\d)([-–])[ \t]*\r?\n[ \t]*(?=\d)", r"\1", joined)  # a range of figures goes on, though it is no case
     meant = dict(d.split("\t") for n, d in found if n == "misread")
     joined = _PY_TOKEN.sub(lambda m: meant.get(m[0], m[0]), joined) if meant else joined
     paragraphs = (re.sub(r"[ \t]*\n[ \t]*", " ", p).strip() for p in re.split(r"\n[ \t]*\n\s*", joined))

@@ -104,4 +104,5 @@ def test_missing_lines_and_linear_weights():
 
 def test_repaired():
     assert repaired("Head 3\n\na multi-\nvolume b\n\nc", [("running_header", "Head 3"), ("hyphenation", "multi\tvolume\tkeep")]) == "a multi-volume b\n\nc"
+    assert repaired("kept 1890-\n1998 and\n1999", []) == "kept 1890-1998 and 1999"
     assert aligned_pairs([("one telescope", "one tele-\nscope")])[1] == [("tele", "scope", "drop")]
